@@ -85,6 +85,11 @@ def _field(name: str) -> str:
     return f"$['{name}']"
 
 
+def _fields(values: Column, name: str) -> Column:
+    path = _field(name)
+    return F.transform(values, lambda v: F.try_variant_get(v, path, "variant"))
+
+
 def _spread(values: Column) -> Column:
     """Replace every list among ``values`` by its elements."""
     items = F.transform(
@@ -107,10 +112,7 @@ def struct_strings(value: Column, path: Sequence[str], list_depth: int = 3) -> C
         if level:
             for _ in range(list_depth):
                 current = _spread(current)
-        current = F.filter(
-            F.transform(current, lambda v, n=name: F.try_variant_get(v, _field(n), "variant")),
-            lambda v: v.isNotNull(),
-        )
+        current = F.filter(_fields(current, name), lambda v: v.isNotNull())
     leaves = F.filter(_spread(current), lambda v: ~F.is_variant_null(v))
     return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(F.transform(leaves, value_to_string))
 

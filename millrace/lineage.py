@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 BROADCAST_ROWS = 200_000
 
@@ -46,6 +46,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, condition: Column, label: str = "stage") -> tuple[DataFrame, int]:
+    """As :func:`materialize`, plus the number of rows that meet ``condition``, from the same job."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.when(condition, 1)).alias("n"))
+    return materialize(counted, label), seen.get["n"]
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when ``df`` is counted to hold at most ``max_rows`` rows.
 

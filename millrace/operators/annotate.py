@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 _TOKEN = r"(\p{L}+|\p{N}+)"
-_PY_TOKEN = re.compile(r"[^\W\d_]+|\d+")
+_PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
 
 @F.pandas_udf("array<struct<token:string,start:int,stop:int>>")

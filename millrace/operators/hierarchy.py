@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.collections import same_list, same_map
-from millrace.lineage import materialize
+from millrace.lineage import materialize_counted
 from millrace.operators.merge import REPLACE, SPECS, MergeSpec, merge
 
 ID, PARENT = "external_id", "parent_external_id"
@@ -68,20 +68,21 @@ def ascend(nodes: DataFrame, stops: DataFrame | None = None, with_chain: bool =
         start = start.join(marks, "id", "left")
         settled = settled | F.col("_stop").isNotNull()
     chain = [F.when(settled, F.array().cast("array<string>")).otherwise(F.array("id")).alias("chain")] if with_chain else []
-    state = materialize(start.select(
+    state, count = materialize_counted(start.select(
         "id",
         F.when(settled, F.col("id")).otherwise(F.col("parent")).alias("top"),
         F.when(settled, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("depth"),
         settled.alias("done"),
         F.when(settled, F.col("id")).otherwise(F.least("id", "parent")).alias("label"),
         *chain,
-    ), "ascend")
+    ), ~F.col("done"), "ascend")
 
     finished = [state.where("done")]
     active = state.where("NOT done")
-    count, reach, cyclic = active.count(), 1, False
+    reach, cyclic = 1, False
     while count and not (cyclic and reach >= count):
-        lookup = reduce(DataFrame.unionByName, [*finished, active])
+        # Everything above an endless node is endless too.
+        lookup = active if cyclic else reduce(DataFrame.unionByName, [*finished, active])
         up = lookup.select(
             F.col("id").alias("top"), F.col("top").alias("_top"), F.col("depth").alias("_depth"),
             F.col("done").alias("_done"), F.col("label").alias("_label"),
@@ -89,13 +90,12 @@ def ascend(nodes: DataFrame, stops: DataFrame | None = None, with_chain: bool =
         )
         # Chains of endless nodes would only grow, so they are dropped once known.
         longer = [F.when(F.lit(cyclic), F.col("chain")).otherwise(F.concat("_chain", "chain")).alias("chain")] if with_chain else []
-        state = materialize(active.drop("done").join(up, "top").select(
+        state, left = materialize_counted(active.drop("done").join(up, "top").select(
             "id", F.col("_top").alias("top"), (F.col("depth") + F.col("_depth")).alias("depth"),
             F.col("_done").alias("done"), F.least("label", "_label").alias("label"), *longer,
-        ), "ascend")
+        ), ~F.col("done"), "ascend")
         finished.append(state.where("done"))
         active = state.where("NOT done")
-        left = active.count()
         # Depths are contiguous: a round that settles nobody leaves only cycles.
         cyclic = cyclic or left == count
         count, reach = left, reach * 2
@@ -174,8 +174,9 @@ def children(nodes: DataFrame) -> DataFrame:
 RULES = ("missing_external_id", "duplicate", "self_reference", "cycle", "root_count", "missing_parent")
 
 
-def violations(nodes: DataFrame, single_root: bool = True) -> DataFrame:
+def violations(nodes: DataFrame, single_root: bool = True, ascent: Ascent | None = None) -> DataFrame:
     """``(rule, external_id)`` of every broken rule; empty means the hierarchy is sound."""
+    ascent = ascent or ascend(nodes)
     found = [nodes.where(F.col(ID).isNull()).select(F.lit("missing_external_id").alias("rule"), ID)]
     keyed = nodes.where(F.col(ID).isNotNull())
     found.append(
@@ -186,7 +187,7 @@ def violations(nodes: DataFrame, single_root: bool = True) -> DataFrame:
         keyed.where(F.col(PARENT) == F.col(ID)).select(F.lit("self_reference").alias("rule"), ID).distinct()
     )
     # A self-reference is reported by its own rule and is also a cycle of one.
-    found.append(cycle_members(ascend(nodes)).select(F.lit("cycle").alias("rule"), ID))
+    found.append(cycle_members(ascent).select(F.lit("cycle").alias("rule"), ID))
     if single_root:
         roots = keyed.where(is_root(F.col(PARENT))).select(ID).distinct()
         n = roots.limit(2).count()
@@ -261,12 +262,15 @@ def sync_plan(incoming: DataFrame, existing: DataFrame, verify: bool = True, man
     is the depth for upserts (parents first) and minus the depth for deletes (leaves first). With
     ``many`` the input may hold several hierarchies, and a root is never deleted.
     """
+    up = ascend(incoming)
     if verify:
-        broken = violations(incoming, single_root=not many)
+        broken = violations(incoming, not many, up)
         sample = broken.limit(10).collect()
         if sample:
             raise ValueError(f"hierarchy is not sound: {[tuple(r) for r in sample]}")
-    new_up = ascend(incoming).reached.select(F.col("id").alias(ID), F.col("top").alias("_new_top"), F.col("depth").alias("_new_depth"))
+    new_up = up.reached.select(
+        F.col("id").alias(ID), F.col("top").alias("_new_top"), F.col("depth").alias("_new_depth")
+    )
     roots = new_up.select(F.col("_new_top").alias("id")).distinct()
     old_up = ascend(existing, roots).reached
     inside = old_up.join(roots.select(F.col("id").alias("top")), "top", "left_semi").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -93,15 +94,17 @@ def _scored_pairs(sources: DataFrame, targets: DataFrame, threshold: float) -> D
 
     A pair is produced only at the first prefix token it shares, so no distinct is needed.
     """
+    token, weight = (lambda e: e["token"]), (lambda e: e["w"])
     s = sources.select(F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), _prefix(F.col("_vec"), threshold).alias("_sp"))
-    t = targets.select(F.col("_features").alias("_tf"), F.col("_vec").alias("_tv"), _prefix(F.col("_vec"), threshold).alias("_tp"))
+    t = targets.select(
+        F.col("_features").alias("_tf"), _prefix(F.col("_vec"), threshold).alias("_tp"),
+        # Built once per target, below the join.
+        F.map_from_arrays(F.transform("_vec", token), F.transform("_vec", weight)).alias("_tw"),
+    )
     pairs = s.withColumn("token", F.explode("_sp")).join(t.withColumn("token", F.explode("_tp")), "token")
     first = F.get(F.array_intersect("_sp", "_tp"), F.lit(0)) == F.col("token")
-    lookup = F.map_from_arrays(F.transform("_tv", lambda e: e["token"]), F.transform("_tv", lambda e: e["w"]))
-    dot = F.aggregate(
-        F.filter("_sv", lambda e: F.map_contains_key(lookup, e["token"])), F.lit(0.0),
-        lambda acc, e: acc + e["w"] * F.try_element_at(lookup, e["token"]),
-    )
+    dot = F.aggregate("_sv", F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(
+        F.try_element_at("_tw", e["token"]), F.lit(0.0)))
     scored = pairs.where(first).select("_sf", "_tf", dot.alias("score"))
     return scored.where((F.col("score") >= F.lit(threshold - 1e-9)) & (F.col("score") > 0))
 
@@ -123,7 +126,55 @@ class MatchModel:
 
 
 # Scores are found band by band, best first; a source with enough matches leaves.
-_BANDS = (0.6, 0.3)
+_BANDS = (0.9, 0.7, 0.5, 0.3)
+
+
+def _weights(names: DataFrame, feature_type: str) -> DataFrame:
+    """``(token, df, idf)``; only the frequency-weighted types weigh rare tokens up."""
+    df = names.select(F.explode(F.array_distinct("_features")).alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("df")
+    )
+    if feature_type not in ("frequencyweightedbigram", "bigramcombo"):
+        return df.withColumn("idf", F.lit(1.0))
+    return df.withColumn("idf", F.log(F.lit(1.0) + F.lit(float(names.count())) / F.col("df")))
+
+
+def _top(scored: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+    """Best ``k`` targets per source name; fixed precision makes ties independent of summation order."""
+    order = W.partitionBy("_sf").orderBy(F.desc("score"), "target_id")
+    return (
+        scored.withColumn("score", F.round("score", 9)).join(copies, "_tf")
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        .select("_sf", "target_id", "score", "rank")
+    )
+
+
+def _by_band(open_sources: DataFrame, find, k: int, bands: Sequence[float]) -> DataFrame:
+    """Run ``find(open sources, band) -> (top rows, certain score)`` down the bands.
+
+    A source leaves once its k-th match reaches the certain score, above which the
+    band is known to be complete; the last band settles the rest.
+    """
+    done = None
+    for band in bands:
+        best, certain = find(open_sources, band)
+        best = materialize(best, "match")
+        if band == bands[-1]:
+            return best if done is None else done.unionByName(best)
+        full = best.where((F.col("rank") == k) & (F.col("score") >= certain)).select("_sf")
+        settled = best.join(full, "_sf", "left_semi")
+        done = settled if done is None else done.unionByName(settled)
+        open_sources = open_sources.join(full.withColumnRenamed("_sf", "_features"), "_features", "left_anti")
+        if open_sources.isEmpty():
+            return done
+    return done
+
+
+def _lowest_ids(rows: DataFrame, k: int) -> DataFrame:
+    """Of targets under one name, the k lowest ids: no source can use more."""
+    by_id = W.partitionBy("_features").orderBy("target_id")
+    kept = rows.distinct().withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= k)
+    return kept.select(F.col("_features").alias("_tf"), "target_id")
 
 
 def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_matches: int = 1,
@@ -135,7 +186,6 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
     has not found enough matches goes on to the next band, down to the threshold, so
     the result is exact.
     """
-    spark = sources.sparkSession
     s = _texts(sources, model.source_fields, model.feature_type, model.ignore_missing)
     t = _texts(targets, model.target_fields, model.feature_type, model.ignore_missing)
     s = s.select(F.col(source_id).alias("source_id"), "_features").where(F.size("_features") > 0)
@@ -144,41 +194,15 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
 
     s_names, t_names = s.select("_features").distinct(), t.select("_features").distinct()
     names = s_names.unionByName(t_names).distinct()
-    df = names.select(F.explode(F.array_distinct("_features")).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("df")
-    )
-    if model.feature_type in ("frequencyweightedbigram", "bigramcombo"):
-        total = names.count()
-        weights = df.withColumn("idf", F.log(F.lit(1.0) + F.lit(float(total)) / F.col("df")))
-    else:
-        weights = df.withColumn("idf", F.lit(1.0))
-    vectors = materialize(_vectors(names, weights), "match")
-    open_sources = vectors.join(s_names, "_features", "left_semi")
+    vectors = materialize(_vectors(names, _weights(names, model.feature_type)), "match")
     target_vectors = vectors.join(t_names, "_features", "left_semi")
+    copies = _lowest_ids(t, num_matches)
 
-    # The k lowest target ids of a name are all a source can use of it.
-    by_id = W.partitionBy("_features").orderBy("target_id")
-    kept_targets = t.distinct().withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= num_matches)
-    copies = kept_targets.select(F.col("_features").alias("_tf"), "target_id")
+    def find(open_sources, band):
+        return _top(_scored_pairs(open_sources, target_vectors, band), copies, num_matches), band
 
-    order = W.partitionBy("_sf").orderBy(F.desc("score"), "target_id")
     bands = [b for b in _BANDS if b > score_threshold] + [score_threshold]
-    done = None
-    for band in bands:
-        scored = _scored_pairs(open_sources, target_vectors, band)
-        # Fixed precision makes equal scores equal whatever the summation order.
-        best = (
-            scored.withColumn("score", F.round("score", 9)).join(copies, "_tf")
-            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= num_matches)
-            .select("_sf", "target_id", "score", "rank")
-        )
-        best = materialize(best, "match")
-        full = best.where(F.col("rank") == num_matches).select(F.col("_sf").alias("_features"))
-        last = band == bands[-1]
-        settled = best if last else best.join(full.select(F.col("_features").alias("_sf")), "_sf", "left_semi")
-        done = settled if done is None else done.unionByName(settled)
-        if not last:
-            open_sources = open_sources.join(full, "_features", "left_anti")
+    done = _by_band(vectors.join(s_names, "_features", "left_semi"), find, num_matches, bands)
     by_source = s.join(done.withColumnRenamed("_sf", "_features"), "_features")
     return by_source.select("source_id", "target_id", "score", "rank")
 
@@ -199,63 +223,98 @@ def match_results(sources: DataFrame, pairs: DataFrame, source_id: str = "id") -
 _SIMILARITIES = ("simple", "insensitive", "bigram", "bigramextratokenizers")
 
 
-def _similarity(a: Column, b: Column) -> Column:
-    """Cosine of two feature sets."""
+def _named(df: DataFrame, fields: Sequence[str], alias: str) -> DataFrame:
+    """``(<alias>_id, _name)``: the match fields as one text."""
+    name = F.concat_ws(" ", *[F.col(f).cast("string") for f in fields])
+    return df.select(F.col("id").alias(f"{alias}_id"), name.alias("_name"))
+
+
+def _set_cosine(a: Column, b: Column) -> Column:
     a, b = F.array_distinct(a), F.array_distinct(b)
     shared = F.size(F.array_intersect(a, b)).cast("double")
     return F.coalesce(F.try_divide(shared, F.sqrt(F.size(a).cast("double") * F.size(b))), F.lit(0.0))
 
 
-def _with_similarities(pairs: DataFrame) -> DataFrame:
-    return pairs.select("*", *[
-        _similarity(name_features(F.col("_sname"), k), name_features(F.col("_tname"), k)).alias(f"sim_{k}")
+def _similarities(source: str, target: str) -> list[Column]:
+    return [
+        _set_cosine(name_features(F.col(source), k), name_features(F.col(target), k)).alias(f"sim_{k}")
         for k in _SIMILARITIES
-    ])
-
-
-def _candidates(sources: DataFrame, targets: DataFrame, model: MatchModel, per_source: int) -> DataFrame:
-    relaxed = MatchModel(model.source_fields, model.target_fields, "bigramextratokenizers", model.ignore_missing)
-    return match_pairs(sources, targets, relaxed, per_source).select("source_id", "target_id")
-
-
-def _named(pairs: DataFrame, sources: DataFrame, targets: DataFrame, model: MatchModel) -> DataFrame:
-    text = lambda fields: F.concat_ws(" ", *[F.col(f).cast("string") for f in fields])
-    s = sources.select(F.col("id").alias("source_id"), text(model.source_fields).alias("_sname"))
-    t = targets.select(F.col("id").alias("target_id"), text(model.target_fields).alias("_tname"))
-    return _with_similarities(pairs.join(s, "source_id").join(t, "target_id"))
+    ]
 
 
 def fit_supervised(sources: DataFrame, targets: DataFrame, true_matches: DataFrame, model: MatchModel,
                    per_source: int = 5):
     """Logistic regression over name similarities; ``true_matches(source_id, target_id)`` are the positives.
 
-    Negatives are the candidates of the labelled sources that are not true matches.
+    Negatives are the nearest other targets of the labelled sources. Coefficients are
+    kept from going negative: a more similar pair never scores lower.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.linalg import Matrices
 
     labelled = sources.join(true_matches.select(F.col("source_id").alias("id")).distinct(), "id", "left_semi")
+    relaxed = MatchModel(model.source_fields, model.target_fields, "bigramextratokenizers", model.ignore_missing)
+    near = match_pairs(labelled, targets, relaxed, per_source).select("source_id", "target_id")
     truth = true_matches.select("source_id", "target_id").distinct()
-    wrong = _candidates(labelled, targets, model, per_source).join(truth, ["source_id", "target_id"], "left_anti")
+    wrong = near.join(truth, ["source_id", "target_id"], "left_anti")
     pairs = truth.withColumn("label", F.lit(1.0)).unionByName(wrong.withColumn("label", F.lit(0.0)))
-    training = materialize(_named(pairs, sources, targets, model), "match")
+    named = pairs.join(_named(labelled, model.source_fields, "source").withColumnRenamed("_name", "_s"), "source_id") \
+        .join(_named(targets, model.target_fields, "target").withColumnRenamed("_name", "_t"), "target_id")
+    training = materialize(named.select("label", *_similarities("_s", "_t")), "match")
     inputs = [f"sim_{k}" for k in _SIMILARITIES]
+    floor = Matrices.dense(1, len(inputs), [0.0] * len(inputs))
     stages = [VectorAssembler(inputCols=inputs, outputCol="features"),
-              LogisticRegression(regParam=0.01, maxIter=50)]
+              LogisticRegression(regParam=0.01, maxIter=50, standardization=False, lowerBoundsOnCoefficients=floor)]
     return Pipeline(stages=stages).fit(training)
 
 
 def predict_supervised(fitted, sources: DataFrame, targets: DataFrame, model: MatchModel, num_matches: int = 1,
-                       score_threshold: float = 0.0, per_source: int = 5) -> DataFrame:
-    """As :func:`match_pairs`, scored by the fitted model over each source's nearest candidates."""
-    from pyspark.ml.functions import vector_to_array
+                       score_threshold: float = 0.0) -> DataFrame:
+    """As :func:`match_pairs`, scored by the fitted model.
 
-    pairs = _named(_candidates(sources, targets, model, max(per_source, num_matches)), sources, targets, model)
-    scored = fitted.transform(pairs).withColumn("score", F.round(vector_to_array("probability")[1], 6))
-    order = W.partitionBy("source_id").orderBy(F.desc("score"), "target_id")
-    return (
-        scored.where(F.col("score") >= F.lit(score_threshold))
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= num_matches)
-        .select("source_id", "target_id", "score", "rank")
-    )
+    A band holds every pair in which some similarity reaches it. With coefficients
+    that are not negative, any other pair scores below the model's value at the band,
+    so sources above that value are settled. Pairs without a shared token never match.
+    """
+    regression = fitted.stages[-1]
+    weights, base = [float(c) for c in regression.coefficients], float(regression.intercept)
+    s = materialize(_named(sources, model.source_fields, "source"), "match")
+    t = materialize(_named(targets, model.target_fields, "target"), "match")
+    s_names, t_names = s.select("_name").distinct(), t.select("_name").distinct()
+
+    def vectors(names, kind, weigh):
+        feats = names.withColumn("_features", F.array_sort(F.array_distinct(name_features(F.col("_name"), kind))))
+        feats = feats.where(F.size("_features") > 0)
+        return feats, materialize(_vectors(feats.select("_features").distinct(), weigh), "match")
+
+    sides = {}
+    for kind in _SIMILARITIES:
+        every = s_names.unionByName(t_names).distinct().select(
+            F.array_sort(F.array_distinct(name_features(F.col("_name"), kind))).alias("_features")).distinct()
+        weigh = materialize(_weights(every, "simple"), "match")
+        sides[kind] = vectors(s_names, kind, weigh), vectors(t_names, kind, weigh)
+    copies = _lowest_ids(t.withColumnRenamed("_name", "_features"), num_matches)
+
+    def find(open_sources, band):
+        near = None
+        for kind, ((s_feats, s_vec), (t_feats, t_vec)) in sides.items():
+            still = s_feats.join(open_sources.withColumnRenamed("_features", "_name"), "_name", "left_semi")
+            wanted = s_vec.join(still.select("_features").distinct(), "_features", "left_semi")
+            hits = _scored_pairs(wanted, t_vec, band).select("_sf", "_tf")
+            hits = hits.join(still.select(F.col("_features").alias("_sf"), F.col("_name").alias("_sn")), "_sf")
+            hits = hits.join(t_feats.select(F.col("_features").alias("_tf"), F.col("_name").alias("_tn")), "_tf")
+            part = hits.select(F.col("_sn").alias("_sf"), F.col("_tn").alias("_tf"))
+            near = part if near is None else near.unionByName(part)
+        sims = near.distinct().select("_sf", "_tf", *_similarities("_sf", "_tf"))
+        linear = F.lit(base)
+        for kind, w in zip(_SIMILARITIES, weights):
+            linear = linear + F.lit(w) * F.col(f"sim_{kind}")
+        scored = sims.select("_sf", "_tf", (1 / (1 + F.exp(-linear))).alias("score"))
+        certain = 1 / (1 + math.exp(-(base + band * sum(weights))))
+        return _top(scored.where(F.col("score") >= F.lit(score_threshold)), copies, num_matches), certain
+
+    done = _by_band(s_names.withColumnRenamed("_name", "_features"), find, num_matches, [*_BANDS, 0.0])
+    by_source = s.join(done.withColumnRenamed("_sf", "_name"), "_name")
+    return by_source.select("source_id", "target_id", "score", "rank")

@@ -138,7 +138,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, mode: str = UPD
 
     ``_change`` is created, updated or untouched. The source is deduplicated by key
     first, so one full outer join settles creates and updates together. With
-    ``ignore_nulls=False`` unset scalars of an update overwrite too. ``only`` keeps
+    ``ignore_nulls=False`` nulls in columns the source does have overwrite too. ``only`` keeps
     just creates (``"create"``) or just updates (``"update"``) of the source.
     """
     if mode not in (UPDATE, REPLACE):
@@ -162,7 +162,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, mode: str = UPD
         o, n = F.col("_old")[f.name], F.col("_new")[f.name]
         rule = spec.rule(f.name, mode)
         result = _merged(o, n, f.dataType, rule, mode)
-        if mode == UPDATE and not ignore_nulls and rule == SET:
+        if mode == UPDATE and not ignore_nulls and rule == SET and f.name in given:
             result = n
         if mode == REPLACE and f.name in spec.required_on_replace:
             error = F.raise_error(F.lit(f"replace needs {f.name}")).cast(f.dataType)

@@ -158,7 +158,8 @@ def _pieces(rows: DataFrame, g: Granularity) -> DataFrame:
     step = F.col("_step")
     enters = pts.isNull() | (pts < w)
     entry = F.when(pts.isNotNull() & (pts < w), F.when(step, pv).otherwise(_line(pts, pv, ts, v, w)))
-    out_end = F.least(nts, w + F.lit(g.ms))
+    # least() skips nulls: nothing is drawn after the last point.
+    out_end = F.when(nts.isNotNull(), F.least(nts, w + F.lit(g.ms)))
     out_value = F.when(step, v).otherwise(_line(ts, v, nts, nv, out_end))
     rows = rows.select(
         "*", enters.alias("_enters"), entry.alias("_entry"),

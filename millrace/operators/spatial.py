@@ -14,6 +14,10 @@ _BITS = 5            # block sizes are powers of 32
 _LEVELS = 9          # up to 2**45 nodes per revision
 
 
+def _on_level(numbers: Column, level: int) -> Column:
+    return F.transform(numbers, lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
+
+
 def _blocks(lo: Column, hi: Column) -> Column:
     """Aligned blocks ``struct<level, block>`` that exactly tile ``[lo, hi)``.
 
@@ -37,7 +41,7 @@ def _blocks(lo: Column, hi: Column) -> Column:
                 whole,
                 F.concat(span(first, outer_first * fan - 1), span((outer_last + 1) * fan, last)),
             ).otherwise(span(first, last))
-        tiles.append(F.transform(numbers, lambda b, n=level: F.struct(F.lit(n).alias("level"), b.alias("block"))))
+        tiles.append(_on_level(numbers, level))
     return F.when(lo < hi, F.concat(*tiles)).otherwise(none)
 
 

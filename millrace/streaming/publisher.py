@@ -110,7 +110,7 @@ class ChangeReader:
 def file_stream(spark: SparkSession, path: str, schema: StructType, filter: Mapping | None = None,
                 start_ms: int | None = None, end_ms: int | None = None,
                 time_column: str = "last_updated_time", max_files: int | None = None) -> DataFrame:
-    """A streaming frame over a folder of Parquet files, filtered and bounded in time."""
+    """A streaming frame over a folder (or glob) of Parquet files, filtered and bounded in time."""
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
