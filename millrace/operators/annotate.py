@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 _TOKEN = r"(\p{L}+|\p{N}+)"
 _PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
 
-@F.pandas_udf("array<struct<token:string,start:int,stop:int>>")
+_PLACED = T.ArrayType(T.StructType([
+    T.StructField("token", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
+]))
+
+
+@F.pandas_udf(_PLACED)
 def tokens_with_offsets(texts: pd.Series) -> pd.Series:
     """Lower-case runs of letters or digits with their character offsets.
 

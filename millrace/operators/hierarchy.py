@@ -44,7 +44,7 @@ class Ascent:
     ``reached``: ``(id, top, depth[, chain])`` of nodes whose chain ends at a root
     (or a stop node); ``chain`` lists the ids from just below the top to the node.
     ``endless``: ``(id, top, label)`` of nodes on or below a cycle, ``top`` being a
-    cycle member and ``label`` one id shared by everything hanging on the cycle.
+    cycle member and ``label`` the least id met on the way up and around.
     """
 
     reached: DataFrame
@@ -112,7 +112,8 @@ def cycle_members(ascent: Ascent) -> DataFrame:
 def components(nodes: DataFrame) -> DataFrame:
     """``(external_id, component)``: the root reached, or the least id around a cycle."""
     up = ascend(nodes)
-    labels = up.endless.groupBy(F.col("top").alias("top")).agg(F.min("label").alias("component"))
+    # The label of a ring member covers its ring only; below a ring it covers the tail too.
+    labels = up.endless.select(F.col("id").alias("top"), F.col("label").alias("component"))
     rings = up.endless.join(labels, "top").select(F.col("id").alias(ID), "component")
     return up.reached.select(F.col("id").alias(ID), F.col("top").alias("component")).unionByName(rings)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -53,7 +53,10 @@ def _texts(df: DataFrame, fields: Sequence[str], feature_type: str, ignore_missi
 
 
 def _vectors(names: DataFrame, weights: DataFrame | None) -> DataFrame:
-    """Distinct feature lists to unit vectors ``_vec array<struct<df, token, w>>``, rare tokens first."""
+    """Distinct feature lists to unit vectors ``_vec array<struct<df, token, w, rest>>``.
+
+    Rare tokens come first; ``rest`` is the norm of the tokens after this one.
+    """
     counted = names.select("_features", F.explode("_features").alias("token")).groupBy("_features", "token").agg(
         F.count(F.lit(1)).cast("double").alias("w")
     )
@@ -62,20 +65,24 @@ def _vectors(names: DataFrame, weights: DataFrame | None) -> DataFrame:
     packed = weighed.groupBy("_features").agg(
         F.array_sort(F.collect_list(F.struct(F.col("df"), F.col("token"), raw.alias("w")))).alias("_vec")
     )
-    norm = F.sqrt(F.aggregate("_vec", F.lit(0.0), lambda s, e: s + e["w"] * e["w"]))
-    return packed.withColumn("_norm", norm).select("_features", F.transform(
+    mass = lambda v: F.aggregate(v, F.lit(0.0), lambda s, e: s + e["w"] * e["w"])
+    unit = packed.withColumn("_norm", F.sqrt(mass(F.col("_vec")))).select("_features", F.transform(
         "_vec", lambda e: F.struct(e["df"].alias("df"), e["token"].alias("token"), (e["w"] / F.col("_norm")).alias("w"))
     ).alias("_vec"))
+    rest = lambda i: F.sqrt(mass(F.slice("_vec", i + 2, F.greatest(F.size("_vec") - i - 1, F.lit(0)))))
+    return unit.select("_features", F.transform(
+        "_vec", lambda e, i: F.struct(e["df"].alias("df"), e["token"].alias("token"), e["w"].alias("w"), rest(i).alias("rest"))
+    ).alias("_vec"))
 
 
 def _prefix(vec: Column, threshold: float) -> Column:
-    """Tokens that a partner scoring at least ``threshold`` must share one of.
+    """Entries that a partner scoring at least ``threshold`` must share one of.
 
     Walking from the frequent end, tokens are left out while their joint weight stays
     below the threshold: a partner sharing only those cannot reach it.
     """
     if threshold <= 0:
-        return F.transform(vec, lambda e: e["token"])
+        return vec
     start = F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("n"))
     # The small slack keeps rounding from dropping a pair that sits on the threshold.
     limit = max(threshold * threshold - 1e-9, 0.0)
@@ -86,22 +93,32 @@ def _prefix(vec: Column, threshold: float) -> Column:
             (s["n"] + F.when(s["mass"] + e["w"] * e["w"] < limit, 1).otherwise(0)).alias("n"),
         ),
     )["n"]
-    return F.transform(F.slice(vec, F.lit(1), F.greatest(F.size(vec) - droppable, F.lit(0))), lambda e: e["token"])
+    return F.slice(vec, F.lit(1), F.greatest(F.size(vec) - droppable, F.lit(0)))
 
 
 def _scored_pairs(sources: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
     """All vector pairs scoring at least ``threshold`` (above 0): ``(_sf, _tf, score)``.
 
-    A pair is produced only at the first prefix token it shares, so no distinct is needed.
+    A pair is produced only at the first prefix token it shares, so no distinct is
+    needed. There its score is at most that token's share plus the product of the
+    remaining norms, which drops most pairs inside the join.
     """
     token, weight = (lambda e: e["token"]), (lambda e: e["w"])
-    s = sources.select(F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), _prefix(F.col("_vec"), threshold).alias("_sp"))
+    prefix = _prefix(F.col("_vec"), threshold)
+    # Few source bytes can mean many pairs, so the split goes by row, not by size.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = sources.repartition(tasks, "_features").select(
+        F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), F.transform(prefix, token).alias("_sp"),
+        F.explode(prefix).alias("_se"),
+    ).withColumn("token", F.col("_se.token"))
     t = targets.select(
-        F.col("_features").alias("_tf"), _prefix(F.col("_vec"), threshold).alias("_tp"),
+        F.col("_features").alias("_tf"), F.transform(prefix, token).alias("_tp"),
         # Built once per target, below the join.
         F.map_from_arrays(F.transform("_vec", token), F.transform("_vec", weight)).alias("_tw"),
-    )
-    pairs = s.withColumn("token", F.explode("_sp")).join(t.withColumn("token", F.explode("_tp")), "token")
+        F.explode(prefix).alias("_te"),
+    ).withColumn("token", F.col("_te.token"))
+    bound = F.col("_se.w") * F.col("_te.w") + F.col("_se.rest") * F.col("_te.rest")
+    pairs = s.join(t, "token").where(bound >= F.lit(threshold - 1e-9))
     first = F.get(F.array_intersect("_sp", "_tp"), F.lit(0)) == F.col("token")
     dot = F.aggregate("_sv", F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(
         F.try_element_at("_tw", e["token"]), F.lit(0.0)))
@@ -235,10 +252,10 @@ def _set_cosine(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(shared, F.sqrt(F.size(a).cast("double") * F.size(b))), F.lit(0.0))
 
 
-def _similarities(source: str, target: str) -> list[Column]:
+def _similarities(source: str, target: str, kinds: Iterable[str] = _SIMILARITIES) -> list[Column]:
     return [
         _set_cosine(name_features(F.col(source), k), name_features(F.col(target), k)).alias(f"sim_{k}")
-        for k in _SIMILARITIES
+        for k in kinds
     ]
 
 
@@ -279,7 +296,11 @@ def predict_supervised(fitted, sources: DataFrame, targets: DataFrame, model: Ma
     so sources above that value are settled. Pairs without a shared token never match.
     """
     regression = fitted.stages[-1]
-    weights, base = [float(c) for c in regression.coefficients], float(regression.intercept)
+    base = float(regression.intercept)
+    # A similarity without weight neither finds nor scores pairs.
+    weights = {k: float(c) for k, c in zip(_SIMILARITIES, regression.coefficients) if c > 0}
+    if not weights:
+        raise ValueError("the model tells no pair from another; give more true matches")
     s = materialize(_named(sources, model.source_fields, "source"), "match")
     t = materialize(_named(targets, model.target_fields, "target"), "match")
     s_names, t_names = s.select("_name").distinct(), t.select("_name").distinct()
@@ -290,7 +311,7 @@ def predict_supervised(fitted, sources: DataFrame, targets: DataFrame, model: Ma
         return feats, materialize(_vectors(feats.select("_features").distinct(), weigh), "match")
 
     sides = {}
-    for kind in _SIMILARITIES:
+    for kind in weights:
         every = s_names.unionByName(t_names).distinct().select(
             F.array_sort(F.array_distinct(name_features(F.col("_name"), kind))).alias("_features")).distinct()
         weigh = materialize(_weights(every, "simple"), "match")
@@ -307,12 +328,12 @@ def predict_supervised(fitted, sources: DataFrame, targets: DataFrame, model: Ma
             hits = hits.join(t_feats.select(F.col("_features").alias("_tf"), F.col("_name").alias("_tn")), "_tf")
             part = hits.select(F.col("_sn").alias("_sf"), F.col("_tn").alias("_tf"))
             near = part if near is None else near.unionByName(part)
-        sims = near.distinct().select("_sf", "_tf", *_similarities("_sf", "_tf"))
+        sims = near.distinct().select("_sf", "_tf", *_similarities("_sf", "_tf", weights))
         linear = F.lit(base)
-        for kind, w in zip(_SIMILARITIES, weights):
+        for kind, w in weights.items():
             linear = linear + F.lit(w) * F.col(f"sim_{kind}")
         scored = sims.select("_sf", "_tf", (1 / (1 + F.exp(-linear))).alias("score"))
-        certain = 1 / (1 + math.exp(-(base + band * sum(weights))))
+        certain = 1 / (1 + math.exp(-(base + band * sum(weights.values()))))
         return _top(scored.where(F.col("score") >= F.lit(score_threshold)), copies, num_matches), certain
 
     done = _by_band(s_names.withColumnRenamed("_name", "_features"), find, num_matches, [*_BANDS, 0.0])

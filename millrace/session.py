@@ -29,6 +29,7 @@ def local_session(name: str = "millrace", cores: str = "*", **conf: str) -> Spar
     settings = {
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         **SESSION_CONF,
         **conf,
