@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -10,72 +10,67 @@ from pyspark.sql import Column, functions as F
 _BLANKS = "".join(chr(c) for c in range(0x21))
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _is_number(kind: Column) -> Column:
-    return kind.rlike(r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$")
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value``, which is computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _as_text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-def _as_double(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "double")
+def _is_number(json: Column) -> Column:
+    return json.substr(1, 1).rlike("[-0-9]")
+
+
+def _is_text(json: Column) -> Column:
+    return json.startswith('"')
 
 
 def _checked(result: Column, value: Column, target: str, strict: bool) -> Column:
     if not strict:
         return result
-    problem = F.concat(F.lit(f"cannot read as {target}: "), F.coalesce(value.cast("string"), F.lit("unset")))
-    return F.when(result.isNull(), F.raise_error(problem)).otherwise(result)
+    problem = F.concat(F.lit(f"cannot read as {target}: "), F.coalesce(_as_text(value), F.lit("unset")))
+    return let(result, lambda r: F.when(r.isNull(), F.raise_error(problem)).otherwise(r))
+
 
+# The first character of a value's JSON text tells its kind.
 
 def value_to_string(value: Column) -> Column:
     """Text of a value: text is trimmed, numbers print as doubles, null as ``null``, unset as empty."""
-    kind = _kind(value)
-    return (
-        F.when(value.isNull(), F.lit(""))
-        .when(kind == "VOID", F.lit("null"))
-        .when(kind == "STRING", F.btrim(_as_text(value), F.lit(_BLANKS)))
-        .when(_is_number(kind), _as_double(value).cast("string"))
-        .otherwise(value.cast("string"))
-    )
+    return let(F.to_json(value), lambda j: (
+        F.when(j.isNull(), F.lit(""))
+        .when(_is_text(j), F.btrim(_as_text(value), F.lit(_BLANKS)))
+        .when(_is_number(j), j.try_cast("double").cast("string"))
+        .otherwise(j)
+    ))
 
 
 def value_to_double(value: Column, strict: bool = False) -> Column:
     """A number, or text that reads as one; otherwise null, or an error when ``strict``."""
-    kind = _kind(value)
-    result = F.when(_is_number(kind), _as_double(value)).when(
-        kind == "STRING", _as_text(value).try_cast("double")
-    )
+    result = let(F.to_json(value), lambda j: (
+        F.when(_is_number(j), j.try_cast("double")).when(_is_text(j), _as_text(value).try_cast("double"))
+    ))
     return _checked(result, value, "double", strict)
 
 
 def value_to_long(value: Column, strict: bool = False) -> Column:
     """A number rounded half up, or integer text; otherwise null, or an error when ``strict``."""
-    kind = _kind(value)
-    text = _as_text(value)
-    whole = F.try_variant_get(value, "$", "long")
-    rounded = F.floor(_as_double(value) + F.lit(0.5)).cast("long")
-    result = (
-        F.when(kind.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), whole)
-        .when(_is_number(kind), rounded)
-        .when((kind == "STRING") & text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("long"))
-    )
+    rounded = lambda j: F.floor(j.try_cast("double") + F.lit(0.5)).cast("long")
+    whole = lambda t: F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long"))
+    result = let(F.to_json(value), lambda j: (
+        F.when(_is_number(j), F.coalesce(whole(j), rounded(j))).when(_is_text(j), let(_as_text(value), whole))
+    ))
     return _checked(result, value, "long", strict)
 
 
 def value_to_boolean(value: Column, strict: bool = False) -> Column:
     """A boolean; a number equal to 1; text equal to ``true`` in any case."""
-    kind = _kind(value)
-    result = (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(_is_number(kind), _as_double(value) == F.lit(1.0))
-        .when(kind == "STRING", F.lower(_as_text(value)) == "true")
-    )
+    result = let(F.to_json(value), lambda j: (
+        F.when(j.isin("true", "false"), j == "true")
+        .when(_is_number(j), j.try_cast("double") == F.lit(1.0))
+        .when(_is_text(j), F.lower(_as_text(value)) == "true")
+    ))
     return _checked(result, value, "boolean", strict)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Sequence
+
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -10,20 +12,37 @@ _TOKEN = r"(\p{L}+|\p{N}+)"
 _PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
 
-_PLACED = T.ArrayType(T.StructType([
-    T.StructField("token", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
+_GRAMS = T.ArrayType(T.StructType([
+    T.StructField("gram", T.StringType()), T.StructField("start", T.IntegerType()),
+    T.StructField("stop", T.IntegerType()), T.StructField("text", T.StringType()),
 ]))
 
 
-@F.pandas_udf(_PLACED)
-def tokens_with_offsets(texts: pd.Series) -> pd.Series:
-    """Lower-case runs of letters or digits with their character offsets.
+def token_runs(lengths: Sequence[int]):
+    """UDF: all runs of ``lengths`` tokens in a text, folded, with offsets and the text they cover.
 
     Spark has no expression that returns match positions in linear time.
     """
-    return texts.map(lambda text: None if text is None else [
-        {"token": m.group().lower(), "start": m.start(), "stop": m.end()} for m in _PY_TOKEN.finditer(text)
-    ])
+    def runs(texts: pa.Array) -> pa.Array:
+        grams, starts, stops, covered, offsets = [], [], [], [], [0]
+        for text in texts.to_pylist():
+            spans = [m.span() for m in _PY_TOKEN.finditer(text)] if text else []
+            tokens = [text[a:b].lower() for a, b in spans]
+            for n in lengths:
+                for i in range(len(tokens) - n + 1):
+                    a, b = spans[i][0], spans[i + n - 1][1]
+                    grams.append(" ".join(tokens[i:i + n]))
+                    starts.append(a)
+                    stops.append(b)
+                    covered.append(text[a:b])
+            offsets.append(len(grams))
+        cells = pa.StructArray.from_arrays(
+            [pa.array(grams, pa.string()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()),
+             pa.array(covered, pa.string())], ["gram", "start", "stop", "text"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
+
+    runs.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(runs, _GRAMS)
 
 
 def name_tokens(name: Column) -> Column:
@@ -74,20 +93,9 @@ def detect_annotations(documents: DataFrame, entities: DataFrame, search_field:
     lengths = sorted(r[0] for r in grams.select("n").distinct().collect())
     if not lengths:
         lengths = [max(min_tokens, 1)]
-    tokenised = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"),
-                                 tokens_with_offsets(F.col(text)).alias("_t"))
-    run = lambda n: F.transform(
-        F.when(F.size("_t") >= n, F.sequence(F.lit(1), F.size("_t") - (n - 1))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.array_join(F.transform(F.slice("_t", i, F.lit(n)), lambda e: e["token"]), " ").alias("gram"),
-            F.get("_t", i - 1)["start"].alias("start"),
-            F.get("_t", i + (n - 2))["stop"].alias("stop"),
-        ),
-    )
-    # The text is cut to the hit before the join, so only short strings travel.
-    runs = tokenised.select("doc_id", "_text", F.explode(F.concat(*[run(n) for n in lengths])).alias("r")).select(
-        "doc_id", "r.gram", "r.start", "r.stop",
-        F.substring("_text", F.col("r.start") + 1, F.col("r.stop") - F.col("r.start")).alias("text"),
+    # Only the short runs leave the scan: the text itself is neither exploded nor shuffled.
+    runs = documents.select(F.col(doc_id).alias("doc_id"), F.explode(token_runs(lengths)(F.col(text))).alias("r")).select(
+        "doc_id", "r.gram", "r.start", "r.stop", "r.text"
     )
     hits = runs.join(grams.select("gram", "name_key", "confidence"), "gram")
     if partial_match:

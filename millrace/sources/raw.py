@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.operators.merge import SPECS, delete_keys, merge
 from millrace.plans.filters import raw_modified_window
 
+# Variant types of a whole number.
+_WHOLE = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 RAW_KEYS = ("db_name", "table_name", "key")
 
 
@@ -18,28 +20,31 @@ def parse_raw_rows(lines: DataFrame, db: str, table: str, column: str = "value")
     A row is an object with textual ``key``, integral ``lastUpdatedTime`` and object
     ``columns``; everything else is a reject with its text and the reason.
     """
-    v = F.try_parse_json(F.col(column))
-    kind = lambda path: F.schema_of_variant(F.try_variant_get(F.col("_v"), path, "variant"))
-    read = lines.select(F.col(column).alias("text"), v.alias("_v")).select(
-        "text", "_v", kind("$").alias("_doc"), kind("$.key").alias("_key"),
-        kind("$.lastUpdatedTime").alias("_time"), kind("$.columns").alias("_cols"),
+    part = lambda v, path: F.try_variant_get(v, path, "variant")
+    is_object = lambda v, path: F.try_variant_get(v, path, "map<string,variant>").isNotNull()
+
+    def read(v: Column) -> Column:
+        reason = (
+            F.when(v.isNull(), "not JSON")
+            .when(~is_object(v, "$"), "not an object")
+            .when(F.coalesce(F.schema_of_variant(part(v, "$.key")) != "STRING", F.lit(True)), "key is not text")
+            .when(~F.coalesce(F.schema_of_variant(part(v, "$.lastUpdatedTime")).isin(*_WHOLE), F.lit(False)),
+                  "lastUpdatedTime is not a whole number")
+            .when(~is_object(v, "$.columns"), "columns is not an object")
+        )
+        return F.struct(
+            reason.alias("reason"), F.try_variant_get(v, "$.key", "string").alias("key"),
+            F.try_variant_get(v, "$.lastUpdatedTime", "bigint").alias("last_updated_time"),
+            part(v, "$.columns").alias("columns"),
+        )
+
+    # The generator keeps filters above it, so every line is parsed once.
+    once = F.explode(F.transform(F.array(F.try_parse_json(F.col(column))), read))
+    parsed = lines.select(F.col(column).alias("text"), once.alias("r"))
+    rows = parsed.where(F.col("r.reason").isNull()).select(
+        F.lit(db).alias("db_name"), F.lit(table).alias("table_name"), "r.key", "r.last_updated_time", "r.columns"
     )
-    reason = (
-        F.when(F.col("_v").isNull(), "not JSON")
-        .when(~F.coalesce(F.col("_doc").startswith("OBJECT"), F.lit(False)), "not an object")
-        .when(F.coalesce(F.col("_key") != "STRING", F.lit(True)), "key is not text")
-        .when(F.coalesce(~F.col("_time").isin("TINYINT", "SMALLINT", "INT", "BIGINT"), F.lit(True)),
-              "lastUpdatedTime is not a whole number")
-        .when(~F.coalesce(F.col("_cols").startswith("OBJECT"), F.lit(False)), "columns is not an object")
-    )
-    read = read.withColumn("reason", reason)
-    rows = read.where(F.col("reason").isNull()).select(
-        F.lit(db).alias("db_name"), F.lit(table).alias("table_name"),
-        F.variant_get("_v", "$.key", "string").alias("key"),
-        F.variant_get("_v", "$.lastUpdatedTime", "bigint").alias("last_updated_time"),
-        F.variant_get("_v", "$.columns", "variant").alias("columns"),
-    )
-    return rows, read.where(F.col("reason").isNotNull()).select("text", "reason")
+    return rows, parsed.where(F.col("r.reason").isNotNull()).select("text", "r.reason")
 
 
 def raw_scan(rows: DataFrame, db: str, table: str, columns: Sequence[str] | None = None,
