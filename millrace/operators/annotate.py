@@ -12,15 +12,18 @@ _TOKEN = r"(\p{L}+|\p{N}+)"
 _PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
 
+_FIRSTS = 100_000
 _GRAMS = T.ArrayType(T.StructType([
     T.StructField("gram", T.StringType()), T.StructField("start", T.IntegerType()),
     T.StructField("stop", T.IntegerType()), T.StructField("text", T.StringType()),
 ]))
 
 
-def token_runs(lengths: Sequence[int]):
+def token_runs(lengths: Sequence[int], firsts: frozenset[str] | None = None):
     """UDF: all runs of ``lengths`` tokens in a text, folded, with offsets and the text they cover.
 
+    ``firsts`` leaves out runs that begin with none of these tokens.
+
     Spark has no expression that returns match positions in linear time.
     """
     def runs(texts: pa.Array) -> pa.Array:
@@ -28,8 +31,11 @@ def token_runs(lengths: Sequence[int]):
         for text in texts.to_pylist():
             spans = [m.span() for m in _PY_TOKEN.finditer(text)] if text else []
             tokens = [text[a:b].lower() for a, b in spans]
+            begins = range(len(tokens)) if firsts is None else [i for i, t in enumerate(tokens) if t in firsts]
             for n in lengths:
-                for i in range(len(tokens) - n + 1):
+                for i in begins:
+                    if i + n > len(tokens):
+                        break
                     a, b = spans[i][0], spans[i + n - 1][1]
                     grams.append(" ".join(tokens[i:i + n]))
                     starts.append(a)
@@ -93,8 +99,12 @@ def detect_annotations(documents: DataFrame, entities: DataFrame, search_field:
     lengths = sorted(r[0] for r in grams.select("n").distinct().collect())
     if not lengths:
         lengths = [max(min_tokens, 1)]
+    # Up to a counted bound the first tokens travel to the tasks; beyond it all runs are joined.
+    begin = F.substring_index("gram", " ", 1)
+    found = grams.select(begin).distinct().limit(_FIRSTS + 1).collect()
+    firsts = frozenset(r[0] for r in found) if len(found) <= _FIRSTS else None
     # Only the short runs leave the scan: the text itself is neither exploded nor shuffled.
-    runs = documents.select(F.col(doc_id).alias("doc_id"), F.explode(token_runs(lengths)(F.col(text))).alias("r")).select(
+    runs = documents.select(F.col(doc_id).alias("doc_id"), F.explode(token_runs(lengths, firsts)(F.col(text))).alias("r")).select(
         "doc_id", "r.gram", "r.start", "r.stop", "r.text"
     )
     hits = runs.join(grams.select("gram", "name_key", "confidence"), "gram")
