@@ -60,9 +60,9 @@ def ascend(nodes: DataFrame, stops: DataFrame | None = None, with_chain: bool =
     the shared folder, so lineage stays one round deep.
     """
     edges = _edges(nodes)
-    known = edges.select(F.col("id").alias("parent"), F.lit(True).alias("_known"))
+    known = edges.select(F.col("id").alias("parent"), F.col("parent").isNull().alias("_under_root"))
     start = edges.join(known, "parent", "left")
-    settled = F.col("_known").isNull()
+    settled = F.col("_under_root").isNull()
     if stops is not None:
         marks = stops.select(F.col(stops.columns[0]).alias("id"), F.lit(True).alias("_stop")).distinct()
         start = start.join(marks, "id", "left")
@@ -72,7 +72,7 @@ def ascend(nodes: DataFrame, stops: DataFrame | None = None, with_chain: bool =
         "id",
         F.when(settled, F.col("id")).otherwise(F.col("parent")).alias("top"),
         F.when(settled, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("depth"),
-        settled.alias("done"),
+        (settled | F.col("_under_root")).alias("done"),
         F.when(settled, F.col("id")).otherwise(F.least("id", "parent")).alias("label"),
         *chain,
     ), ~F.col("done"), "ascend")
@@ -160,8 +160,8 @@ def subtree(nodes: DataFrame, roots: Sequence[str] | DataFrame) -> DataFrame:
     else:
         stops = nodes.sparkSession.createDataFrame([(r,) for r in dict.fromkeys(roots)], "id string")
     members = ascend(nodes, stops).reached
-    inside = members.join(stops.select(F.col("id").alias("top")), "top", "left_semi")
-    return nodes.join(inside.select(F.col("id").alias(ID)), ID, "left_semi")
+    inside = members.join(stops.select(F.col("id").alias("top")), "top")
+    return nodes.join(inside.select(F.col("id").alias(ID)), ID).select(*nodes.columns)
 
 
 def children(nodes: DataFrame) -> DataFrame:
@@ -176,32 +176,36 @@ RULES = ("missing_external_id", "duplicate", "self_reference", "cycle", "root_co
 
 
 def violations(nodes: DataFrame, single_root: bool = True, ascent: Ascent | None = None) -> DataFrame:
-    """``(rule, external_id)`` of every broken rule; empty means the hierarchy is sound."""
+    """``(rule, external_id)`` of every broken rule; empty means the hierarchy is sound.
+
+    A self-reference is reported by its own rule and is also a cycle of one.
+    """
     ascent = ascent or ascend(nodes)
-    found = [nodes.where(F.col(ID).isNull()).select(F.lit("missing_external_id").alias("rule"), ID)]
+    row = lambda rule: F.lit(rule).alias("rule")
     keyed = nodes.where(F.col(ID).isNotNull())
-    found.append(
-        keyed.groupBy(ID).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        .select(F.lit("duplicate").alias("rule"), ID)
-    )
-    found.append(
-        keyed.where(F.col(PARENT) == F.col(ID)).select(F.lit("self_reference").alias("rule"), ID).distinct()
-    )
-    # A self-reference is reported by its own rule and is also a cycle of one.
-    found.append(cycle_members(ascent).select(F.lit("cycle").alias("rule"), ID))
+    found = [
+        nodes.where(F.col(ID).isNull()).select(row("missing_external_id"), ID),
+        cycle_members(ascent).select(row("cycle"), ID),
+    ]
+    several_roots = False
     if single_root:
-        roots = keyed.where(is_root(F.col(PARENT))).select(ID).distinct()
-        n = roots.limit(2).count()
+        n = keyed.where(is_root(F.col(PARENT))).select(ID).distinct().limit(2).count()
+        several_roots = n > 1
         if n == 0:
-            none = nodes.sparkSession.range(1).select(
-                F.lit("root_count").alias("rule"), F.lit(None).cast("string").alias(ID)
-            )
+            none = nodes.sparkSession.range(1).select(row("root_count"), F.lit(None).cast("string").alias(ID))
             found.append(none)
-        elif n > 1:
-            found.append(roots.select(F.lit("root_count").alias("rule"), ID))
         ids = keyed.select(F.col(ID).alias(PARENT)).distinct()
-        orphans = keyed.where(~is_root(F.col(PARENT))).join(ids, PARENT, "left_anti")
-        found.append(orphans.select(F.lit("missing_parent").alias("rule"), ID).distinct())
+        orphans = keyed.select(PARENT, ID).where(~is_root(F.col(PARENT))).join(ids, PARENT, "left_anti")
+        found.append(orphans.select(row("missing_parent"), ID).distinct())
+    per_id = keyed.groupBy(ID).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col(PARENT) == F.col(ID)).alias("own"),
+        F.max(is_root(F.col(PARENT))).alias("root"),
+    )
+    broken = F.array(
+        F.when(F.col("n") > 1, "duplicate"), F.when(F.col("own"), "self_reference"),
+        F.when(F.col("root") & F.lit(several_roots), "root_count"),
+    )
+    found.append(per_id.select(F.explode(F.array_compact(broken)).alias("rule"), ID))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -242,17 +246,20 @@ def same_record(a: str, b: str, columns: Sequence[str], include_geo: bool = Fals
     return test
 
 
+def _change(columns: Sequence[str], include_geo: bool) -> Column:
+    """Kind of change between the structs ``_in`` and ``_ex``; a side that is missing is null."""
+    return (
+        F.when(F.col("_ex").isNull(), "new").when(F.col("_in").isNull(), "deleted")
+        .when(same_record("_in", "_ex", columns, include_geo), "unchanged").otherwise("changed")
+    )
+
+
 def diff(incoming: DataFrame, existing: DataFrame, key: str = ID, include_geo: bool = False) -> DataFrame:
     """``(key, change)``: new, changed, unchanged or deleted."""
     shared = [c for c in incoming.columns if c in existing.columns and c != key]
     a = incoming.select(key, F.struct(*shared).alias("_in"))
     b = existing.select(key, F.struct(*shared).alias("_ex"))
-    same = same_record("_in", "_ex", shared, include_geo)
-    change = (
-        F.when(F.col("_ex").isNull(), "new").when(F.col("_in").isNull(), "deleted")
-        .when(same, "unchanged").otherwise("changed")
-    )
-    return a.join(b, key, "full_outer").select(key, change.alias("change"))
+    return a.join(b, key, "full_outer").select(key, _change(shared, include_geo).alias("change"))
 
 
 def sync_plan(incoming: DataFrame, existing: DataFrame, verify: bool = True, many: bool = False,
@@ -274,18 +281,19 @@ def sync_plan(incoming: DataFrame, existing: DataFrame, verify: bool = True, man
     )
     roots = new_up.select(F.col("_new_top").alias("id")).distinct()
     old_up = ascend(existing, roots).reached
-    inside = old_up.join(roots.select(F.col("id").alias("top")), "top", "left_semi").select(
+    inside = old_up.join(roots.select(F.col("id").alias("top")), "top").select(
         F.col("id").alias(ID), F.col("top").alias("_old_top"), F.col("depth").alias("_old_depth")
     )
-    # A node moved in from another tree exists too, though outside the subtree.
-    subset = existing.join(inside.select(ID), ID, "left_semi").unionByName(
-        existing.join(incoming.select(ID), ID, "left_semi").join(inside.select(ID), ID, "left_anti")
-    )
-    plan = diff(incoming, subset, include_geo=include_geo).join(new_up, ID, "left").join(inside, ID, "left")
-    deepest = F.coalesce(F.col("_new_depth"), -F.col("_old_depth"))
-    return plan.select(
-        ID, F.coalesce("_new_top", "_old_top").alias("component"), "change", deepest.alias("order_rank")
+    shared = [c for c in incoming.columns if c in existing.columns and c != ID]
+    # Both sides are on the key already when they meet, so the full join adds no shuffle.
+    a = incoming.select(ID, F.struct(*shared).alias("_in")).join(new_up, ID)
+    b = existing.select(ID, F.struct(*shared).alias("_ex")).join(inside, ID, "left")
+    plan = a.join(b, ID, "full_outer").select(
+        ID, F.coalesce("_new_top", "_old_top").alias("component"), _change(shared, include_geo).alias("change"),
+        F.coalesce(F.col("_new_depth"), -F.col("_old_depth")).alias("order_rank"),
     )
+    # Without a component a row exists outside the subtrees only: not ours to delete.
+    return plan.where(F.col("component").isNotNull())
 
 
 def apply_sync(incoming: DataFrame, existing: DataFrame, plan: DataFrame,
@@ -303,8 +311,10 @@ def change_counts(plan: DataFrame) -> DataFrame:
 def delete_assets(assets: DataFrame, wanted: DataFrame, recursive: bool = False) -> DataFrame:
     """Assets left after a delete. Without ``recursive`` a child left behind is an error."""
     if recursive:
-        gone = subtree(assets, wanted.select(ID)).select(ID)
-        return assets.join(gone, ID, "left_anti")
+        stops = wanted.select(F.col(ID).alias("id")).distinct()
+        below = ascend(assets, stops).reached.join(stops.select(F.col("id").alias("top")), "top")
+        gone = below.select(F.col("id").alias(ID), F.lit(True).alias("_gone"))
+        return assets.join(gone, ID, "left").where(F.col("_gone").isNull()).select(*assets.columns)
     remaining = assets.join(wanted.select(ID), ID, "left_anti")
     stranded = remaining.join(
         wanted.select(F.col(ID).alias(PARENT)), PARENT, "left_semi"

@@ -115,8 +115,8 @@ def delete_by_key(spark, sf):
 
 
 @query("write_volume", """
-SELECT count(*) AS "rows", count(*) * 3 AS cells, sum(length(lang) + length(source) + length(text)) AS characters,
-       sum(octet_length(encode(lang)) + octet_length(encode(source)) + octet_length(encode(text))) AS bytes FROM documents""")
+SELECT count(*) AS "rows", count(*) * 3 AS cells, CAST(sum(length(lang) + length(source) + length(text)) AS BIGINT) AS characters,
+       CAST(sum(octet_length(encode(lang)) + octet_length(encode(source)) + octet_length(encode(text))) AS BIGINT) AS bytes FROM documents""")
 def volume(spark, sf):
     return write_volume(table(spark, sf, "documents"), ["lang", "source", "text"])
 
