@@ -53,26 +53,23 @@ def _texts(df: DataFrame, fields: Sequence[str], feature_type: str, ignore_missi
 
 
 def _vectors(names: DataFrame, weights: DataFrame | None) -> DataFrame:
-    """Distinct feature lists to unit vectors ``_vec array<struct<df, token, w, rest>>``.
+    """Distinct feature lists to unit vectors ``_vec array<struct<df, token, w, n, rest>>`` and ``_norm``.
 
-    Rare tokens come first; ``rest`` is the norm of the tokens after this one.
+    Rare tokens come first; ``n`` counts the token, ``rest`` is the norm of the tokens after it.
     """
     counted = names.select("_features", F.explode("_features").alias("token")).groupBy("_features", "token").agg(
         F.count(F.lit(1)).cast("double").alias("w")
     )
     weighed = counted.join(weights, "token")
     raw = F.col("w") * F.col("idf")
-    packed = weighed.groupBy("_features").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("df"), F.col("token"), raw.alias("w")))).alias("_vec")
-    )
+    packed = weighed.groupBy("_features").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("df"), F.col("token"), raw.alias("w"), F.col("w").cast("int").alias("n")))).alias("_vec"))
     mass = lambda v: F.aggregate(v, F.lit(0.0), lambda s, e: s + e["w"] * e["w"])
-    unit = packed.withColumn("_norm", F.sqrt(mass(F.col("_vec")))).select("_features", F.transform(
-        "_vec", lambda e: F.struct(e["df"].alias("df"), e["token"].alias("token"), (e["w"] / F.col("_norm")).alias("w"))
-    ).alias("_vec"))
+    unit = packed.withColumn("_norm", F.sqrt(mass(F.col("_vec")))).select("_features", "_norm", F.transform(
+        "_vec", lambda e: e.withField("w", e["w"] / F.col("_norm"))).alias("_vec"))
     rest = lambda i: F.sqrt(mass(F.slice("_vec", i + 2, F.greatest(F.size("_vec") - i - 1, F.lit(0)))))
-    return unit.select("_features", F.transform(
-        "_vec", lambda e, i: F.struct(e["df"].alias("df"), e["token"].alias("token"), e["w"].alias("w"), rest(i).alias("rest"))
-    ).alias("_vec"))
+    return unit.select("_features", "_norm", F.transform(
+        "_vec", lambda e, i: e.withField("rest", rest(i))).alias("_vec"))
 
 
 def _prefix(vec: Column, threshold: float) -> Column:
@@ -96,34 +93,105 @@ def _prefix(vec: Column, threshold: float) -> Column:
     return F.slice(vec, F.lit(1), F.greatest(F.size(vec) - droppable, F.lit(0)))
 
 
-def _scored_pairs(sources: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
+def _weight_map(vec: Column) -> Column:
+    return F.map_from_arrays(F.transform(vec, lambda e: e["token"]), F.transform(vec, lambda e: e["w"]))
+
+
+def _dot(vec: str, weight_map: str) -> Column:
+    return F.aggregate(vec, F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(
+        F.try_element_at(weight_map, e["token"]), F.lit(0.0)))
+
+
+def _reaches(threshold: float) -> Column:
+    # The slack keeps a pair that sits on the threshold whatever the rounding.
+    return (F.col("score") >= F.lit(threshold - 1e-9)) & (F.col("score") > 0)
+
+
+def _scored_pairs(sources: DataFrame, targets: DataFrame, threshold: float, limit: int | None = None) -> DataFrame:
     """All vector pairs scoring at least ``threshold`` (above 0): ``(_sf, _tf, score)``.
 
+    With ``limit`` only pairs that share a token of at most that many names.
+
     A pair is produced only at the first prefix token it shares, so no distinct is
     needed. There its score is at most that token's share plus the product of the
     remaining norms, which drops most pairs inside the join.
     """
-    token, weight = (lambda e: e["token"]), (lambda e: e["w"])
     prefix = _prefix(F.col("_vec"), threshold)
+    if limit is not None:
+        prefix = F.filter(prefix, lambda e: e["df"] <= limit)
+    tokens = F.transform(prefix, lambda e: e["token"])
     # Few source bytes can mean many pairs, so the split goes by row, not by size.
     tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = sources.repartition(tasks, "_features").select(
-        F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), F.transform(prefix, token).alias("_sp"),
-        F.explode(prefix).alias("_se"),
+        F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), tokens.alias("_sp"), F.explode(prefix).alias("_se"),
     ).withColumn("token", F.col("_se.token"))
     t = targets.select(
-        F.col("_features").alias("_tf"), F.transform(prefix, token).alias("_tp"),
-        # Built once per target, below the join.
-        F.map_from_arrays(F.transform("_vec", token), F.transform("_vec", weight)).alias("_tw"),
+        # The map is built once per target, below the join.
+        F.col("_features").alias("_tf"), tokens.alias("_tp"), _weight_map(F.col("_vec")).alias("_tw"),
         F.explode(prefix).alias("_te"),
     ).withColumn("token", F.col("_te.token"))
     bound = F.col("_se.w") * F.col("_te.w") + F.col("_se.rest") * F.col("_te.rest")
     pairs = s.join(t, "token").where(bound >= F.lit(threshold - 1e-9))
     first = F.get(F.array_intersect("_sp", "_tp"), F.lit(0)) == F.col("token")
-    dot = F.aggregate("_sv", F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(
-        F.try_element_at("_tw", e["token"]), F.lit(0.0)))
-    scored = pairs.where(first).select("_sf", "_tf", dot.alias("score"))
-    return scored.where((F.col("score") >= F.lit(threshold - 1e-9)) & (F.col("score") > 0))
+    return pairs.where(first).select("_sf", "_tf", _dot("_sv", "_tw").alias("score")).where(_reaches(threshold))
+
+
+# Tokens of more names than this are common; a name has at most so many common tokens.
+_COMMON_DF, _COMMON_PER_NAME = 128, 8
+
+
+def _common_limit(vectors: DataFrame) -> tuple[int, bool]:
+    """The number of names above which a token is common, and whether any token is."""
+    df_from_top = lambda i: F.get("_vec", F.size("_vec") - 1 - i)["df"]
+    row = vectors.agg(
+        F.max(df_from_top(_COMMON_PER_NAME)).alias("beyond"), F.max(df_from_top(0)).alias("most")
+    ).first()
+    limit = max(_COMMON_DF, row["beyond"] or 0)
+    return limit, (row["most"] or 0) > limit
+
+
+def _subsets(entries: Column) -> Column:
+    """Texts of all non-empty choices of entries, each entry ``array<string>`` offering variants."""
+    start = F.array(F.lit(""))
+    grown = F.aggregate(entries, start, lambda acc, e: F.flatten(F.transform(
+        acc, lambda a: F.concat(F.array(a), F.transform(e, lambda v: F.concat(a, F.lit("\u0002"), v))))))
+    return F.filter(grown, lambda a: a != "")
+
+
+def _common_pairs(sources: DataFrame, targets: DataFrame, lowest: DataFrame, limit: int, k: int, threshold: float) -> DataFrame:
+    """The pairs that share common tokens only and can be among a source's ``k`` best.
+
+    Targets that hold one set of common tokens equally often differ, for any source
+    sharing just that set, by their norm alone. So per set the ``k`` targets of least
+    norm are enough, and no posting list of a common token is ever paired up.
+    ``lowest`` is ``(_features, target_id)`` with the lowest id of each target name.
+    """
+    variant = lambda token, n: F.concat(token, F.lit("\u0003"), n.cast("string"))
+    common = lambda df: df.select("*", F.filter("_vec", lambda e: e["df"] > limit).alias("_common"))
+    t = common(targets).where(F.size("_common") > 0)
+    own = F.transform("_common", lambda e: F.array(variant(e["token"], e["n"])))
+    best = W.partitionBy("key").orderBy(F.round("_norm", 12), "target_id")
+    kept = (
+        t.join(lowest, "_features").select("_features", "_norm", "target_id", F.explode(_subsets(own)).alias("key"))
+        .withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
+        .select("key", F.col("_features").alias("_tf"))
+    )
+    # A source does not know how often a target holds a token: it tries every count in use.
+    counts = t.select(F.explode("_common").alias("e")).groupBy(F.col("e.token").alias("token")).agg(
+        F.sort_array(F.collect_set(variant(F.col("e.token"), F.col("e.n")))).alias("variants")
+    )
+    s = common(sources).select("_features", F.explode("_common").alias("e")).select(
+        "_features", F.col("e.df").alias("df"), F.col("e.token").alias("token"))
+    offers = s.join(counts, "token").groupBy("_features").agg(
+        F.array_sort(F.collect_list(F.struct("df", "token", "variants"))).alias("_offers"))
+    keys = offers.select(
+        F.col("_features").alias("_sf"), F.explode(_subsets(F.transform("_offers", lambda o: o["variants"]))).alias("key"))
+    pairs = keys.join(kept, "key").select("_sf", "_tf").distinct()
+    rare = F.transform(F.filter("_vec", lambda e: e["df"] <= limit), lambda e: e["token"])
+    left = sources.select(F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), rare.alias("_sr"))
+    right = targets.select(F.col("_features").alias("_tf"), _weight_map(F.col("_vec")).alias("_tw"), rare.alias("_tr"))
+    met = pairs.join(left, "_sf").join(right, "_tf").where(~F.arrays_overlap("_sr", "_tr"))
+    return met.select("_sf", "_tf", _dot("_sv", "_tw").alias("score")).where(_reaches(threshold))
 
 
 @dataclass(frozen=True)
@@ -143,7 +211,7 @@ class MatchModel:
 
 
 # Scores are found band by band, best first; a source with enough matches leaves.
-_BANDS = (0.9, 0.7, 0.5, 0.3)
+_BANDS = (0.8, 0.4)
 
 
 def _weights(names: DataFrame, feature_type: str) -> DataFrame:
@@ -156,12 +224,15 @@ def _weights(names: DataFrame, feature_type: str) -> DataFrame:
     return df.withColumn("idf", F.log(F.lit(1.0) + F.lit(float(names.count())) / F.col("df")))
 
 
+def _ranked():
+    return W.partitionBy("_sf").orderBy(F.desc("score"), "target_id")
+
+
 def _top(scored: DataFrame, copies: DataFrame, k: int) -> DataFrame:
     """Best ``k`` targets per source name; fixed precision makes ties independent of summation order."""
-    order = W.partitionBy("_sf").orderBy(F.desc("score"), "target_id")
     return (
         scored.withColumn("score", F.round("score", 9)).join(copies, "_tf")
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        .withColumn("rank", F.row_number().over(_ranked())).where(F.col("rank") <= k)
         .select("_sf", "target_id", "score", "rank")
     )
 
@@ -199,9 +270,8 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
     """``(source_id, target_id, score, rank)``: the best ``num_matches`` per source, ties by target id.
 
     Equal names are matched once: the work runs on distinct feature lists, so copies
-    cost one row. The first bands only look at rare shared tokens; every source that
-    has not found enough matches goes on to the next band, down to the threshold, so
-    the result is exact.
+    cost one row. Pairs that share a rare token are found by it; pairs that share
+    common tokens only by :func:`_common_pairs`. The result is exact.
     """
     s = _texts(sources, model.source_fields, model.feature_type, model.ignore_missing)
     t = _texts(targets, model.target_fields, model.feature_type, model.ignore_missing)
@@ -209,18 +279,36 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
     t = t.select(F.col(target_id).alias("target_id"), "_features").where(F.size("_features") > 0)
     s, t = materialize(s, "match"), materialize(t, "match")
 
-    s_names, t_names = s.select("_features").distinct(), t.select("_features").distinct()
-    names = s_names.unionByName(t_names).distinct()
+    s_names = s.select("_features").distinct()
+    lowest = t.groupBy("_features").agg(F.min("target_id").alias("target_id"))
+    names = s_names.unionByName(lowest.select("_features")).distinct()
     vectors = materialize(_vectors(names, _weights(names, model.feature_type)), "match")
-    target_vectors = vectors.join(t_names, "_features", "left_semi")
+    s_vectors = vectors.join(s_names, "_features", "left_semi")
+    t_vectors = vectors.join(lowest, "_features", "left_semi")
+
+    limit, any_common = _common_limit(vectors)
     copies = _lowest_ids(t, num_matches)
 
     def find(open_sources, band):
-        return _top(_scored_pairs(open_sources, target_vectors, band), copies, num_matches), band
+        return _top(_scored_pairs(open_sources, t_vectors, band, limit), copies, num_matches), band
 
     bands = [b for b in _BANDS if b > score_threshold] + [score_threshold]
-    done = _by_band(vectors.join(s_names, "_features", "left_semi"), find, num_matches, bands)
-    by_source = s.join(done.withColumnRenamed("_sf", "_features"), "_features")
+    best = _by_band(s_vectors, find, num_matches, bands)
+    if any_common:
+        # Sharing common tokens only scores at most their joint norm.
+        common = F.filter("_vec", lambda e: e["df"] > limit)
+        most = F.sqrt(F.aggregate(common, F.lit(0.0), lambda acc, e: acc + e["w"] * e["w"]))
+        full = best.where(F.col("rank") == num_matches).select(F.col("_sf").alias("_features"), "score")
+        unsettled = s_vectors.join(full, "_features", "left").where(
+            (F.size(common) > 0) & (most >= F.lit(score_threshold - 1e-9))
+            & (F.col("score").isNull() | (F.col("score") <= most + F.lit(1e-8)))
+        ).drop("score")
+        unsettled = materialize(unsettled, "match")
+        if not unsettled.isEmpty():
+            more = _common_pairs(unsettled, t_vectors, lowest, limit, num_matches, score_threshold)
+            both = best.unionByName(_top(more, copies, num_matches)).drop("rank")
+            best = both.withColumn("rank", F.row_number().over(_ranked())).where(F.col("rank") <= num_matches)
+    by_source = s.join(best.withColumnRenamed("_sf", "_features"), "_features")
     return by_source.select("source_id", "target_id", "score", "rank")
 
 

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from millrace.operators.annotate import annotation_entities, detect_annotations
+from millrace.operators import match
 from millrace.operators.match import (
     FEATURE_TYPES, MatchModel, fit_supervised, match_pairs, match_results, name_features, predict_supervised,
 )
@@ -32,9 +33,11 @@ def test_feature_types(frame):
         name_features(F.col("n"), "fancy")
 
 
+@pytest.mark.parametrize("common", [1, 12, 10_000])
 @pytest.mark.parametrize("k,threshold,kind", [(1, 0.0, "insensitive"), (3, 0.0, "frequencyweightedbigram"), (2, 0.45, "bigram")])
-def test_top_k_equals_brute_force(spark, rows, k, threshold, kind):
-    """Names of few, heavily shared tokens with many copies: all bands are needed."""
+def test_top_k_equals_brute_force(spark, rows, monkeypatch, k, threshold, kind, common):
+    """Names of few, heavily shared and repeated tokens with many copies, as common or rare tokens."""
+    monkeypatch.setattr(match, "_COMMON_DF", common)
     rng = random.Random(k)
     words = ["pump", "valve", "motor", "x", "7", "12"]
     name = lambda: "-".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
