@@ -167,7 +167,7 @@ def subtree(nodes: DataFrame, roots: Sequence[str] | DataFrame) -> DataFrame:
 def children(nodes: DataFrame) -> DataFrame:
     """``(parent_external_id, external_id)`` pairs whose parent is in the input."""
     ids = nodes.select(F.col(ID).alias(PARENT)).distinct()
-    return nodes.select(PARENT, ID).join(ids, PARENT, "left_semi")
+    return nodes.select(PARENT, ID).join(ids, PARENT)
 
 
 # -------------------------------------------------------------------- integrity
@@ -194,9 +194,9 @@ def violations(nodes: DataFrame, single_root: bool = True, ascent: Ascent | None
         if n == 0:
             none = nodes.sparkSession.range(1).select(row("root_count"), F.lit(None).cast("string").alias(ID))
             found.append(none)
-        ids = keyed.select(F.col(ID).alias(PARENT)).distinct()
-        orphans = keyed.select(PARENT, ID).where(~is_root(F.col(PARENT))).join(ids, PARENT, "left_anti")
-        found.append(orphans.select(row("missing_parent"), ID).distinct())
+        ids = keyed.select(F.col(ID).alias(PARENT), F.lit(True).alias("_known")).distinct()
+        children_of = keyed.select(PARENT, ID).where(~is_root(F.col(PARENT))).join(ids, PARENT, "left")
+        found.append(children_of.where(F.col("_known").isNull()).select(row("missing_parent"), ID).distinct())
     per_id = keyed.groupBy(ID).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col(PARENT) == F.col(ID)).alias("own"),
         F.max(is_root(F.col(PARENT))).alias("root"),
@@ -299,7 +299,8 @@ def sync_plan(incoming: DataFrame, existing: DataFrame, verify: bool = True, man
 def apply_sync(incoming: DataFrame, existing: DataFrame, plan: DataFrame,
                spec: MergeSpec = SPECS["assets"]) -> DataFrame:
     """The existing table after the plan: replaced or added rows in, deleted rows out."""
-    upserts = incoming.join(plan.where(F.col("change").isin("new", "changed")).select(ID), ID, "left_semi")
+    edits = plan.where(F.col("change").isin("new", "changed")).select(ID)
+    upserts = incoming.join(edits, ID).select(*incoming.columns)
     gone = plan.where(F.col("change") == "deleted").select(ID)
     return merge(existing, upserts, spec, REPLACE).drop("_change").join(gone, ID, "left_anti")
 

@@ -56,7 +56,7 @@ SPECS: dict[str, MergeSpec] = {
         update={"metadata": ALWAYS}, replace={"write_protected": FALSE_IF_ABSENT}
     ),
     "relationships": MergeSpec(update={"labels": ADD}),
-    "extraction_runs_config": MergeSpec(
+    "extraction_feeds": MergeSpec(
         update={"name": ALWAYS, "data_set_id": ALWAYS, "raw_tables": ADD, "contacts": ADD, "metadata": ADD}
     ),
     "labels": MergeSpec(update={"name": ALWAYS, "description": ALWAYS, "data_set_id": ALWAYS}),

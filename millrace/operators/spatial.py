@@ -59,7 +59,7 @@ def subtree_nodes(nodes: DataFrame, roots: DataFrame, depth: int | None = None)
     ``roots`` is ``(model_id, revision_id, node_id)``. The result is the node columns
     plus ``root_node_id``; a node under two requested roots comes once for each.
     """
-    picked = nodes.join(roots.select(*REVISION, "node_id").distinct(), [*REVISION, "node_id"], "left_semi")
+    picked = nodes.join(roots.select(*REVISION, "node_id").distinct(), [*REVISION, "node_id"])
     tiles = picked.select(
         *REVISION, F.col("node_id").alias("root_node_id"), F.col("depth").alias("_root_depth"),
         F.explode(_blocks(F.col("tree_index"), F.col("tree_index") + F.col("subtree_size"))).alias("_b"),
@@ -76,7 +76,7 @@ def subtree_nodes(nodes: DataFrame, roots: DataFrame, depth: int | None = None)
 
 def ancestor_nodes(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """Ancestors of each wanted node, the node included; node columns plus ``of_node_id``."""
-    picked = nodes.join(wanted.select(*REVISION, "node_id").distinct(), [*REVISION, "node_id"], "left_semi")
+    picked = nodes.join(wanted.select(*REVISION, "node_id").distinct(), [*REVISION, "node_id"])
     probes = picked.select(
         *REVISION, F.col("node_id").alias("of_node_id"), F.explode(_enclosing(F.col("tree_index"))).alias("_b")
     ).select(*REVISION, "of_node_id", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))

@@ -67,9 +67,9 @@ def test_other_resource_rules(frame):
     assert merge(target, frame(ddl, ("d", None, None)), SPECS["data_sets"], REPLACE).first()["write_protected"] is False
     feeds = "external_id string, name string, contacts array<string>"
     target = frame(feeds, ("p", "n", ["c1"]))
-    added = merge(target, frame(feeds, ("p", None, ["c2"])), SPECS["extraction_runs_config"]).first()
+    added = merge(target, frame(feeds, ("p", None, ["c2"])), SPECS["extraction_feeds"]).first()
     assert (added["name"], added["contacts"]) == (None, ["c1", "c2"])
-    replaced = merge(target, frame(feeds, ("p", "m", ["c2"])), SPECS["extraction_runs_config"], REPLACE).first()
+    replaced = merge(target, frame(feeds, ("p", "m", ["c2"])), SPECS["extraction_feeds"], REPLACE).first()
     assert replaced["contacts"] == ["c2"]
 
 
