@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 @query("op10_minhash_near_dedup", rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_SPACED}) AS l FROM documents),
 sh AS (SELECT DISTINCT doc_id, s FROM (
-  SELECT doc_id, unnest(CASE WHEN len(l) >= 5 THEN list_transform(range(1, len(l) - 3), i -> array_to_string(l[i:i + 4], ' '))
+  SELECT doc_id, unnest(CASE WHEN len(l) >= 5 THEN list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' '))
                              WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END) AS s FROM w)),
 size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id
