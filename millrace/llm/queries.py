@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm import debruijn, suffix
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -44,3 +45,45 @@ FROM w LEFT JOIN size ON size.doc_id = w.doc_id LEFT JOIN low ON low.a = w.doc_i
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_array_dedup", r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+e AS (SELECT doc_id, i, substr(x, 2 * i + 1, 2) AS byte,
+             CASE WHEN 2 * (i + 200) <= length(x) THEN md5(substr(x, 2 * i + 1, 400)) END AS g
+      FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2)) AS i FROM b)),
+c AS (SELECT g FROM e WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1),
+m AS (SELECT e.doc_id, e.i, e.byte, max(CASE WHEN c.g IS NULL THEN 0 ELSE 1 END) OVER (
+        PARTITION BY e.doc_id ORDER BY e.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone
+      FROM e LEFT JOIN c ON e.g = c.g),
+r AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM m),
+a AS (SELECT doc_id, sum(gone) AS n_removed, sum(CASE WHEN gone = 1 AND before = 0 THEN 1 ELSE 0 END) AS n_spans,
+             string_agg(byte, '' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM r GROUP BY doc_id)
+SELECT b.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM b LEFT JOIN a ON a.doc_id = b.doc_id
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_substring_dedup", rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS l FROM documents),
+e AS (SELECT doc_id, i, l[i] AS word, CASE WHEN i + 34 <= len(l) THEN md5(array_to_string(l[i:i + 34], ' ')) END AS g
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM w)),
+c AS (SELECT g FROM e WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1),
+m AS (SELECT e.doc_id, e.i, e.word, max(CASE WHEN c.g IS NULL THEN 0 ELSE 1 END) OVER (
+        PARTITION BY e.doc_id ORDER BY e.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+      FROM e LEFT JOIN c ON e.g = c.g),
+a AS (SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept
+      FROM m GROUP BY doc_id)
+SELECT w.doc_id, len(l)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN a ON a.doc_id = w.doc_id
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
+    return debruijn.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
