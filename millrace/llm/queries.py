@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import debruijn, suffix
+from millrace.llm import contamination, debruijn, mixing, suffix
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -87,3 +87,54 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
     return debruijn.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@query("op1_benchmark_decontamination", rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS l FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS l FROM benchmark WHERE item_id IS NOT NULL),
+s AS (SELECT item_id, least(len(l), 10) AS k, array_to_string(l[i:i + least(len(l), 10) - 1], ' ') AS g
+      FROM (SELECT item_id, l, unnest(range(1, greatest(len(l) - 10, 0) + 2)) AS i FROM b WHERE len(l) > 0)),
+k AS (SELECT DISTINCT k FROM s),
+d AS (SELECT doc_id, i, k, array_to_string(l[i:i + k - 1], ' ') AS g FROM (
+        SELECT doc_id, l, k, unnest(range(1, len(l) - k + 2)) AS i FROM w, k WHERE len(l) >= k)),
+o AS (SELECT DISTINCT d.doc_id, d.i, d.k, s.item_id FROM d JOIN s ON s.k = d.k AND s.g = d.g),
+h AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM (SELECT doc_id, i, unnest(range(0, k)) AS j FROM o) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM o) GROUP BY doc_id)
+SELECT w.doc_id, len(l)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM w LEFT JOIN h ON h.doc_id = w.doc_id LEFT JOIN t ON t.doc_id = w.doc_id
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(names, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@query("op7_mixing_sources", rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_SPACED}))::BIGINT AS size,
+                  (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT] AS w FROM s),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER (
+          ORDER BY source_size / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+        (sum(w) OVER () - coalesce(sum(w) OVER (
+          ORDER BY source_size / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) AS level FROM w),
+f AS (SELECT *, first_value(CASE WHEN level * w <= 2.0::DOUBLE * source_size THEN level END IGNORE NULLS) OVER (
+          ORDER BY source_size / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv FROM l),
+t AS (SELECT source, source_size, coalesce(lv * w, 2.0::DOUBLE * source_size) AS target FROM f),
+r AS (SELECT d.doc_id, d.size, d.u, t.source, t.source_size, t.target,
+             CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+             CASE WHEN source_size > 0 THEN round((target / source_size - floor(target / source_size)) * source_size, 6) ELSE 0 END AS rest
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS run FROM r)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN run < rest AND 2 * run + size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
