@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import contamination, debruijn, mixing, suffix
+from millrace.llm import contamination, debruijn, language, mixing, suffix, toxicity
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -138,3 +138,28 @@ SELECT doc_id, size, source_size, target,
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _remainder(divisor: int):
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that may be learned from."""
+    return table(spark, sf_dir, "labels").where(_remainder(4) != 2).select("doc_id", F.col("toxic").alias("label"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, toxicity_labels(spark, sf_dir))
+    return toxicity.score(docs, model).select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(_remainder(5) != 0))
+    return language.predict(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")

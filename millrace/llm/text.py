@@ -125,6 +125,11 @@ class Words:
         prefix = prefix_hash(_BYTE_CODES[self.data], _BYTE_BASE)
         return span_hash(prefix, self.start, self.stop, _BYTE_BASE)
 
+    def heads(self, sizes: tuple[int, ...]) -> list[np.ndarray]:
+        """Hashes of the first bytes of each word, per size; a shorter word gives the hash of itself."""
+        prefix = prefix_hash(_BYTE_CODES[self.data], _BYTE_BASE)
+        return [span_hash(prefix, self.start, np.minimum(self.stop, self.start + k), _BYTE_BASE) for k in sizes]
+
 
 def byte_codes(data: np.ndarray) -> np.ndarray:
     return _BYTE_CODES[data]
