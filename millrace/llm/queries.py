@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import contamination, debruijn, language, mixing, suffix, toxicity
+from millrace.llm import archives, contamination, debruijn, forest, language, mixing, suffix, toxicity
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -163,3 +163,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(_remainder(5) != 0))
     return language.predict(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_ann_forest")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return forest.nearest(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op9_warc_zip", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+FROM g
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = archives.write_archives(table(spark, sf_dir, "pages"))
+    return archives.read_archives(manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
