@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import archives, contamination, debruijn, forest, language, mixing, suffix, toxicity
+from millrace.llm import archives, contamination, debruijn, forest, language, mixing, pii, suffix, toxicity
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -184,3 +184,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = archives.write_archives(table(spark, sf_dir, "pages"))
     return archives.read_archives(manifest, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_pii_candidates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda i: F.size(F.filter("base_spans", lambda x: x["kind"] == i)).cast("long")
+    return found.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)),
+                        F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
