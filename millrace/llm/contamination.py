@@ -139,6 +139,42 @@ def _matches(block: Block, all_rows: bool):
     return run
 
 
+def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_windows: int) -> list[Block]:
+    """The benchmark's distinct windows in blocks of bounded size; at least one, maybe empty."""
+    per_item = benchmark.where("item_id is not null").select("item_id", "text").mapInArrow(
+        _windows(window), "item_id long, words array<long>")
+    distinct = materialize(per_item.groupBy("words").agg(F.collect_set("item_id").alias("items")), "windows")
+    count = max(1, -(-distinct.count() // block_windows))
+    blocks = []
+    for number in range(count):
+        held = distinct.where(F.pmod(F.xxhash64("words"), F.lit(count)) == number).collect()
+        windows = [np.array(r["words"], np.int64).view(np.uint64) for r in held]
+        vocabulary = np.unique(np.concatenate(windows)) if windows else np.zeros(0, np.uint64)
+        counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "word long, n long").groupBy("word").agg(
+            F.sum("n").alias("n")).collect() if windows else []
+        blocks.append(Block(windows, [list(r["items"]) for r in held], {r["word"] % 2**64: r["n"] for r in counted}))
+    return blocks
+
+
+def _reject(block: Block):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.pieces(batches, "text"):
+            row, _, _ = block.find(*_hashed(batch))
+            keep = np.ones(batch.num_rows, bool)
+            keep[row] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, with all their columns; rows do not move."""
+    session_of(docs)
+    for block in _blocks(docs, benchmark, window, block_windows):
+        docs = docs.mapInArrow(_reject(block), docs.schema)
+    return docs
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``doc_id, n_words, hits (array of word spans), items (array of item ids)`` per row of ``docs``.
 
@@ -148,24 +184,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, blo
     null id, repeated ids and repeated rows each give a row. Other columns are not read. An empty
     table of documents gives no rows, an empty benchmark no hits.
     """
-    spark = session_of(docs)
-    per_item = benchmark.where("item_id is not null").select("item_id", "text").mapInArrow(
-        _windows(window), "item_id long, words array<long>")
-    distinct = materialize(per_item.groupBy("words").agg(F.collect_set("item_id").alias("items")), "windows")
-    blocks = max(1, -(-distinct.count() // block_windows))
+    session_of(docs)
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
     kind = f"row long, doc_id long, n_words long, hits {_SPANS}, items array<long>"
-    parts = []
-    for number in range(blocks):
-        held = distinct.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == number).collect()
-        windows = [np.array(r["words"], np.int64).view(np.uint64) for r in held]
-        vocabulary = np.unique(np.concatenate(windows)) if windows else np.zeros(0, np.uint64)
-        counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "word long, n long").groupBy("word").agg(
-            F.sum("n").alias("n")).collect() if windows else []
-        frequency = {r["word"] % 2**64: r["n"] for r in counted}
-        block = Block(windows, [list(r["items"]) for r in held], frequency)
-        parts.append(rows.mapInArrow(_matches(block, number == 0), kind))
-    if blocks == 1:
+    parts = [rows.mapInArrow(_matches(block, number == 0), kind)
+             for number, block in enumerate(_blocks(docs, benchmark, window, block_windows))]
+    if len(parts) == 1:
         return parts[0].drop("row")
     found = parts[0]
     for part in parts[1:]:

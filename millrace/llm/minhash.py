@@ -109,9 +109,9 @@ def _facts(shingle: int):
             sizes = np.diff(rows)
             filled = sizes > 0
             yield pa.RecordBatch.from_arrays([
-                batch["doc_id"], pa.array(sizes), pa.array(tx.signed(k1)), pa.array(tx.signed(k2)),
+                batch["doc_id"], batch["t"], pa.array(sizes), pa.array(tx.signed(k1)), pa.array(tx.signed(k2)),
                 tx.lists(tx.signed(keys[filled].ravel()), np.where(filled, BANDS, 0)),
-            ], ["doc_id", "n_shingles", "k1", "k2", "bands"])
+            ], ["doc_id", "t", "n_shingles", "k1", "k2", "bands"])
 
     return run
 
@@ -191,7 +191,7 @@ def _verify(shingle: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
 
     ``docs`` needs ``doc_id`` (long) and ``text``; other columns are not read. Texts are lower-cased
     in A-Z and cut at white space; the set of a text holds its distinct runs of ``shingle`` words, or
@@ -200,8 +200,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) ->
     give a row with the component of that row's text. An empty table gives no rows.
     """
     session_of(docs)
-    facts = materialize(docs.select("doc_id", "text").mapInArrow(
-        _facts(shingle), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "sketches")
+    facts = materialize(docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(
+        _facts(shingle), "doc_id long, t long, n_shingles long, k1 long, k2 long, bands array<long>"), "sketches")
     named = facts.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("k1", "k2").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
@@ -234,4 +234,18 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) ->
     filled = F.col("n_shingles") > 0
     component = F.when(F.col("doc_id").isNotNull(), F.when(filled, F.col("component")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"))
+                      (F.col("doc_id") == component).alias("kept"), F.col("t").alias("text_hash"))
+
+
+def one_per_group(docs: DataFrame, *, shingle: int = 5, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one for each component.
+
+    Of rows that repeat the id of a component one stays, with the text of the least hash. Rows with a null
+    id link with nothing and stay.
+    """
+    kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept").groupBy("doc_id").agg(
+        F.min("text_hash").alias("text_hash"))
+    named = docs.where("doc_id is not null")
+    chosen = named.join(kept.withColumnRenamed("doc_id", "kept_id"), (F.col("doc_id") == F.col("kept_id")) & (
+        F.xxhash64("text") == F.col("text_hash")), "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.where("doc_id is null"))

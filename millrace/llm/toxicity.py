@@ -239,3 +239,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     session_of(docs)
     return docs.select("doc_id", "text").mapInArrow(_scan(model), "doc_id long, " + _SCANNED).drop("best")
+
+
+def _reject(model: Model, threshold: float):
+    scan = _scan(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.pieces(batches, "text"):
+            scored = next(scan(iter([batch.select(["text"])])))
+            yield batch.filter(pa.array(scored["score"].to_numpy() < threshold))
+
+    return run
+
+
+def without_toxic(docs: DataFrame, model: Model, *, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns; rows do not move."""
+    session_of(docs)
+    return docs.mapInArrow(_reject(model, threshold), docs.schema)
