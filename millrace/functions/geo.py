@@ -273,12 +273,24 @@ def shape_within(a, b) -> bool:
     for rings in a[2]:
         for outer in b[2]:
             for hole in outer[1:]:
-                centre = hole[:-1].mean(axis=0)
-                if _in_rings(rings, *centre) > 0 and not _covers_point(b, *centre):
+                inner = _inner_point(hole)
+                if inner and _in_rings(rings, *inner) > 0 and not _covers_point(b, *inner):
                     return False
     return True
 
 
+def _inner_point(ring: np.ndarray) -> tuple[float, float] | None:
+    """A point inside a ring of any form: midway between the first two crossings of a level line."""
+    levels = np.unique(ring[:, 1])
+    if len(levels) < 2:
+        return None
+    y = (levels[0] + levels[1]) / 2
+    (x1, y1), (x2, y2) = ring[:-1].T, ring[1:].T
+    cut = (y1 > y) != (y2 > y)
+    xs = np.sort(x1[cut] + (y - y1[cut]) * (x2[cut] - x1[cut]) / (y2[cut] - y1[cut]))
+    return (float(xs[0] + xs[1]) / 2, float(y)) if len(xs) > 1 else None
+
+
 def _covers_near(shape, x: float, y: float, eps: float = 1e-9) -> bool:
     """As ``_covers_point``, forgiving the rounding of a computed midpoint."""
     if _covers_point(shape, x, y):

@@ -94,22 +94,36 @@ def _spread(values: Column) -> Column:
     return F.flatten(items)
 
 
-def struct_strings(value: Column, path: Sequence[str], list_depth: int = 3) -> Column:
+def _list_depth(json: Column) -> Column:
+    """How deep brackets nest in JSON text; text literals do not count."""
+    bare = F.regexp_replace(json, r'"(?:[^"\\]++|\\.)*+"', "")
+    marks = F.regexp_extract_all(bare, F.lit(r"[\[\]]"), F.lit(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    step = lambda a, m: let(a["now"] + F.when(m == "[", 1).otherwise(-1), lambda n: F.struct(
+        n.alias("now"), F.greatest(a["most"], n).alias("most")))
+    return F.when(json.contains("["), F.aggregate(marks, start, step, lambda a: a["most"])).otherwise(0)
+
+
+def struct_strings(value: Column, path: Sequence[str]) -> Column:
     """Texts found at ``path``, fanning out over lists met on the way.
 
     A missing path gives an empty array, null leaves are skipped and a list leaf is
-    flattened once. Lists nested directly in lists are followed ``list_depth`` deep.
+    flattened once. Lists nested directly in lists are followed as deep as the value nests.
     """
     if not path:
         raise ValueError("path is empty")
-    current = F.array(value)
-    for level, name in enumerate(path):
-        if level:
-            for _ in range(list_depth):
-                current = _spread(current)
-        current = F.filter(_fields(current, name), lambda v: v.isNotNull())
-    leaves = F.filter(_spread(current), lambda v: ~F.is_variant_null(v))
-    return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(F.transform(leaves, value_to_string))
+
+    def found(rounds: Column) -> Column:
+        current = F.array(value)
+        for level, name in enumerate(path):
+            if level:
+                current = F.aggregate(rounds, current, lambda items, _: _spread(items))
+            current = F.filter(_fields(current, name), lambda v: v.isNotNull())
+        leaves = F.filter(_spread(current), lambda v: ~F.is_variant_null(v))
+        return F.transform(leaves, value_to_string)
+
+    rounds = let(_list_depth(F.to_json(value)), lambda d: F.when(d > 0, F.sequence(F.lit(1), d)).otherwise(F.array().cast("array<int>")))
+    return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(let(rounds, found) if len(path) > 1 else found(rounds))
 
 
 def struct_delimited(value: Column, path: str, delimiter: str) -> Column:
@@ -128,7 +142,3 @@ def json_attribute(payload: Column, path: Sequence[str]) -> Column:
 
 def utf8_bytes(text: Column) -> Column:
     return F.octet_length(text)
-
-
-def characters(text: Column) -> Column:
-    return F.char_length(text)

@@ -1,4 +1,4 @@
-"""Cutting lineage through shared storage, and size-checked broadcasts."""
+"""Cutting lineage through shared storage."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-BROADCAST_ROWS = 200_000
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
@@ -51,13 +49,3 @@ def materialize_counted(df: DataFrame, condition: Column, label: str = "stage")
     seen = Observation()
     counted = df.observe(seen, F.count(F.when(condition, 1)).alias("n"))
     return materialize(counted, label), seen.get["n"]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` is counted to hold at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned unhinted, so the planner shuffles.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark.errors import PySparkValueError
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.collections import add_items, merge_map
@@ -176,21 +178,27 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, mode: str = UPD
 
 
 def create_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert; a key that already exists, or comes twice, is an error when the result is computed."""
-    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """Insert; a key that already exists, comes twice or is missing is an error.
+
+    The clashes are looked for first, with a bounded sample, so that the error does not depend on
+    which rows or columns of the result are used.
+    """
+    keys = list(keys)
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    state = source.select(*keys, missing.alias("_missing")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_missing").alias("_missing"))
     known = target.select(*keys, F.lit(True).alias("_known"))
-    state = counted.join(known, list(keys), "left")
-    clash = state.where(F.col("_known") | (F.col("_n") > 1)).select(*keys)
-    rejected = clash.select(
-        *[F.raise_error(F.concat_ws(" ", F.lit("key already exists:"), *[F.col(k).cast("string") for k in keys]))
-          .cast(target.schema[c].dataType).alias(c) if i == 0 else F.lit(None).cast(target.schema[c].dataType).alias(c)
-          for i, c in enumerate(target.columns)]
-    )
+    clash = state.join(known, keys, "left").where("_missing or _known or _n > 1").limit(10).collect()
+    for row in clash:
+        if row["_missing"]:
+            raise PySparkValueError(f"row without key {tuple(keys)}")
+    if clash:
+        raise PySparkValueError(f"key already exists: {[tuple(r[k] for k in keys) for r in clash]}")
     aligned = source.select(*[
         (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
         for c in target.columns
     ])
-    return target.unionByName(aligned).unionByName(rejected)
+    return target.unionByName(aligned)
 
 
 def split_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -36,11 +36,33 @@ def window_filter(ts: Column, start: int | str | None, end: int | str | None,
     return test
 
 
+def in_window(points: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Points of ``[lo, hi)`` in epoch milliseconds.
+
+    Where the points are stored by ``day``, the days of the window are tested too, so that the
+    scan opens only their partitions.
+    """
+    tests = []
+    if lo is not None:
+        tests.append(F.col("ts_ms") >= F.lit(lo))
+    if hi is not None:
+        tests.append(F.col("ts_ms") < F.lit(hi))
+    if "day" in points.columns:
+        if lo is not None:
+            tests.append(F.col("day") >= F.lit(lo // DAY_MS))
+        if hi is not None:
+            tests.append(F.col("day") <= F.lit((hi - 1) // DAY_MS))
+    for test in tests:
+        points = points.where(test)
+    return points
+
+
 def series_points(points: DataFrame, series: DataFrame, start=None, end=None,
                   key: str = "series_id", now_ms: int | None = None) -> DataFrame:
     """Points of the listed series in one shared time window."""
     wanted = series.select(key).distinct()
-    return points.where(window_filter(F.col("ts_ms"), start, end, now_ms)).join(wanted, key, "left_semi")
+    lo = 0 if start is None else resolve_time(start, now_ms)
+    return in_window(points, lo, None if end is None else resolve_time(end, now_ms)).join(wanted, key, "left_semi")
 
 
 # ------------------------------------------------------------------- neighbours
@@ -107,7 +129,8 @@ def aggregate_points(points: DataFrame, granularity: str, aggregates: Sequence[s
 
     ``step`` names a boolean column (or is a Column over ``points``) telling step
     series from linear ones; absent means linear. ``fill`` also emits the empty
-    windows between two points, with interpolations only.
+    windows between two points, with interpolations only. The values of a window do not
+    depend on ``start`` and ``end``: the nearest points outside take part as neighbours.
     """
     unknown = [a for a in aggregates if a not in AGGREGATES]
     if unknown or not aggregates:
@@ -116,19 +139,24 @@ def aggregate_points(points: DataFrame, granularity: str, aggregates: Sequence[s
     begin = 0 if start is None else resolve_time(start, now_ms)
     origin = g.align(begin)
     ts = F.col("ts_ms")
-    scope = ts >= F.lit(origin) if start is not None else F.lit(True)
-    if end is not None:
-        scope = scope & (ts < F.lit(g.align_end(begin, resolve_time(end, now_ms))))
-    rows = points.where(scope)
+    lo = origin if start is not None else None
+    hi = g.align_end(begin, resolve_time(end, now_ms)) if end is not None else None
     value = F.col("value_num").cast("double")
     if is_string:
         value = F.when(F.col(is_string), F.raise_error(F.lit("string series have no aggregates")).cast("double")) \
             .otherwise(value)
     is_step = F.lit(False) if step is None else (F.col(step) if isinstance(step, str) else step)
-    rows = rows.select(*keys, "ts_ms", value.alias("value_num"), F.coalesce(is_step, F.lit(False)).alias("_step"))
-    rows = rows.where(F.col("value_num").isNotNull())
-
-    if not fill and all(a in SIMPLE for a in aggregates):
+    shaped = lambda part: part.select(
+        *keys, "ts_ms", value.alias("value_num"), F.coalesce(is_step, F.lit(False)).alias("_step")
+    ).where(F.col("value_num").isNotNull())
+    rows = shaped(in_window(points, lo, hi))
+    simple = not fill and all(a in SIMPLE for a in aggregates)
+    if not simple and lo is not None:
+        rows = rows.unionByName(_extreme(shaped(in_window(points, None, lo)), keys, F.max_by, F.max))
+    if not simple and hi is not None:
+        rows = rows.unionByName(_extreme(shaped(in_window(points, hi, None)), keys, F.min_by, F.min))
+
+    if simple:
         return (
             rows.groupBy(*keys, g.window(ts, origin).alias("window_start"))
             .agg(*[_simple(a) for a in aggregates])
@@ -143,7 +171,9 @@ def aggregate_points(points: DataFrame, granularity: str, aggregates: Sequence[s
     )
     if fill:
         result = result.unionByName(_gap_windows(rows, g, keys, aggregates))
-    return result
+    if lo is not None:
+        result = result.where(F.col("window_start") >= F.lit(lo))
+    return result if hi is None else result.where(F.col("window_start") < F.lit(hi))
 
 
 def _line(a_ts: Column, a: Column, b_ts: Column, b: Column, at: Column) -> Column:
@@ -243,13 +273,13 @@ def latest_points(points: DataFrame, before: DataFrame | int | str | None = None
         rows = rows.join(before, list(keys)).where(F.col("ts_ms") < F.col("exclusive_end"))
         rows = rows.select(*points.columns)
     elif before is not None:
-        rows = rows.where(F.col("ts_ms") < F.lit(resolve_time(before, now_ms)))
+        rows = in_window(rows, None, resolve_time(before, now_ms))
     return _extreme(rows, keys, F.max_by, F.max)
 
 
 def first_points(points: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
     """First point per series at or after the epoch."""
-    return _extreme(points.where(F.col("ts_ms") >= 0), keys, F.min_by, F.min)
+    return _extreme(in_window(points, 0), keys, F.min_by, F.min)
 
 
 def _extreme(rows: DataFrame, keys: Sequence[str], pick, bound) -> DataFrame:
@@ -263,9 +293,9 @@ def points_with_outside(points: DataFrame, start: int | str, end: int | str,
                         keys: Sequence[str] = ("series_id",), now_ms: int | None = None) -> DataFrame:
     """Points of ``[start, end)`` plus the last one before and the first one at or after it."""
     lo, hi = resolve_time(start, now_ms), resolve_time(end, now_ms)
-    inside = points.where(window_filter(F.col("ts_ms"), lo, hi))
+    inside = in_window(points, lo, hi)
     before = latest_points(points, lo, keys)
-    after = _extreme(points.where(F.col("ts_ms") >= F.lit(hi)), keys, F.min_by, F.min)
+    after = _extreme(in_window(points, hi), keys, F.min_by, F.min)
     return inside.unionByName(before).unionByName(after)
 
 

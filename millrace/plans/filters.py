@@ -249,7 +249,7 @@ def apply_filter(df: DataFrame, spec: Filter, lookups: Mapping[str, DataFrame] |
                  columns: Mapping[str, str] | None = None, link: str = "asset_ids",
                  key: str = "external_id") -> DataFrame:
     """Filter ``df``; keys that need another table read ``assets`` or ``data_sets`` from ``lookups``."""
-    from millrace.operators.hierarchy import asset_properties, subtree
+    from millrace.operators.hierarchy import ascend, subtree
 
     lookups = lookups or {}
     plain = {k: v for k, v in spec.items() if k not in JOIN_KEYS}
@@ -264,16 +264,35 @@ def apply_filter(df: DataFrame, spec: Filter, lookups: Mapping[str, DataFrame] |
     df = df.where(compile_filter(plain, columns))
     if named:
         sets = lookups["data_sets"]
-        by_id = [i["id"] for i in data_sets if isinstance(i, Mapping) and "id" in i]
+        by_id = [i["id"] if isinstance(i, Mapping) else i for i in data_sets if not isinstance(i, Mapping) or "id" in i]
         wanted = sets.where(F.col("external_id").isin(named) | F.col("id").isin(by_id)).select(
             F.col("id").alias("_set")
         )
         df = df.join(wanted, df["data_set_id"] == wanted["_set"], "left_semi")
     if "assetSubtreeIds" in spec:
-        roots = [i["externalId"] if isinstance(i, Mapping) else i for i in spec["assetSubtreeIds"]]
-        df = linked_to(df, subtree(lookups["assets"], roots), link, key, "external_id")
+        assets = lookups["assets"]
+        members = subtree(assets, asset_ids(assets, spec["assetSubtreeIds"]))
+        df = linked_to(df, members, link, key, _asset_key(df, link))
     if "rootAssetIds" in spec:
-        roots = [i["externalId"] if isinstance(i, Mapping) else i for i in spec["rootAssetIds"]]
-        props = asset_properties(lookups["assets"])
-        df = linked_to(df, props.where(F.col("root_external_id").isin(roots)), link, key, "external_id")
+        assets = lookups["assets"]
+        roots = asset_ids(assets, spec["rootAssetIds"]).withColumnRenamed("external_id", "top")
+        below = ascend(assets).reached.join(roots, "top", "left_semi").select(F.col("id").alias("external_id"))
+        df = linked_to(df, assets.join(below, "external_id", "left_semi"), link, key, _asset_key(df, link))
     return df
+
+
+def asset_ids(assets: DataFrame, items: Sequence) -> DataFrame:
+    """``(external_id)`` of the listed assets: ``{"externalId": text}``, ``{"id": number}``, text or number."""
+    named = [i["externalId"] if isinstance(i, Mapping) else i for i in items
+             if isinstance(i, str) or isinstance(i, Mapping) and "externalId" in i]
+    numbers = [i["id"] if isinstance(i, Mapping) else i for i in items
+               if isinstance(i, int) or isinstance(i, Mapping) and "externalId" not in i]
+    test = F.col("external_id").isin(named)
+    return assets.where(test | F.col("id").isin(numbers) if numbers else test).select("external_id").distinct()
+
+
+def _asset_key(df: DataFrame, link: str) -> str:
+    """The asset column that a link holds: the internal id where it is a number."""
+    kind = df.schema[link].dataType
+    kind = getattr(kind, "elementType", kind)
+    return "id" if kind.typeName() in ("long", "integer") else "external_id"

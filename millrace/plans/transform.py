@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from millrace.lineage import materialize
 from millrace.operators.hierarchy import apply_sync, sync_plan
 from millrace.operators.merge import SPECS, UPDATE, MergeSpec, create_only, merge
 from millrace.sources.tables import VersionedTable
@@ -54,13 +55,17 @@ def apply_rows(target: DataFrame, rows: DataFrame, kind: str, mode: str, ignore_
     keys = list(spec.keys)
     rows = conform(rows, target)
     if kind == "asset_hierarchy" and mode == "upsert":
-        plan = sync_plan(rows, target, many=True)
+        # Written once: the merge, the deletes and the counts all read the same plan.
+        plan = materialize(sync_plan(rows, target, many=True), "plan")
         after = apply_sync(rows, target, plan)
-        return after.join(plan.select("external_id", "change"), "external_id", "left").select(
+        marked = after.join(plan.select("external_id", "change"), "external_id", "left").select(
             *target.columns,
             F.when(F.col("change") == "new", "created").when(F.col("change") == "changed", "updated")
             .otherwise("untouched").alias("_change"),
         )
+        gone = plan.where(F.col("change") == "deleted").select("external_id")
+        return marked.unionByName(target.join(gone, "external_id", "left_semi").select(
+            *target.columns, F.lit("deleted").alias("_change")))
     if mode == "abort":
         combined = create_only(target, rows, keys)
         known = target.select(*keys, F.lit("untouched").alias("_old"))

@@ -104,9 +104,8 @@ def write_points(new: DataFrame, path: str, keys: Sequence[str] = ("series_id",)
     else:
         touched = stored.join(latest.select("day").distinct(), "day", "left_semi")
         merged = touched.join(latest.select(*key), key, "left_anti").unionByName(latest)
-    # Several tasks per day: a busy day spreads over hash ranges of the series and hour.
-    spread = F.pmod(F.xxhash64(*keys, F.floor(F.col("ts_ms") / F.lit(DAY_MS // 24))), F.lit(16))
+    # A rebalance sizes the tasks at run time: a busy day is split into as many as it needs.
     (
-        merged.repartition("day", spread).sortWithinPartitions("day", *keys, "ts_ms")
+        merged.hint("rebalance", "day").sortWithinPartitions("day", *keys, "ts_ms")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     )

@@ -139,3 +139,23 @@ def test_constructors(frame):
         df.select(geo.line_string(geo.pair_up(F.col("flat"), 3))).collect()
     with pytest.raises(PySparkException):
         df.select(geo.geometry("Point", F.array(F.lit(1.0)))).collect()
+
+
+def test_hole_of_any_form_is_outside():
+    from millrace.functions.geo import _parts, shape_within
+
+    hole = [[2, 2], [8, 2], [8, 8], [7, 8], [7, 3], [3, 3], [3, 8], [2, 8], [2, 2]]
+    plate = _parts("Polygon", [[[0, 0], [10, 0], [10, 10], [0, 10], [0, 0]], hole])
+    square = lambda a, b: _parts("Polygon", [[[a, a], [b, a], [b, b], [a, b], [a, a]]])
+    assert not shape_within(square(1, 9), plate)
+    assert shape_within(square(4, 7), plate)
+
+
+def test_lists_nested_at_any_depth(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.functions.values import struct_strings
+
+    rows = [('{"a":[[[[[{"b":"x ]["}]]]],{"b":1}]}',), ('{"a":{"b":[["y"]]}}',), ("{}",), (None,)]
+    df = spark.createDataFrame(rows, "j string").select(struct_strings(F.parse_json("j"), ["a", "b"]).alias("s"))
+    assert [r["s"] for r in df.collect()] == [["x ][", "1.0"], ['["y"]'], [], []]

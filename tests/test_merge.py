@@ -105,3 +105,13 @@ def test_retrieve_keeps_key_kinds_apart(frame, rows):
     assert [r["id"] for r in in_request_order(df, ["x", "10", "x", "none"]).collect()] == [12, 11]
     filled = resolve_ids(frame("id long, external_id string, v int", (10, None, 1), (None, "x", 2), (99, None, 3)), df)
     assert rows(filled, "external_id", "v") == [("ten", 1), ("x", 2), (None, 3)]
+
+
+def test_create_only_counts_and_filters(frame):
+    target = frame("external_id string, v int", ("a", 1))
+    fresh = frame("external_id string, v int", ("n1", 1), ("n2", 2))
+    made = create_only(target, fresh, ["external_id"])
+    assert made.where("external_id = 'n1'").count() == 1 and made.count() == 3
+    for rows in ([("a", 2)], [("n1", 1), ("n1", 2)], [(None, 1)]):
+        with pytest.raises(ValueError):
+            create_only(target, frame("external_id string, v int", *rows), ["external_id"]).count()

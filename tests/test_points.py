@@ -177,3 +177,21 @@ def test_point_upsert_rewrites_touched_days_only(spark, frame, rows, tmp_path):
         write_points(frame(ddl, ("a", 1, 9.0, 0), ("b", 2, 4.0, 0)), path, order_by=["ord"])
         assert read() == [("a", 1, 9.0), ("a", day, 5.0), ("b", 2, 4.0)]
     assert {p.name for p in (tmp_path / "points" / "day=1").iterdir()} == kept
+
+
+@pytest.mark.parametrize("bounds", [(H, None), (H, 2 * H), (None, 2 * H)])
+def test_window_values_do_not_depend_on_the_request(frame, bounds):
+    points = frame(DDL, ("s", 0, 0.0, False), ("s", 3 * H // 2, 15.0, False), ("s", 2 * H + 1, 30.0, False))
+    names = ["average", "interpolation", "stepInterpolation", "continuousVariance"]
+    whole = {r["window_start"]: r for r in aggregate_points(points, "1h", names).collect()}
+    part = aggregate_points(points, "1h", names, *bounds).collect()
+    assert part and all(whole[r["window_start"]] == r for r in part)
+
+
+def test_days_are_pruned(spark, frame, tmp_path):
+    points = frame(DDL, *[("s", d * 24 * H + 5, float(d), False) for d in range(4)])
+    write_points(points, str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    plan = aggregate_points(stored, "1d", ["count"], 24 * H, 48 * H)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [(day" in plan
+    assert [r["count"] for r in aggregate_points(stored, "1d", ["count"], 24 * H, 48 * H).collect()] == [1]

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.geo import geo_relation, point, polygon
 
+from millrace.lineage import scratch_path
 from millrace.operators.merge import in_request_order, retrieve
 from millrace.plans.filters import apply_filter, compile_filter
 from millrace.sources.tables import scan_slice
+from millrace.workspace import Workspace
 from workload.mapping import ASSETS, EVENTS, RAW, assets, events, raw_json, table
 from workload.registry import query
 
@@ -231,3 +233,71 @@ def files_directory_mime(spark, sf):
     files = table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit("/"), "source", F.lit("/")).alias("directory"), F.col("lang").alias("mime_type"))
     return files.where(compile_filter({"directoryPrefix": "/src1", "mimeType": "en"})).select(F.col("doc_id").alias("id"))
+
+
+@query("filter_data_sets_mixed", f"WITH {EVENTS} SELECT external_id FROM ev WHERE data_set_id IN (1, 2, 4)")
+def filter_data_sets_mixed(spark, sf):
+    sets = table(spark, sf, "region").select(
+        F.col("r_regionkey").cast("long").alias("id"), F.concat(F.lit("ds"), F.col("r_regionkey").cast("string")).alias("external_id"))
+    spec = {"dataSetIds": [1, {"id": 2}, {"externalId": "ds4"}]}
+    return apply_filter(events(spark, sf), spec, {"data_sets": sets}).select("external_id")
+
+
+def _by_number(spark, sf):
+    """Events linked by the internal ids of their customers."""
+    return events(spark, sf).withColumn("asset_ids", F.transform("asset_ids", lambda a: (a + 10000).cast("long")))
+
+
+@query("subtree_filter_by_id", f"""WITH RECURSIVE {ASSETS},
+sub AS (SELECT external_id, id FROM assets WHERE external_id IN ('R1', 'N7') OR id = 10005
+        UNION SELECT a.external_id, a.id FROM assets a JOIN sub s ON a.parent_external_id = s.external_id),
+{EVENTS}
+SELECT external_id FROM ev WHERE asset_id + 10000 IN (SELECT id FROM sub)""")
+def subtree_filter_by_id(spark, sf):
+    known = {r["external_id"]: r["id"] for r in assets(spark, sf).where(F.col("external_id").isin("R1", "N7")).collect()}
+    spec = {"assetSubtreeIds": [{"id": known["R1"]}, known["N7"], 10005]}
+    return apply_filter(_by_number(spark, sf), spec, {"assets": assets(spark, sf)}).select("external_id")
+
+
+@query("root_filter_by_id", f"""WITH {EVENTS}
+SELECT e.external_id FROM ev e JOIN customer c ON e.asset_id = c.c_custkey WHERE e.type = 'P'""")
+def root_filter_by_id(spark, sf):
+    root = assets(spark, sf).where("external_id = 'ROOT'").first()["id"]
+    spec = {"rootAssetIds": [root], "type": "P"}
+    return apply_filter(_by_number(spark, sf), spec, {"assets": assets(spark, sf)}).select("external_id")
+
+
+def _stored(spark, sf):
+    """A workspace that holds the events."""
+    ws = Workspace(spark, scratch_path(spark, "workspace"))
+    ws.events.table.commit(events(spark, sf))
+    return ws
+
+
+@query("workspace_aggregate_count", f"""WITH {EVENTS}
+SELECT count(*) AS "count" FROM ev WHERE type = 'O' AND start_time >= {T0}""")
+def workspace_aggregate_count(spark, sf):
+    return _stored(spark, sf).events.aggregate({"type": "O", "startTime": {"min": T0}})
+
+
+@query("workspace_aggregate_values", """SELECT o_orderpriority AS value, count(*) AS "count" FROM orders GROUP BY 1""")
+def workspace_aggregate_values(spark, sf):
+    return _stored(spark, sf).events.aggregate(field="subtype")
+
+
+@query("workspace_list_first", f"""WITH {EVENTS}
+SELECT external_id, price, row_number() OVER (ORDER BY external_id) AS position FROM ev ORDER BY external_id LIMIT 25""")
+def workspace_list_first(spark, sf):
+    rows = _stored(spark, sf).events.list(limit=25)
+    # The order of the result itself is what counts: positions follow the rows as they come.
+    place = [(r["external_id"], i) for i, r in enumerate(rows.select("external_id").collect(), 1)]
+    positions = spark.createDataFrame(place, "external_id string, position long")
+    return rows.select("external_id", "price").join(positions, "external_id")
+
+
+@query("retrieve_positions", f"""WITH {EVENTS}
+SELECT external_id, description, CASE external_id WHEN '77' THEN 1 WHEN '5' THEN 2 ELSE 3 END::BIGINT AS position
+FROM ev WHERE external_id IN ('77', '5', '1024')""")
+def retrieve_positions(spark, sf):
+    rows = in_request_order(events(spark, sf), ["77", "5", "1024", "5", "none"]).select("external_id", "description").collect()
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows, 1)], "external_id string, description string, position long")

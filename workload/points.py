@@ -218,3 +218,23 @@ def points_decoded(spark, sf):
         F.col("series_id").cast("string").alias("externalId"), F.col("is_step").alias("isStep"),
         F.array(F.struct(F.col("ts_ms").alias("timestamp"), F.col("value_num").alias("value"))).alias("datapoints")))
     return decode_point_batches(rows.select(batch.alias("payload"))).select("external_id", "is_step", "ts_ms", "value_num")
+
+
+# A window of the request that starts and ends inside the data; values must equal those over all points.
+W_LO, W_HI = MID // DAY * DAY, MID // DAY * DAY + 9 * DAY
+_INSIDE = f"WHERE {{w}} >= {W_LO} AND {{w}} < {W_HI}"
+
+
+@query("points_window_average", _weighted(DAY, "true", _AVERAGE + ", " + _VARIANCE) + "\n" + _INSIDE.format(w="o.win"))
+def points_window_average(spark, sf):
+    df = aggregate_points(points(spark, sf), "1d", ["average", "continuousVariance"], W_LO, W_HI, step="is_step")
+    return rounded(rounded(df, "average"), "continuous_variance", digits=4)
+
+
+@query("points_window_interpolation", _AT_START + """
+SELECT series_id, win AS window_start, round(CASE WHEN nt = win THEN nv WHEN pt IS NULL THEN NULL WHEN is_step THEN pv
+       ELSE pv + (nv - pv) * (win - pt) / (nt - pt) END, 6) AS interpolation, pv AS step_interpolation
+FROM both_sides """ + _INSIDE.format(w="win"))
+def points_window_interpolation(spark, sf):
+    df = aggregate_points(points(spark, sf), "1d", ["interpolation", "stepInterpolation"], W_LO, W_HI, step="is_step")
+    return rounded(df, "interpolation")

@@ -43,6 +43,18 @@ def struct_path_list(spark, sf):
         struct_delimited(F.col("columns"), "nested.nothing.status", ";").alias("missing"))
 
 
+@query("struct_path_nested", f"""WITH {RAW}
+SELECT key, name || ',a [[x]' AS found FROM raw""")
+def struct_path_nested(spark, sf):
+    """Lists nested five deep in one another, with brackets inside a text."""
+    column = lambda name: value_to_string(_field(name))
+    json = F.to_json(F.struct(F.struct(column("name").alias("b")).alias("x")))
+    inner = F.regexp_replace(json, '^[{]"x":|[}]$', "")
+    text = F.concat(F.lit('{"a":[[[[['), inner, F.lit(',{"b":"a [[x]"}]]],[]],{"c":1}]}'))
+    rows = _raw(spark, sf).select("key", F.parse_json(text).alias("v"))
+    return rows.select("key", F.array_join(struct_strings(F.col("v"), ["a", "b"]), ",").alias("found"))
+
+
 @query("raw_rejects", """
 SELECT CASE WHEN p_partkey % 5 = 1 THEN 'key is not text' WHEN p_partkey % 5 = 2 THEN 'lastUpdatedTime is not a whole number'
             WHEN p_partkey % 5 = 3 THEN 'columns is not an object' ELSE 'not JSON' END AS reason, count(*) AS n
