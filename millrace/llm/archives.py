@@ -133,7 +133,7 @@ def members(read, length: int) -> dict[str, Member]:
     tail_at = max(0, length - _TAIL)
     tail = read(tail_at, length - tail_at)
     end = tail.rfind(END)
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(END, 0, end)  # the mark may also stand in a comment
     if end < 0:
         raise ValueError("no end of central directory")

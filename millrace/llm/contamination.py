@@ -194,9 +194,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, blo
     found = parts[0]
     for part in parts[1:]:
         # Equal rows give equal finds; one of them is enough to add to each.
-        more = materialize(part.groupBy("row", "doc_id").agg(F.first("hits").alias("h"), F.first("items").alias("i")), "hits")
-        found = found.join(more.withColumnRenamed("doc_id", "d"), (F.col("row") == more["row"]) & F.col("doc_id").eqNullSafe(F.col("d")), "left").select(
-            found["row"], "doc_id", "n_words",
+        more = materialize(part.groupBy(F.col("row").alias("r"), F.col("doc_id").alias("d")).agg(
+            F.first("hits").alias("h"), F.first("items").alias("i")), "hits")
+        found = found.join(more, (F.col("row") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")), "left").select(
+            "row", "doc_id", "n_words",
             F.concat("hits", F.coalesce("h", F.array().cast(_SPANS))).alias("hits"),
             F.array_sort(F.array_union("items", F.coalesce("i", F.array().cast("array<long>")))).alias("items"))
     return found.mapInArrow(_join_spans, kind).drop("row")

@@ -150,11 +150,10 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE) -> Model:
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000))
     share = F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, int(1e6 * min(1.0, per_language / n)))))
     picked = known.where(draw < share[F.col("lang")]).select("lang", "text").mapInArrow(_spread, "lang string, window binary").collect()
-    windows = np.frombuffer(b"".join(bytes(r["window"]) for r in picked), np.uint8).reshape(-1, WINDOW)
+    rows = sorted((r["lang"], bytes(r["window"])) for r in picked)  # the order of arrival must not matter
+    windows = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW)
     place = {k: i for i, k in enumerate(languages)}
-    labels = np.array([place[r["lang"]] for r in picked])
-    order = np.lexsort((*windows.T[:8], labels))  # the order of arrival must not matter
-    return train(windows[order], labels[order], languages)
+    return train(windows, np.array([place[lang] for lang, _ in rows]), languages)
 
 
 def _predict(model: Model):

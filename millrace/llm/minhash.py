@@ -244,8 +244,8 @@ def one_per_group(docs: DataFrame, *, shingle: int = 5, percent: int = 85) -> Da
     id link with nothing and stay.
     """
     kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept").groupBy("doc_id").agg(
-        F.min("text_hash").alias("text_hash"))
+        F.min("text_hash").alias("_kept_hash")).withColumnRenamed("doc_id", "_kept_id")
     named = docs.where("doc_id is not null")
-    chosen = named.join(kept.withColumnRenamed("doc_id", "kept_id"), (F.col("doc_id") == F.col("kept_id")) & (
-        F.xxhash64("text") == F.col("text_hash")), "left_semi").dropDuplicates(["doc_id"])
+    same = (named["doc_id"] == kept["_kept_id"]) & (F.xxhash64(named["text"]) == kept["_kept_hash"])
+    chosen = named.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
     return chosen.unionByName(docs.where("doc_id is null"))
