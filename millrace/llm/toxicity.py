@@ -4,9 +4,11 @@ Fitting, on at most ``SAMPLE`` labelled documents (a random subset by hash of th
 
 * three quarters give token log-odds between toxic and clean documents with an informative Dirichlet
   prior (the pooled frequency of the token); tokens are the words and, for inflected and compound
-  forms, their beginnings of ``STEMS`` bytes. Only tokens whose log-odds stand ``Z`` standard errors
-  off zero score, shrunk by one standard error; a word gets the score of its strongest token less
-  ``DRIFT``;
+  forms, their beginnings of ``STEMS`` bytes. A toxic document counts for a token only as far as it
+  brings new contexts (the words around a word, the words that begin with a beginning), so copies of one
+  text do not make its words toxic, nor one toxic word all that begin like it. Only
+  tokens whose log-odds stand ``Z`` standard errors off zero, and at ``LEAST`` or more after they are
+  shrunk by one, score; a word gets the score of its strongest token less ``DRIFT``;
 * the clean token frequencies give the decay ``lambda`` of chance segment scores, the clean documents
   of the last quarter the scale ``K`` of the extreme-value law;
 * that quarter also fits the logistic map from evidence to probability.
@@ -31,7 +33,7 @@ from millrace.llm import text as tx
 from millrace.llm.frames import session_of
 
 SAMPLE = 20_000
-PRIOR, Z, DRIFT, SIGNIFICANT = 50.0, 4.0, 0.1, 0.05
+PRIOR, Z, LEAST, DRIFT, SIGNIFICANT = 50.0, 3.5, 1.5, 0.3, 0.05
 STEMS = (3, 4, 5, 6, 7, 8)
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64())]))
@@ -128,6 +130,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(add(~toxic[r]))], ["word", "td", "cd", "ct"])
 
 
+def _contexts(wanted: np.ndarray):
+    """Toxic texts to distinct ``(token, context)`` of the wanted tokens, per batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.pieces(batches, "text"):
+            words, tokens = _tokens(batch)
+            plain = tokens[0]
+            padded = np.concatenate([[np.uint64(0)], plain, [np.uint64(0)]]).astype(np.uint64)
+            # The neighbours at the edge of a text belong to another one; that only adds a context.
+            around = tx.mix(padded[:-2] ^ tx.mix(padded[2:] + np.uint64(1))) if len(plain) else plain
+            found = set()
+            for number, hashes in enumerate(tokens):
+                at = np.searchsorted(wanted, hashes)
+                at[at == len(wanted)] = 0
+                known = wanted[at] == hashes
+                seen_in = around if number == 0 else plain
+                found.update(zip(tx.signed(hashes[known]).tolist(), tx.signed(seen_in[known]).tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["word", "around"])
+
+    return run
+
+
 def _scan(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.pieces(batches, "text"):
@@ -189,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     picked = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(draw).limit(sample).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)))
     # The sample is bounded by its size, so it may be broadcast; documents are not shuffled.
-    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "labelled")
+    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["text"]), "labelled")
     learn, check = rows.where("fold > 0"), rows.where("fold = 0")
     sizes = {r["label"]: r["n"] for r in learn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sum(n for k, n in sizes.items() if k != 1)
@@ -204,10 +228,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     scored = counts.withColumn("delta", odds("td", float(toxic)) - odds("cd", float(clean))).withColumn(
         "sigma", F.sqrt(1 / (F.col("td") + prior) + 1 / (F.col("cd") + prior)))
     total = max(1, counts.agg(F.sum("ct").alias("n")).first()["n"] or 1)
-    kept = scored.where((F.abs("delta") > Z * F.col("sigma")) & (F.col("td") + F.col("cd") >= 3)).collect()
-    words = np.array([r["word"] for r in kept], np.int64).view(np.uint64)
-    scores = np.array([math.copysign(max(abs(r["delta"]) - r["sigma"], 0.0), r["delta"]) for r in kept])
-    share = np.array([r["ct"] + 0.5 for r in kept]) / total
+    kept = scored.where((F.abs("delta") > Z * F.col("sigma")) & (F.abs("delta") - F.col("sigma") >= LEAST)).orderBy("word").collect()
+    words = np.sort(np.array([r["word"] for r in kept], np.int64).view(np.uint64))
+    distinct = {r["word"]: r["n"] for r in learn.where("label = 1").select("text").mapInArrow(
+        _contexts(words), "word long, around long").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()} if kept else {}
+    word, td, cd, ct = (np.array([r[k] for r in kept], np.int64) for k in ("word", "td", "cd", "ct"))
+    seen = np.minimum(td, [distinct.get(int(w), 0) for w in word]) if kept else td
+    a = PRIOR * (td + cd) / (toxic + clean)
+    delta = np.log((seen + a) / (toxic + PRIOR - seen - a + 0.5)) - np.log((cd + a) / (clean + PRIOR - cd - a + 0.5))
+    sigma = np.sqrt(1 / (seen + a) + 1 / (cd + a))
+    firm = (np.abs(delta) > Z * sigma) & (np.abs(delta) - sigma >= LEAST)
+    words = word[firm].view(np.uint64)
+    scores = np.copysign(np.abs(delta) - sigma, delta)[firm]
+    share = (ct[firm] + 0.5) / total
     order = np.argsort(words)
     words, scores, share = words[order], scores[order], share[order]
     values = np.append(scores - DRIFT, -DRIFT)
