@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -12,17 +13,17 @@ _TOKEN = r"(\p{L}+|\p{N}+)"
 _PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
 
-_FIRSTS = 100_000
+_SLOTS = 1 << 20
 _GRAMS = T.ArrayType(T.StructType([
     T.StructField("gram", T.StringType()), T.StructField("start", T.IntegerType()),
     T.StructField("stop", T.IntegerType()), T.StructField("text", T.StringType()),
 ]))
 
 
-def token_runs(lengths: Sequence[int], firsts: frozenset[str] | None = None):
-    """UDF: all runs of ``lengths`` tokens in a text, folded, with offsets and the text they cover.
+def token_runs(lengths: Sequence[int], firsts: frozenset[int]):
+    """UDF: runs of ``lengths`` tokens in a text, folded, with offsets and the text they cover.
 
-    ``firsts`` leaves out runs that begin with none of these tokens.
+    Only runs whose first token falls in one of the slots ``firsts`` can be a name.
 
     Spark has no expression that returns match positions in linear time.
     """
@@ -31,7 +32,7 @@ def token_runs(lengths: Sequence[int], firsts: frozenset[str] | None = None):
         for text in texts.to_pylist():
             spans = [m.span() for m in _PY_TOKEN.finditer(text)] if text else []
             tokens = [text[a:b].lower() for a, b in spans]
-            begins = range(len(tokens)) if firsts is None else [i for i, t in enumerate(tokens) if t in firsts]
+            begins = [i for i, t in enumerate(tokens) if zlib.crc32(t.encode()) % _SLOTS in firsts]
             for n in lengths:
                 for i in begins:
                     if i + n > len(tokens):
@@ -52,7 +53,8 @@ def token_runs(lengths: Sequence[int], firsts: frozenset[str] | None = None):
 
 
 def name_tokens(name: Column) -> Column:
-    return F.regexp_extract_all(F.lower(name), F.lit(_TOKEN), F.lit(1))
+    """Tokens of a name, cut first and folded one by one, as those of the texts are."""
+    return F.transform(F.regexp_extract_all(name, F.lit(_TOKEN), F.lit(1)), F.lower)
 
 
 def entity_names(entities: DataFrame, search_field: str, min_tokens: int = 2) -> DataFrame:
@@ -99,10 +101,9 @@ def detect_annotations(documents: DataFrame, entities: DataFrame, search_field:
     lengths = sorted(r[0] for r in grams.select("n").distinct().collect())
     if not lengths:
         lengths = [max(min_tokens, 1)]
-    # Up to a counted bound the first tokens travel to the tasks; beyond it all runs are joined.
-    begin = F.substring_index("gram", " ", 1)
-    found = grams.select(begin).distinct().limit(_FIRSTS + 1).collect()
-    firsts = frozenset(r[0] for r in found) if len(found) <= _FIRSTS else None
+    # The slots of first tokens travel to the tasks; there are at most _SLOTS, whatever the number of names.
+    slot = F.crc32(F.substring_index("gram", " ", 1)) % _SLOTS
+    firsts = frozenset(r[0] for r in grams.select(slot).distinct().collect())
     # Only the short runs leave the scan: the text itself is neither exploded nor shuffled.
     runs = documents.select(F.col(doc_id).alias("doc_id"), F.explode(token_runs(lengths, firsts)(F.col(text))).alias("r")).select(
         "doc_id", "r.gram", "r.start", "r.stop", "r.text"

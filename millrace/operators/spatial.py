@@ -45,14 +45,29 @@ def _blocks(lo: Column, hi: Column) -> Column:
     return F.when(lo < hi, F.concat(*tiles)).otherwise(none)
 
 
-def _enclosing(index: Column) -> Column:
-    """The block holding ``index`` on every level."""
+def _enclosing(index: Column, levels: list[int]) -> Column:
+    """The block holding ``index`` on each of the levels."""
     return F.array(*[
         F.struct(F.lit(n).alias("level"), F.shiftright(index, _BITS * n).cast("long").alias("block"))
-        for n in range(_LEVELS)
+        for n in levels
     ])
 
 
+def _tiles(nodes: DataFrame, *columns) -> DataFrame:
+    """The blocks that tile each node's subtree."""
+    span = _blocks(F.col("tree_index"), F.col("tree_index") + F.col("subtree_size"))
+    return nodes.select(*REVISION, *columns, F.explode(span).alias("_b")).select(
+        "*", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")).drop("_b")
+
+
+def _points(nodes: DataFrame, tiles: DataFrame, *columns) -> DataFrame:
+    """The block of each node on the levels that occur among the tiles (nine at most)."""
+    levels = sorted(r[0] for r in tiles.select("_level").distinct().collect())
+    spread = F.explode(_enclosing(F.col("tree_index"), levels) if levels else F.array().cast("array<struct<level:int,block:bigint>>"))
+    return nodes.select(*REVISION, *columns, spread.alias("_b")).select(
+        "*", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")).drop("_b")
+
+
 def subtree_nodes(nodes: DataFrame, roots: DataFrame, depth: int | None = None) -> DataFrame:
     """Nodes under each root, the root included, at most ``depth`` levels down.
 
@@ -60,30 +75,22 @@ def subtree_nodes(nodes: DataFrame, roots: DataFrame, depth: int | None = None)
     plus ``root_node_id``; a node under two requested roots comes once for each.
     """
     picked = nodes.join(roots.select(*REVISION, "node_id").distinct(), [*REVISION, "node_id"])
-    tiles = picked.select(
-        *REVISION, F.col("node_id").alias("root_node_id"), F.col("depth").alias("_root_depth"),
-        F.explode(_blocks(F.col("tree_index"), F.col("tree_index") + F.col("subtree_size"))).alias("_b"),
-    ).select(*REVISION, "root_node_id", "_root_depth", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))
-    # Only levels that occur among the roots' blocks can match.
-    spread = nodes.select("*", F.explode(_enclosing(F.col("tree_index"))).alias("_b")).select(
-        *nodes.columns, F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")
-    )
-    found = spread.join(tiles, [*REVISION, "_level", "_block"])
+    tiles = _tiles(picked, F.col("node_id").alias("root_node_id"), F.col("depth").alias("_root_depth"))
+    # Keys are matched first, on the few levels of the roots' blocks; whole rows join once.
+    found = _points(nodes, tiles, "node_id", F.col("depth").alias("_depth")).join(tiles, [*REVISION, "_level", "_block"])
     if depth is not None:
-        found = found.where(F.col("depth") - F.col("_root_depth") <= F.lit(depth))
-    return found.select(*nodes.columns, "root_node_id")
+        found = found.where(F.col("_depth") - F.col("_root_depth") <= F.lit(depth))
+    pairs = found.select(*REVISION, "node_id", "root_node_id")
+    return nodes.join(pairs, [*REVISION, "node_id"]).select(*nodes.columns, "root_node_id")
 
 
 def ancestor_nodes(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """Ancestors of each wanted node, the node included; node columns plus ``of_node_id``."""
     picked = nodes.join(wanted.select(*REVISION, "node_id").distinct(), [*REVISION, "node_id"])
-    probes = picked.select(
-        *REVISION, F.col("node_id").alias("of_node_id"), F.explode(_enclosing(F.col("tree_index"))).alias("_b")
-    ).select(*REVISION, "of_node_id", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))
-    tiles = nodes.select(
-        "*", F.explode(_blocks(F.col("tree_index"), F.col("tree_index") + F.col("subtree_size"))).alias("_b")
-    ).select(*nodes.columns, F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))
-    return tiles.join(probes, [*REVISION, "_level", "_block"]).select(*nodes.columns, "of_node_id")
+    tiles = _tiles(nodes, "node_id")
+    probes = _points(picked, tiles, F.col("node_id").alias("of_node_id"))
+    pairs = tiles.join(probes, [*REVISION, "_level", "_block"]).select(*REVISION, "node_id", "of_node_id")
+    return nodes.join(pairs, [*REVISION, "node_id"]).select(*nodes.columns, "of_node_id")
 
 
 # ------------------------------------------------------------------------ boxes

@@ -47,8 +47,15 @@ def apply_rows(target: DataFrame, rows: DataFrame, kind: str, mode: str, ignore_
     """The destination after the rows are applied: its columns plus ``_change``.
 
     abort inserts and fails on a known key; upsert merges; update touches known
-    keys only; delete keeps the deleted rows, marked, so that they can be counted.
+    keys only; delete keeps the deleted rows, marked.
     """
+    after = change_rows(target, rows, kind, mode, ignore_nulls, spec)
+    return after.where(F.col("_change") != "deleted") if kind == "asset_hierarchy" and mode == "upsert" else after
+
+
+def change_rows(target: DataFrame, rows: DataFrame, kind: str, mode: str, ignore_nulls: bool = True,
+                spec: MergeSpec | None = None) -> DataFrame:
+    """As :func:`apply_rows`; all deleted rows are kept, marked, so that they can be counted."""
     if mode not in CONFLICT_MODES:
         raise ValueError(f"conflict mode must be one of {CONFLICT_MODES}")
     spec = spec or destination_spec(kind)
@@ -106,7 +113,7 @@ class TransformationRunner:
             rows = self.spark.sql(query) if isinstance(query, str) else query
             read, written = Observation(), Observation()
             rows = rows.observe(read, F.count(F.lit(1)).alias("read"))
-            after = apply_rows(destination.read(), rows, kind, mode, ignore_nulls)
+            after = change_rows(destination.read(), rows, kind, mode, ignore_nulls)
             tally = lambda c: F.count(F.when(F.col("_change") == c, 1)).alias(c)
             after = after.observe(written, tally("created"), tally("updated"), tally("deleted"))
             destination.commit(after.where(F.col("_change") != "deleted").drop("_change"))

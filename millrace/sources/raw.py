@@ -21,7 +21,7 @@ def parse_raw_rows(lines: DataFrame, db: str, table: str, column: str = "value")
     ``columns``; everything else is a reject with its text and the reason.
     """
     part = lambda v, path: F.try_variant_get(v, path, "variant")
-    is_object = lambda v, path: F.try_variant_get(v, path, "map<string,variant>").isNotNull()
+    is_object = lambda v, path: F.coalesce(F.schema_of_variant(part(v, path)).startswith("OBJECT"), F.lit(False))
 
     def read(v: Column) -> Column:
         reason = (

@@ -235,3 +235,13 @@ def test_workspace_verbs(spark, frame, rows, tmp_path):
     assert rows(ws.assets.list(), "external_id") == [("q",)]
     with pytest.raises(AttributeError):
         ws.nothing
+
+
+def test_synchronised_deletes_are_counted(spark, frame, tmp_path):
+    ddl = "external_id string, parent_external_id string, name string"
+    table = VersionedTable(spark, str(tmp_path / "assets"))
+    table.commit(frame(ddl, ("r", None, "root"), ("a", "r", "A"), ("b", "r", "B")))
+    runner = TransformationRunner(spark, str(tmp_path / "log"))
+    done = runner.run("sync", frame(ddl, ("r", None, "root"), ("a", "r", "AA"), ("n", "a", "N")), table, "asset_hierarchy")
+    assert done.status == "Completed" and done.metrics == {"read": 3, "created": 1, "updated": 1, "deleted": 1}
+    assert {r["external_id"] for r in table.read().collect()} == {"r", "a", "n"}

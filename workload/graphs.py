@@ -1,8 +1,9 @@
 """Relationships, 3D nodes and boxes."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from millrace.operators.graph import valid_edges, with_resources
+from millrace.lineage import materialize
+from millrace.operators.graph import api_text, valid_edges, with_resources
 from millrace.operators.spatial import (
     ancestor_nodes, box_join, create_mappings, delete_mappings, mappings_with_nodes, node_list, subtree_nodes,
 )
@@ -137,3 +138,24 @@ def mappings_edited(spark, sf):
     moved = current.where("asset_id % 10 = 0").withColumn("node_id", F.col("node_id") + 1)
     left = delete_mappings(current, current.where("asset_id % 3 = 0"))
     return create_mappings(left, moved.unionByName(left)).select("node_id", "asset_id")
+
+
+@query("api_types", """
+SELECT CASE p_size % 5 WHEN 0 THEN 'asset' WHEN 1 THEN 'timeSeries' WHEN 2 THEN 'file' WHEN 3 THEN 'event' ELSE 'sequence' END AS type,
+       count(*) AS n FROM part GROUP BY 1""")
+def api_types(spark, sf):
+    names = F.array(*map(F.lit, ("ASSET", "TIME_SERIES", "FILE", "EVENT", "SEQUENCE")))
+    kinds = table(spark, sf, "part").select(api_text(F.element_at(names, (F.col("p_size") % 5 + 1).cast("int"))).alias("type"))
+    return kinds.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("node_list_positions", f"""WITH RECURSIVE {NODES},
+way AS (SELECT node_id, depth, lpad(node_id::VARCHAR, 9, '0') AS path FROM nodes WHERE parent_id IS NULL
+        UNION ALL SELECT n.node_id, n.depth, w.path || lpad(n.node_id::VARCHAR, 9, '0') FROM nodes n JOIN way w ON n.parent_id = w.node_id)
+SELECT node_id, depth, row_number() OVER (ORDER BY path) AS position FROM way""")
+def node_list_positions(spark, sf):
+    """The place of every node in the listing, taken from the rows as the listing gives them."""
+    listed = node_list(nodes_3d(spark, sf)).select("node_id", "depth").withColumn("at", F.monotonically_increasing_id())
+    kept = materialize(listed, "listing")
+    # Ids rise with the row; ranks over them give the position without moving rows to the driver.
+    return kept.select("node_id", "depth", F.row_number().over(Window.orderBy("at")).cast("long").alias("position"))

@@ -160,3 +160,19 @@ def applied(spark, sf):
 @query("change_detection", _PLAN + "SELECT external_id, change FROM plan")
 def change_detection(spark, sf):
     return diff(_incoming(spark, sf), assets(spark, sf))
+
+
+@query("sync_several_roots", f"""WITH {ASSETS},
+cust AS (SELECT *, id - 10000 AS k FROM assets WHERE source = 'customer')
+SELECT external_id, CASE WHEN k % 7 = 0 THEN 'deleted' WHEN k % 4 = 1 THEN 'changed' ELSE 'unchanged' END AS change FROM cust
+UNION ALL SELECT external_id, CASE WHEN source = 'region' THEN 'changed' ELSE 'unchanged' END FROM assets WHERE source NOT IN ('customer', 'world')""")
+def sync_several_roots(spark, sf):
+    """Five hierarchies at once, one per region: customers vanish, and some move to the nation of another region."""
+    base = assets(spark, sf).where("source <> 'world'")
+    k = F.when(F.col("source") == "customer", F.col("id") - 10000)
+    cut = base.withColumn("parent_external_id", F.when(F.col("source") != "region", F.col("parent_external_id")))
+    other = F.when(F.col("parent_external_id") == "N0", "N1").otherwise("N0")
+    incoming = cut.where(k.isNull() | (k % 7 != 0)).withColumn(
+        "parent_external_id", F.when(k % 4 == 1, other).otherwise(F.col("parent_external_id"))).withColumn(
+        "name", F.when(F.col("source") == "region", F.concat("name", F.lit(" *"))).otherwise(F.col("name")))
+    return sync_plan(incoming, cut, many=True).select("external_id", "change")

@@ -166,3 +166,33 @@ SELECT external_id, type, description, source FROM tgt WHERE external_id NOT IN
 def transform_delete(spark, sf):
     df = apply_rows(_target(spark, sf), _view(spark, sf).select("external_id"), "events", "delete")
     return df.where("_change <> 'deleted'").drop("_change")
+
+
+@query("labels_merged", """
+WITH old AS (SELECT p_partkey AS k, 'name ' || p_partkey AS name, 'about ' || p_partkey AS description FROM part WHERE p_partkey % 3 <> 0),
+new AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN 'new ' || p_partkey END AS name FROM part WHERE p_partkey % 5 = 0)
+SELECT 'L' || coalesce(o.k, n.k) AS external_id, CASE WHEN n.k IS NOT NULL THEN n.name ELSE o.name END AS name,
+       CASE WHEN n.k IS NULL THEN o.description END AS description FROM old o FULL JOIN new n ON o.k = n.k""")
+def labels_merged(spark, sf):
+    k = F.col("p_partkey")
+    part = table(spark, sf, "part")
+    name = lambda c: F.concat(F.lit("L"), c.cast("string")).alias("external_id")
+    old = part.where(k % 3 != 0).select(name(k), F.concat(F.lit("name "), k).alias("name"),
+                                        F.concat(F.lit("about "), k).alias("description"), F.lit(1).cast("long").alias("data_set_id"))
+    new = part.where(k % 5 == 0).select(name(k), F.when(k % 2 == 0, F.concat(F.lit("new "), k)).alias("name"),
+                                        F.lit(None).cast("string").alias("description"), F.lit(2).cast("long").alias("data_set_id"))
+    return merge(old, new, SPECS["labels"], UPDATE).select("external_id", "name", "description")
+
+
+@query("files_merged", """
+WITH old AS (SELECT p_partkey AS k FROM part WHERE p_partkey % 3 <> 0), new AS (SELECT p_partkey AS k FROM part WHERE p_partkey % 5 = 0)
+SELECT 'F' || coalesce(o.k, n.k) AS external_id, CASE WHEN o.k IS NULL THEN 'new name' ELSE 'old name' END AS name,
+       CASE WHEN o.k IS NULL THEN 'b' WHEN n.k IS NULL THEN 'a' WHEN o.k % 2 = 0 THEN 'a,b' ELSE 'a,b' END AS labels FROM old o FULL JOIN new n ON o.k = n.k""")
+def files_merged(spark, sf):
+    """Labels are added, a name stays as it was made."""
+    k = F.col("p_partkey")
+    part = table(spark, sf, "part")
+    shaped = lambda rows, name, label: rows.select(
+        F.concat(F.lit("F"), k.cast("string")).alias("external_id"), F.lit(name).alias("name"), F.array(F.lit(label)).alias("labels"))
+    after = merge(shaped(part.where(k % 3 != 0), "old name", "a"), shaped(part.where(k % 5 == 0), "new name", "b"), SPECS["files"], UPDATE)
+    return after.select("external_id", "name", F.array_join("labels", ",").alias("labels"))
