@@ -1,6 +1,6 @@
 """Entity matching and text annotation."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from millrace.operators.annotate import annotation_entities, detect_annotations
 from millrace.operators.match import MatchModel, fit_supervised, match_pairs, match_results, predict_supervised
@@ -95,3 +95,29 @@ def annotate_entities(spark, sf):
     hits = detect_annotations(table(spark, sf, "documents"), entities, "name")
     return annotation_entities(hits, entities, "name").groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("hits"), F.countDistinct("doc_id").alias("documents"))
+
+
+@query("annotate_partial", f"""WITH full_names AS (
+  SELECT DISTINCT array_to_string(list_transform(regexp_extract_all(text, '{_TOKENS}')[1:3], lambda x: lower(x)), ' ') AS name_key FROM benchmark),
+pair AS (SELECT name_key, split_part(name_key, ' ', i) || ' ' || split_part(name_key, ' ', i + 1) AS gram FROM full_names, (VALUES (1), (2)) v(i)),
+single AS (SELECT gram, min(name_key) AS name_key FROM (SELECT DISTINCT gram, name_key FROM pair) GROUP BY gram HAVING count(*) = 1),
+doc AS (SELECT doc_id, list_transform(regexp_extract_all(text, '{_TOKENS}'), lambda x: lower(x)) AS t FROM documents),
+spot AS (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM doc),
+whole AS (SELECT doc_id, i, n.name_key FROM spot JOIN full_names n ON i + 2 <= len(t) AND n.name_key = t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]),
+part AS (SELECT doc_id, i, s.name_key FROM spot JOIN single s ON s.gram = t[i] || ' ' || t[i + 1]),
+hits AS (SELECT doc_id, name_key, 1.0::DOUBLE AS confidence FROM whole
+  UNION ALL SELECT p.doc_id, p.name_key, 2.0::DOUBLE / 3 FROM part p WHERE NOT EXISTS (
+    SELECT 1 FROM whole w WHERE w.doc_id = p.doc_id AND w.name_key = p.name_key AND p.i BETWEEN w.i AND w.i + 1))
+SELECT doc_id, name_key, round(confidence, 6) AS confidence, count(*) AS n FROM hits GROUP BY ALL""")
+def annotate_partial(spark, sf):
+    hits = detect_annotations(table(spark, sf, "documents"), _entities(spark, sf), "name", partial_match=True)
+    return hits.groupBy("doc_id", "name_key", F.round("confidence", 6).alias("confidence")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("entity_match_supervised_best", """
+SELECT p_partkey AS source_id, p_partkey AS target_id FROM part""")
+def entity_match_supervised_best(spark, sf):
+    """The best target of every source; the planted answer is the part of the same key."""
+    predicted = entity_match_supervised(spark, sf)
+    order = Window.partitionBy("source_id").orderBy(F.desc("score"), "target_id")
+    return predicted.withColumn("n", F.row_number().over(order)).where("n = 1").select("source_id", "target_id")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators.points import (
-    aggregate_points, default_headers, delete_points, first_points, latest_points, max_frequency,
+    aggregate_points, default_headers, delete_points, first_points, in_window, latest_points, max_frequency,
     points_with_outside, series_points, time_extent,
 )
 from workload.mapping import POINTS, points, rounded, table
@@ -238,3 +238,31 @@ FROM both_sides """ + _INSIDE.format(w="win"))
 def points_window_interpolation(spark, sf):
     df = aggregate_points(points(spark, sf), "1d", ["interpolation", "stepInterpolation"], W_LO, W_HI, step="is_step")
     return rounded(df, "interpolation")
+
+
+@query("points_decoded_batches", f"""WITH {POINTS}
+SELECT CAST(series_id AS VARCHAR) AS external_id, is_step, ts_ms, value_num FROM points""")
+def points_decoded_batches(spark, sf):
+    """All points of a series and day in one payload, decoded back to flat points."""
+    from millrace.operators.points import decode_point_batches
+
+    one = F.struct(F.col("ts_ms").alias("timestamp"), F.col("value_num").alias("value"))
+    grouped = points(spark, sf).groupBy("series_id", "is_step", F.floor(F.col("ts_ms") / DAY).alias("d")).agg(F.collect_list(one).alias("datapoints"))
+    payload = F.to_json(F.struct(F.col("series_id").cast("string").alias("externalId"), F.col("is_step").alias("isStep"), "datapoints"))
+    return decode_point_batches(grouped.select(payload.alias("payload"))).select("external_id", "is_step", "ts_ms", "value_num")
+
+
+@query("points_upserted", f"""WITH {POINTS}
+SELECT series_id, ts_ms, CASE WHEN ts_ms >= {W_LO} AND ts_ms < {W_HI} AND series_id % 3 = 0 THEN value_num + 1 ELSE value_num END AS value_num
+FROM points WHERE NOT (ts_ms >= {W_LO} AND ts_ms < {W_HI} AND series_id % 3 = 1)
+UNION ALL SELECT series_id, ts_ms, value_num FROM points WHERE ts_ms >= {W_LO} AND ts_ms < {W_HI} AND series_id % 3 = 1""")
+def points_upserted(spark, sf):
+    """Points stored by day; a window of a third of the series is written again with other values."""
+    from millrace.lineage import scratch_path
+    from millrace.sources.tables import write_points
+
+    path = scratch_path(spark, "points")
+    rows = points(spark, sf).select("series_id", "ts_ms", "value_num")
+    write_points(rows, path)
+    write_points(in_window(rows, W_LO, W_HI).where("series_id % 3 = 0").withColumn("value_num", F.col("value_num") + 1), path)
+    return spark.read.parquet(path).select("series_id", "ts_ms", "value_num")

@@ -181,3 +181,19 @@ def sequence_upsert_rows(spark, sf):
     moved = prices.where("row_number = 1").withColumn("row_number", F.col("row_number") + 100)
     after = upsert_rows(prices, doubled.unionByName(moved))
     return after.select("external_id", "row_number", F.col("value_num").alias("price"))
+
+
+@query("json_attributes", """
+SELECT p_partkey AS id, p_name AS name, CAST(p_size AS VARCHAR) AS size,
+       '{"a":' || p_size || ',"b":["' || p_brand || '"]}' AS nested, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS brand FROM part""")
+def json_attributes(spark, sf):
+    """Attributes of payloads: text as it is, numbers as text, containers as JSON."""
+    from millrace.functions.values import json_attribute
+
+    size = F.col("p_size").cast("int")
+    payload = F.to_json(F.struct(
+        F.col("p_name").alias("name"), F.struct(size.alias("size"), F.struct(size.alias("a"), F.array("p_brand").alias("b")).alias("nested")).alias("x"),
+        F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).alias("brand")))
+    rows = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), payload.alias("j"))
+    read = lambda *path: json_attribute(F.col("j"), path)
+    return rows.select("id", read("name").alias("name"), read("x", "size").alias("size"), read("x", "nested").alias("nested"), read("brand").alias("brand"))
