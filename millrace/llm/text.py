@@ -49,8 +49,9 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse modulo 2^64, ``size`` at least (kept by size class)."""
-    return _powers(base, 1 << max(12, int(size).bit_length()))
+    """Powers of ``base`` and of its inverse modulo 2^64, ``size`` at least (kept by size class, but for very long texts)."""
+    room = 1 << max(12, int(size).bit_length())
+    return _powers(base, room) if room <= 1 << 22 else _powers.__wrapped__(base, size)
 
 
 def prefix_hash(codes: np.ndarray, base: int) -> np.ndarray:
