@@ -81,7 +81,8 @@ def fact_batch(batch: pa.RecordBatch, rows: np.ndarray, found) -> pa.RecordBatch
 def repeated_anchors(facts: DataFrame) -> DataFrame:
     """Segments whose anchor occurs again, with ``branching`` set where its segments differ."""
     shared = facts.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"))
-    shared = shared.where("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("branching"))
+    # Written first: a join of two plain scans can split a hot anchor over many tasks.
+    shared = materialize(shared.where("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("branching")), "shared")
     return materialize(facts.join(shared, "h"), "anchors")
 
 

@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, *, size: int = 200) -> DataFrame:
     facts = materialize(repeats.keyed(docs).drop("doc_id").mapInArrow(_facts(size), repeats.FACTS), "grams")
     found = repeats.repeated_anchors(facts)
     classes = repeats.branching_classes(found)
-    crowded = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP_SEGMENTS).select("h")
+    crowded = materialize(classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP_SEGMENTS).select("h"), "crowded")
     bodies = materialize(repeats.with_texts(docs, classes).mapInArrow(
         _segments(size), "h long, s long, n long, c int, body binary"), "bodies")
 
@@ -236,7 +236,7 @@ def remove_repeats(docs: DataFrame, *, size: int = 200) -> DataFrame:
     runs = grouped.mapInArrow(_sorted_runs(size), "h long, s long, lo int, hi int")
     windows = bodies.join(crowded, "h", "left_semi").mapInArrow(
         _window_keys(size), "h long, s long, off int, e long, e2 long, n long")
-    again = windows.groupBy("h", "e", "e2").agg(F.sum("n").alias("copies")).where("copies > 1").drop("copies")
+    again = materialize(windows.groupBy("h", "e", "e2").agg(F.sum("n").alias("copies")).where("copies > 1").drop("copies"), "again")
     spread = windows.join(again, ["h", "e", "e2"]).select("h", "s", F.col("off").alias("lo"), (F.col("off") + 1).alias("hi"))
     spans = repeats.document_spans(found, materialize(runs.union(spread), "runs"), size)
     return repeats.keyed(docs).join(spans, ["id", "t"], "left").select("doc_id", "text", "found").mapInArrow(
