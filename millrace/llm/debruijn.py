@@ -85,7 +85,7 @@ def compact(edges: DataFrame) -> DataFrame:
         F.sum("n").alias("copies"),
         (F.min(known("left")) != F.max(known("left"))).alias("joins"),
         (F.min(known("right")) != F.max(known("right"))).alias("parts")).where("copies > 1")
-    kept = edges.select("h", "s", "off", "e", "e2").join(stats, ["h", "e", "e2"])
+    kept = edges.select("h", "s", "off", "e", "e2").join(materialize(stats, "stats"), ["h", "e", "e2"])
     order = Window.partitionBy("h", "s").orderBy("off")
     before = lambda c: F.lag(c).over(order)
     starts = (before("off").isNull() | (before("off") != F.col("off") - 1) | (before("copies") != F.col("copies"))
