@@ -238,6 +238,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     groups = pages.where(F.octet_length("html") >= SHORTEST_REVISIT).select("page_id", F.sha1(payload).alias("digest")).groupBy(
         "digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("first")).where("n > 1").drop("n")
+    groups = materialize(groups, "equal")  # a join of two plain scans can split a hot payload over many tasks
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("first")), F.col("first"))
     chosen = rows.join(groups, "digest", "left").withColumn("refers_to", refers)
     return materialize(chosen.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(
