@@ -35,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # Written first: a join of two plain scans can split a hot node over many tasks.
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a != b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))

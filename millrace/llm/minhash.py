@@ -209,7 +209,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) ->
 
     entries = classes.select("node", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top")
-    pointers = entries.join(buckets.select("key", "b"), "key").select(F.col("node").alias("a"), "b")
+    # Small tables are written before they meet a large side: a join of two plain scans can split a hot key.
+    pointers = entries.join(materialize(buckets.select("key", "b"), "buckets"), "key").select(F.col("node").alias("a"), "b")
     # Two classes of one id (a repeated id) are one node; their texts are verified apart.
     cluster_of = components(pointers)
 
@@ -230,7 +231,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) ->
 
     found = classes.join(component_of, "node", "left").select(
         "k1", "k2", F.coalesce("component", "node").alias("component"))
-    out = facts.drop("bands").join(found, ["k1", "k2"], "left")
+    out = facts.drop("bands").join(materialize(found, "found"), ["k1", "k2"], "left")
     filled = F.col("n_shingles") > 0
     component = F.when(F.col("doc_id").isNotNull(), F.when(filled, F.col("component")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
