@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from millrace.plans.filters import compile_filter
+from millrace.lineage import materialize
+from millrace.plans.filters import apply_filter, compile_filter
+from millrace.sources.raw import raw_scan
 from millrace.sources.tables import VersionedTable
 
 # Polling defaults and limits in milliseconds.
@@ -24,6 +26,12 @@ OFFSET_MS, OFFSET_MIN_MS, OFFSET_MAX_MS = 30_000, 500, 10 * 86_400_000
 RAW_OFFSET_MS = 2_000
 
 Source = Callable[[], DataFrame]
+Lookups = Callable[[], Mapping[str, DataFrame]]
+
+
+def _filtered(rows: DataFrame, filter: Mapping | None, lookups: Lookups | None) -> DataFrame:
+    """``rows`` that meet the filter; keys that need another table read it from ``lookups``."""
+    return apply_filter(rows, filter, lookups() if lookups else None) if filter else rows
 
 
 def change_window(column: Column, after: int | None, until: int) -> Column:
@@ -50,6 +58,7 @@ class ChangeReader:
     interval_ms: int = INTERVAL_MS
     time_column: str = "last_updated_time"
     bounds: VersionedTable | None = None
+    lookups: Lookups | None = None
 
     def __post_init__(self):
         if not OFFSET_MIN_MS <= self.offset_ms <= OFFSET_MAX_MS:
@@ -77,11 +86,11 @@ class ChangeReader:
         """Rows of the next window; does not move the bound."""
         after, until = self.window(int(time.time() * 1000) if now_ms is None else now_ms)
         rows = self.source().where(change_window(F.col(self.time_column), after, until))
-        return rows.where(compile_filter(self.filter)) if self.filter else rows
+        return _filtered(rows, self.filter, self.lookups)
 
     def advance(self, now_ms: int) -> None:
-        self._bound = self.window(now_ms)[1]
-        if self.bounds is not None:
+        before, self._bound = self._bound, self.window(now_ms)[1]
+        if self.bounds is not None and self._bound != before:
             self.bounds.commit(self.source().sparkSession.range(1).select(F.lit(self._bound).cast("long").alias("bound")))
 
     def finished(self) -> bool:
@@ -99,7 +108,7 @@ class ChangeReader:
         clock = clock or (lambda: int(time.time() * 1000))
         while not self.finished():
             now = clock()
-            rows = self.poll(now)
+            rows = materialize(self.poll(now), "poll")  # computed once for the test and the consumer
             if not rows.isEmpty():
                 consumer(rows)
             self.advance(now)
@@ -107,6 +116,11 @@ class ChangeReader:
                 sleep(self.interval_ms / 1000)
 
 
+def raw_changes(rows: Source, db: str, table: str, **options) -> ChangeReader:
+    """A reader of the changed rows of one staging table; they settle sooner than other resources."""
+    return ChangeReader(lambda: raw_scan(rows(), db, table), **{"offset_ms": RAW_OFFSET_MS, **options})
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType, filter: Mapping | None = None,
                 start_ms: int | None = None, end_ms: int | None = None,
                 time_column: str = "last_updated_time", max_files: int | None = None) -> DataFrame:
@@ -123,12 +137,14 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, filter: Mapp
 
 
 def run_stream(rows: DataFrame, consumer: Callable[[DataFrame, int], None], checkpoint: str,
-               interval_ms: int | None = None) -> StreamingQuery:
+               interval_ms: int | None = None, filter: Mapping | None = None, lookups: Lookups | None = None) -> StreamingQuery:
     """Hand every non-empty micro-batch to ``consumer(batch, batch_id)``.
 
-    Without an interval everything available is processed and the query ends.
+    Without an interval everything available is processed and the query ends. ``filter`` may hold keys
+    that need other tables; ``lookups`` is read anew for every batch.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
+        batch = _filtered(batch, filter, lookups)
         if not batch.isEmpty():
             consumer(batch, batch_id)
 

@@ -88,7 +88,8 @@ class Resource:
 
     def stream(self, **options) -> ChangeReader:
         """A reader of created and changed rows (see :class:`ChangeReader`)."""
-        return ChangeReader(self.table.read, **options)
+        wanted = options.get("filter") or {}
+        return ChangeReader(self.table.read, **{"lookups": lambda: self.workspace.lookups(wanted), **options})
 
     def upload_queue(self, rows: DataFrame, checkpoint: str, interval_ms: int | None = FLUSH_MS,
                      mode: str = UPDATE, order_by: Sequence[str] = (), **hooks):

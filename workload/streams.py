@@ -6,10 +6,10 @@ from millrace.functions.durations import epoch_ms
 from millrace.lineage import scratch_path
 from millrace.operators.merge import MergeSpec
 from millrace.sources.tables import VersionedTable
-from millrace.streaming.publisher import ChangeReader, file_stream, run_stream
+from millrace.streaming.publisher import ChangeReader, file_stream, raw_changes, run_stream
 from millrace.streaming.sink import MergeSink, buffered_upload, stream_aggregates
 from millrace.streaming.state import expand, outside_state
-from workload.mapping import table
+from workload.mapping import ASSETS, EVENTS, RAW, assets, events, raw_json, table
 from workload.registry import query
 
 
@@ -125,3 +125,51 @@ def stream_point_agg(spark, sf):
     last = spark.read.parquet(out).groupBy(*keys).agg(
         *[F.max_by(c, "batch").alias(c) for c in ("count", "sum", "min", "max")])
     return last.withColumn("sum", F.round("sum", 4))
+
+
+F0, F1 = 852_076_800_000, 915_148_800_000
+_SUBTREE = f"""WITH RECURSIVE {ASSETS},
+sub AS (SELECT external_id, id FROM assets WHERE external_id IN ('R1', 'N7')
+        UNION SELECT a.external_id, a.id FROM assets a JOIN sub s ON a.parent_external_id = s.external_id),
+{EVENTS}
+SELECT external_id, start_time FROM ev WHERE asset_id + 10000 IN (SELECT id FROM sub)"""
+_ROOTS = {"assetSubtreeIds": [{"externalId": "R1"}, {"externalId": "N7"}]}
+
+
+def _linked(spark, sf):
+    return events(spark, sf).withColumn("asset_ids", F.transform("asset_ids", lambda a: (a + 10000).cast("long")))
+
+
+@query("stream_subtree_filter", _SUBTREE + f" AND start_time >= {F0} AND start_time <= {F1}")
+def stream_subtree_filter(spark, sf):
+    """Two polls with a filter that reads the asset table."""
+    reader = ChangeReader(lambda: _linked(spark, sf), _ROOTS, F0, F1, time_column="start_time",
+                          lookups=lambda: {"assets": assets(spark, sf)})
+    middle = (F0 + F1) // 2
+    first = reader.poll(middle)
+    reader.advance(middle)
+    return first.unionByName(reader.poll(F1 + 10_000_000)).select("external_id", "start_time")
+
+
+@query("stream_batches_subtree", _SUBTREE)
+def stream_batches_subtree(spark, sf):
+    """The same filter on the micro-batches of a file stream."""
+    source, out = scratch_path(spark, "linked"), scratch_path(spark, "subtree")
+    _linked(spark, sf).select("external_id", "start_time", "asset_ids").write.parquet(source)
+    rows = file_stream(spark, source, spark.read.parquet(source).schema)
+    run_stream(rows, lambda batch, n: batch.write.mode("append").parquet(out), scratch_path(spark, "subtree-progress"),
+               filter=_ROOTS, lookups=lambda: {"assets": assets(spark, sf)}).awaitTermination()
+    return spark.read.parquet(out).select("external_id", "start_time")
+
+
+@query("raw_change_windows", f"""WITH {RAW} SELECT key, last_updated_time FROM raw
+WHERE last_updated_time >= 1704153600000 AND last_updated_time <= 1704758400000 - 2000""")
+def raw_change_windows(spark, sf):
+    """Polls of a staging table, with its shorter offset."""
+    from millrace.sources.raw import parse_raw_rows
+
+    rows, _ = parse_raw_rows(raw_json(spark, sf), "plant", "log")
+    reader = raw_changes(lambda: rows, "plant", "log", start_ms=1_704_153_600_000)
+    first = reader.poll(1_704_400_000_000)
+    reader.advance(1_704_400_000_000)
+    return first.unionByName(reader.poll(1_704_758_400_000)).select("key", "last_updated_time")
