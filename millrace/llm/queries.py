@@ -44,7 +44,7 @@ SELECT w.doc_id, coalesce(size.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coal
 FROM w LEFT JOIN size ON size.doc_id = w.doc_id LEFT JOIN low ON low.a = w.doc_id
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
 
 
 @query("op3_suffix_array_dedup", r"""
