@@ -23,8 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8) stays, that with the smallest id."""
-    return minhash.one_per_group(docs, percent=80)
+    """One document of each group of near duplicates (five words, similarity 0.8) stays, that with the smallest id.
+
+    Texts that share an id without being alike all stay.
+    """
+    return minhash.one_per_group(docs, percent=80, by_text=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -190,23 +190,19 @@ def _verify(shingle: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
-
-    ``docs`` needs ``doc_id`` (long) and ``text``; other columns are not read. Texts are lower-cased
-    in A-Z and cut at white space; the set of a text holds its distinct runs of ``shingle`` words, or
-    the whole sequence where it has fewer. Null and blank texts have an empty set and link with
-    nothing. Rows with a null id get a null component and ``kept`` null. Rows that repeat an id each
-    give a row with the component of that row's text. An empty table gives no rows.
-    """
-    session_of(docs)
-    facts = materialize(docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(
+def _sketched(docs: DataFrame, shingle: int) -> DataFrame:
+    return materialize(docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(
         _facts(shingle), "doc_id long, t long, n_shingles long, k1 long, k2 long, bands array<long>"), "sketches")
-    named = facts.where("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
-    classes = materialize(classes, "classes")
 
+
+def _classes(facts: DataFrame) -> DataFrame:
+    """One row per distinct set, with its first row ``at (doc_id, t)``; rows with a null id or an empty set are left out."""
+    return facts.where("doc_id is not null and n_shingles > 0").groupBy("k1", "k2").agg(
+        F.min(F.struct("doc_id", "t")).alias("at"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+
+
+def _linked(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``(node, component)`` of the classes that link with another one."""
     entries = classes.select("node", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top")
     # Small tables are written before they meet a large side: a join of two plain scans can split a hot key.
@@ -214,20 +210,35 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) ->
     # Two classes of one id (a repeated id) are one node; their texts are verified apart.
     cluster_of = components(pointers)
 
-    members = classes.select("node", "k1", "k2", "size").join(
+    members = classes.select("node", "at", "k1", "k2", "size").join(
         cluster_of.withColumnRenamed("component", "cluster"), "node")
     load = members.groupBy("cluster").agg(F.ceil(F.sum("size") / CHUNK_SHINGLES).alias("chunks"))
     placed = members.join(load, "cluster").select(
-        F.col("node").alias("doc_id"), "node", "k1", "k2", "cluster", "chunks",
-        F.pmod(F.xxhash64("node"), F.col("chunks")).alias("at"))
+        "at.doc_id", "at.t", "node", "k1", "k2", "cluster", "chunks",
+        F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"))
     unit = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda o: F.struct(
-        F.least("at", o).alias("i"), F.greatest("at", o).alias("j")))
-    texts = docs.where("doc_id is not null").select("doc_id", "text").join(placed, "doc_id")
+        F.least("chunk", o).alias("i"), F.greatest("chunk", o).alias("j")))
+    texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("t"), "text").join(placed, ["doc_id", "t"])
     units = texts.select("cluster", F.explode(unit).alias("u"), "node", "k1", "k2", "text").select(
         "cluster", "u.i", "u.j", "node", "k1", "k2", "text")
     links = (units.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
              .mapInArrow(_verify(shingle, percent), "a long, b long"))
-    component_of = components(links)
+    return components(links)
+
+
+def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
+
+    ``docs`` needs ``doc_id`` (long) and ``text``; other columns are not read. Texts are lower-cased
+    in A-Z and cut at white space; the set of a text holds its distinct runs of ``shingle`` words, or
+    the whole sequence where it has fewer. Null and blank texts have an empty set and link with
+    nothing. Rows with a null id get a null component and ``kept`` null. Rows that repeat an id each
+    give a row; sets with the same smallest id are one node, so they are in one component. An empty table gives no rows.
+    """
+    session_of(docs)
+    facts = _sketched(docs, shingle)
+    classes = materialize(_classes(facts).withColumn("node", F.col("at.doc_id")), "classes")
+    component_of = _linked(docs, classes, shingle, percent)
 
     found = classes.join(component_of, "node", "left").select(
         "k1", "k2", F.coalesce("component", "node").alias("component"))
@@ -238,15 +249,28 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 85) ->
                       (F.col("doc_id") == component).alias("kept"), F.col("t").alias("text_hash"))
 
 
-def one_per_group(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
+def one_per_group(docs: DataFrame, *, shingle: int = 5, percent: int = 80, by_text: bool = False) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one for each component.
 
-    Of rows that repeat the id of a component one stays, with the text of the least hash. Rows with a null
-    id link with nothing and stay.
+    Rows with a null id link with nothing and stay. Of rows that repeat the id of a component one stays, with
+    the text of the least hash. With ``by_text`` an id ties no texts together: components are over distinct
+    shingle sets, the row with the least id (then text hash) of each stays, and null and blank texts all stay.
     """
-    kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept").groupBy("doc_id").agg(
-        F.min("text_hash").alias("_kept_hash")).withColumnRenamed("doc_id", "_kept_id")
-    named = docs.where("doc_id is not null")
-    same = (named["doc_id"] == kept["_kept_id"]) & (F.xxhash64(named["text"]) == kept["_kept_hash"])
-    chosen = named.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id is null"))
+    if not by_text:
+        kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept").groupBy("doc_id").agg(
+            F.min("text_hash").alias("_kept_hash")).withColumnRenamed("doc_id", "_kept_id")
+        named = docs.where("doc_id is not null")
+        same = (named["doc_id"] == kept["_kept_id"]) & (F.xxhash64(named["text"]) == kept["_kept_hash"])
+        chosen = named.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
+        return chosen.unionByName(docs.where("doc_id is null"))
+    session_of(docs)
+    # Written with their numbers, which must not change between the joins.
+    classes = materialize(_classes(_sketched(docs, shingle)).withColumn("node", F.monotonically_increasing_id()), "classes")
+    component_of = _linked(docs, classes, shingle, percent)
+    kept = classes.join(component_of, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(
+        F.min("at").alias("at")).select(F.col("at.doc_id").alias("_kept_id"), F.col("at.t").alias("_kept_hash"))
+    alone = F.col("doc_id").isNull() | ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    named = docs.where(~alone).withColumn("_hash", F.xxhash64("text"))
+    same = (named["doc_id"] == kept["_kept_id"]) & (named["_hash"] == kept["_kept_hash"])
+    chosen = named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return chosen.unionByName(docs.where(alone))
