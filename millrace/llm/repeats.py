@@ -100,12 +100,15 @@ def with_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def document_spans(found: DataFrame, runs: DataFrame, size: int) -> DataFrame:
-    """``(id, t, spans)`` from whole repeated segments and from runs ``(h, s, lo, hi)`` of repeated windows."""
+    """``(id, t, spans)`` from whole repeated segments and from runs ``(h, s, lo, hi)`` of repeated windows.
+
+    Rows that repeat each other give the same spans; each is held once, so a list is bounded by one document.
+    """
     whole = found.where("not branching").select(
         "id", "t", F.col("p").alias("start"), (F.col("p") + F.col("c") - 1 + size).alias("stop"))
     parts = found.where("branching").select("id", "t", "h", "s", "p").join(runs, ["h", "s"]).select(
         "id", "t", (F.col("p") + F.col("lo")).alias("start"), (F.col("p") + F.col("hi") - 1 + size).alias("stop"))
-    return whole.union(parts).groupBy("id", "t").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    return whole.union(parts).groupBy("id", "t").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
 
 
 def covered(length: int, spans: list) -> list[tuple[int, int]]:
