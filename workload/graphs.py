@@ -157,5 +157,10 @@ def node_list_positions(spark, sf):
     """The place of every node in the listing, taken from the rows as the listing gives them."""
     listed = node_list(nodes_3d(spark, sf)).select("node_id", "depth").withColumn("at", F.monotonically_increasing_id())
     kept = materialize(listed, "listing")
-    # Ids rise with the row; ranks over them give the position without moving rows to the driver.
-    return kept.select("node_id", "depth", F.row_number().over(Window.orderBy("at")).cast("long").alias("position"))
+    # An id is the partition in the high bits and the row inside it in the low 33. Only the row counts of
+    # the partitions are cumulated in one place; node rows do not move there.
+    split = kept.withColumn("part", F.shiftright("at", 33)).withColumn("row", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = split.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    offsets = materialize(sizes.select("part", before.alias("before")), "offsets")
+    return split.join(offsets, "part").select("node_id", "depth", (F.col("before") + F.col("row") + 1).alias("position"))
