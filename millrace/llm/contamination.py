@@ -7,7 +7,8 @@ the words of the items only), the rarest word of each window is looked up among
 bounds on position and length drop what cannot fit, and the rest is compared word by word.
 
 Windows of the items are held by the tasks in blocks of at most ``BLOCK_WINDOWS`` (a few megabytes).
-More windows make more blocks, each a pass over the documents, so nothing grows without bound.
+More windows make more blocks, each a pass over the documents. The driver holds all blocks at once, and
+a window holds the ids of all its items, so the benchmark must fit in the driver.
 """
 
 from __future__ import annotations
