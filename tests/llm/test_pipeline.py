@@ -38,7 +38,7 @@ def test_run_equals_the_plain_stages(spark):
 
     for i in sets:
         for j in sets:
-            if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                 a, b = sorted((root(i), root(j)))
                 group[b] = a
     kept = {i for i in rows if root(i) == i}
