@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import archives, contamination, debruijn, forest, language, mixing, pii, suffix, toxicity
+from millrace.llm import archives, contamination, debruijn, forest, language, mixing, pii, suffix, toxicity, whitening
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -193,3 +193,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda i: F.size(F.filter("base_spans", lambda x: x["kind"] == i)).cast("long")
     return found.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)),
                         F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
