@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import archives, contamination, debruijn, forest, language, mixing, pii, suffix, toxicity, whitening
+from millrace.llm import archives, contamination, debruijn, forest, language, linequality, mixing, pii, suffix, toxicity, whitening
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -199,3 +199,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return whitening.whiten(rows, whitening.fit(rows))
+
+
+@query("op13_quality_lines")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    return linequality.score(docs, linequality.fit(docs, labels)).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_lines")
