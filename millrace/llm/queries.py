@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import archives, contamination, debruijn, forest, language, linequality, mixing, pii, suffix, toxicity, whitening
+from millrace.llm import archives, contamination, debruijn, forest, language, lexical, linequality, mixing, pii, suffix, toxicity, whitening
 from millrace.llm.frames import table
 from millrace.llm.minhash import near_duplicates
 
@@ -207,3 +207,26 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", F.col("quality").alias("label"))
     return linequality.score(docs, linequality.fit(docs, labels)).select(
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_lines")
+
+
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+@query("op11_lexical_strata", rf"""
+WITH w AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER}, {_TERMS}) AS l FROM documents),
+d AS (SELECT k, doc_id, len(l)::BIGINT AS n FROM w WHERE len(l) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM d),
+t AS (SELECT k, term, count(*)::BIGINT AS tf FROM (SELECT k, unnest(l) AS term FROM w) GROUP BY k, term),
+f AS (SELECT term, count(*)::BIGINT AS df FROM t GROUP BY term),
+q AS (SELECT item_id, term, count(*)::BIGINT AS n FROM (
+        SELECT item_id, unnest(regexp_extract_all({_LOWER}, {_TERMS})) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)) GROUP BY item_id, term),
+g AS (SELECT item_id, q.term, q.n * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM q JOIN f ON f.term = q.term, c),
+s AS (SELECT item_id, t.k, d.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * d.n * docs) // total))))::BIGINT AS score
+      FROM g JOIN t ON t.term = g.term JOIN d ON d.k = t.k, c GROUP BY item_id, t.k, d.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
