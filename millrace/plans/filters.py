@@ -229,25 +229,24 @@ def half_open(column: Column, start: int | None = None, end: int | None = None)
 
 # ------------------------------------------------------------------ join-based
 
-def linked_to(df: DataFrame, asset_keys: DataFrame, link: str = "asset_ids", key: str = "external_id",
-              asset_key: str | None = None) -> DataFrame:
+def linked_to(df: DataFrame, asset_keys: DataFrame, link: str = "asset_ids", asset_key: str | None = None) -> DataFrame:
     """Rows linked to any of ``asset_keys``.
 
-    A scalar link is one semi join. For a link array only (row key, asset) is
-    exploded and joined; the rows come back by a second semi join on their key.
+    A scalar link is one semi join. For link arrays each distinct array is exploded once and joined, and
+    the rows come back by a semi join on the array itself: the link alone decides, so rows without
+    a key and rows that repeat one are judged each for itself.
     """
     asset_key = asset_key or asset_keys.columns[0]
     wanted = asset_keys.select(F.col(asset_key).alias("_asset")).distinct()
     if df.schema[link].dataType.typeName() != "array":
         return df.join(wanted, df[link] == wanted["_asset"], "left_semi")
-    links = df.select(F.col(key).alias("_row"), F.explode(link).alias("_asset"))
-    rows = links.join(wanted, "_asset", "left_semi").select("_row")
-    return df.join(rows, df[key] == rows["_row"], "left_semi")
+    arrays = df.select(F.col(link).alias("_links")).distinct()
+    linked = arrays.select("_links", F.explode("_links").alias("_asset")).join(wanted, "_asset", "left_semi").select("_links")
+    return df.join(linked, df[link] == linked["_links"], "left_semi")
 
 
 def apply_filter(df: DataFrame, spec: Filter, lookups: Mapping[str, DataFrame] | None = None,
-                 columns: Mapping[str, str] | None = None, link: str = "asset_ids",
-                 key: str = "external_id") -> DataFrame:
+                 columns: Mapping[str, str] | None = None, link: str = "asset_ids") -> DataFrame:
     """Filter ``df``; keys that need another table read ``assets`` or ``data_sets`` from ``lookups``."""
     from millrace.operators.hierarchy import ascend, subtree
 
@@ -260,24 +259,24 @@ def apply_filter(df: DataFrame, spec: Filter, lookups: Mapping[str, DataFrame] |
     if "assetExternalIds" in plain and "asset_external_ids" not in df.columns:
         names = plain.pop("assetExternalIds")
         assets = lookups["assets"]
-        df = linked_to(df, assets.where(F.col("external_id").isin(list(names))).select("id"), link, key)
+        df = linked_to(df, assets.where(F.col("external_id").isin(list(names))).select("id"), link)
     df = df.where(compile_filter(plain, columns))
     if named:
         sets = lookups["data_sets"]
         by_id = [i["id"] if isinstance(i, Mapping) else i for i in data_sets if not isinstance(i, Mapping) or "id" in i]
-        wanted = sets.where(F.col("external_id").isin(named) | F.col("id").isin(by_id)).select(
-            F.col("id").alias("_set")
-        )
+        # Bare ids count as they are, known to ``data_sets`` or not.
+        bare = df.sparkSession.createDataFrame([(i,) for i in by_id], "_set long")
+        wanted = sets.where(F.col("external_id").isin(named)).select(F.col("id").cast("long").alias("_set")).union(bare)
         df = df.join(wanted, df["data_set_id"] == wanted["_set"], "left_semi")
     if "assetSubtreeIds" in spec:
         assets = lookups["assets"]
         members = subtree(assets, asset_ids(assets, spec["assetSubtreeIds"]))
-        df = linked_to(df, members, link, key, _asset_key(df, link))
+        df = linked_to(df, members, link, _asset_key(df, link))
     if "rootAssetIds" in spec:
         assets = lookups["assets"]
         roots = asset_ids(assets, spec["rootAssetIds"]).withColumnRenamed("external_id", "top")
         below = ascend(assets).reached.join(roots, "top", "left_semi").select(F.col("id").alias("external_id"))
-        df = linked_to(df, assets.join(below, "external_id", "left_semi"), link, key, _asset_key(df, link))
+        df = linked_to(df, assets.join(below, "external_id", "left_semi"), link, _asset_key(df, link))
     return df
 
 

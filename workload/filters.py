@@ -243,6 +243,29 @@ def filter_data_sets_mixed(spark, sf):
     return apply_filter(events(spark, sf), spec, {"data_sets": sets}).select("external_id")
 
 
+@query("filter_data_sets_unknown_id", f"WITH {EVENTS} SELECT external_id FROM ev WHERE data_set_id IN (1, 4)")
+def filter_data_sets_unknown_id(spark, sf):
+    """A bare id that the table of data sets does not hold selects its rows all the same."""
+    sets = table(spark, sf, "region").where("r_regionkey <> 1").select(
+        F.col("r_regionkey").cast("long").alias("id"), F.concat(F.lit("ds"), F.col("r_regionkey").cast("string")).alias("external_id"))
+    spec = {"dataSetIds": [1, {"externalId": "ds4"}, {"externalId": "none"}]}
+    return apply_filter(events(spark, sf), spec, {"data_sets": sets}).select("external_id")
+
+
+@query("subtree_filter_null_keys", f"""WITH RECURSIVE {ASSETS},
+sub AS (SELECT external_id, id FROM assets WHERE external_id IN ('R1', 'N7')
+        UNION SELECT a.external_id, a.id FROM assets a JOIN sub s ON a.parent_external_id = s.external_id),
+{EVENTS}
+SELECT id, CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'same' ELSE external_id END AS external_id
+FROM ev WHERE asset_id + 10000 IN (SELECT id FROM sub)""")
+def subtree_filter_null_keys(spark, sf):
+    """Rows without a key, and rows that repeat one, are judged by their own links."""
+    key = F.when(F.col("id") % 3 == 1, F.lit("same")).when(F.col("id") % 3 == 2, F.col("external_id"))
+    rows = _by_number(spark, sf).withColumn("external_id", key)
+    spec = {"assetSubtreeIds": [{"externalId": "R1"}, "N7"]}
+    return apply_filter(rows, spec, {"assets": assets(spark, sf)}).select("id", "external_id")
+
+
 def _by_number(spark, sf):
     """Events linked by the internal ids of their customers."""
     return events(spark, sf).withColumn("asset_ids", F.transform("asset_ids", lambda a: (a + 10000).cast("long")))
