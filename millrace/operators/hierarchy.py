@@ -309,20 +309,26 @@ def change_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
-def delete_assets(assets: DataFrame, wanted: DataFrame, recursive: bool = False) -> DataFrame:
-    """Assets left after a delete. Without ``recursive`` a child left behind is an error."""
+def deleted_ids(assets: DataFrame, wanted: DataFrame, recursive: bool = False) -> DataFrame:
+    """``(external_id)`` of the assets that a delete of ``wanted`` takes away.
+
+    With ``recursive`` their subtrees go too; without it a child left behind is an error.
+    """
     if recursive:
         stops = wanted.select(F.col(ID).alias("id")).distinct()
         below = ascend(assets, stops).reached.join(stops.select(F.col("id").alias("top")), "top")
-        gone = below.select(F.col("id").alias(ID), F.lit(True).alias("_gone"))
-        return assets.join(gone, ID, "left").where(F.col("_gone").isNull()).select(*assets.columns)
-    remaining = assets.join(wanted.select(ID), ID, "left_anti")
-    stranded = remaining.join(
-        wanted.select(F.col(ID).alias(PARENT)), PARENT, "left_semi"
-    ).select(ID).limit(10).collect()
+        return below.select(F.col("id").alias(ID))
+    gone = wanted.select(ID).distinct()
+    stranded = assets.join(gone, ID, "left_anti").join(
+        gone.select(F.col(ID).alias(PARENT)), PARENT, "left_semi").select(ID).limit(10).collect()
     if stranded:
         raise ValueError(f"children would be left behind: {[r[0] for r in stranded]}")
-    return remaining
+    return gone
+
+
+def delete_assets(assets: DataFrame, wanted: DataFrame, recursive: bool = False) -> DataFrame:
+    """Assets left after a delete. Without ``recursive`` a child left behind is an error."""
+    return assets.join(deleted_ids(assets, wanted, recursive), ID, "left_anti").select(*assets.columns)
 
 
 def upsert_assets(existing: DataFrame, incoming: DataFrame, mode: str = "update") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkValueError
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.collections import add_items, merge_map
+from millrace.sources.order import POSITION
 
 UPDATE, REPLACE = "update", "replace"
 
@@ -73,19 +74,31 @@ SPECS: dict[str, MergeSpec] = {
 
 def _tie_break(df: DataFrame) -> Column:
     """Whole-row hash, so that reruns pick the same row among equal orders."""
+    columns = [c for c in df.columns if c != POSITION]
     hashable = all(
-        not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType, T.VariantType)) for f in df.schema
+        not isinstance(df.schema[c].dataType, (T.MapType, T.StructType, T.ArrayType, T.VariantType)) for c in columns
     )
-    return F.xxhash64(*df.columns) if hashable else F.xxhash64(F.to_json(F.struct(*df.columns)))
+    return F.xxhash64(*columns) if hashable else F.xxhash64(F.to_json(F.struct(*columns)))
 
 
 def last_write_wins(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the last by ``order_by``. Combines map-side, so a hot key stays cheap."""
+    """One row per key: the last by ``order_by``, or else in input order where ``df`` has :data:`POSITION`.
+
+    Without either there is no last row, so a key that comes with different rows is an error; equal
+    rows count once. Combines map-side, so a hot key stays cheap.
+    """
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.distinct()
-    order = F.struct(*[F.col(c) for c in order_by], _tie_break(df).alias("_tie"))
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_row"))
+    order_by = list(order_by) or [c for c in (POSITION,) if c in df.columns]
+    tie = _tie_break(df)
+    order = F.struct(*[F.col(c) for c in order_by], tie.alias("_tie"))
+    row = F.max_by(F.struct(*others), order)
+    if not order_by:
+        kind = T.StructType([df.schema[c] for c in others])
+        error = F.raise_error(F.lit(f"rows of one {tuple(keys)} differ and have no order")).cast(kind)
+        row = F.when(F.min(tie) == F.max(tie), row).otherwise(error)
+    picked = df.groupBy(*keys).agg(row.alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
 
 
@@ -139,13 +152,14 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, mode: str = UPD
     """Upsert ``source`` into ``target``: target columns plus ``_change``.
 
     ``_change`` is created, updated or untouched. The source is deduplicated by key
-    first, so one full outer join settles creates and updates together. With
+    first (the last by ``order_by`` or in input order, see :func:`last_write_wins`), so one full outer join settles creates and updates together. With
     ``ignore_nulls=False`` nulls in columns the source does have overwrite too. ``only`` keeps
     just creates (``"create"``) or just updates (``"update"``) of the source.
     """
     if mode not in (UPDATE, REPLACE):
         raise ValueError(f"unknown merge mode {mode!r}")
     keys = list(spec.keys)
+    order_by = list(order_by) or [c for c in (POSITION,) if c in source.columns]
     extra = [c for c in order_by if c not in target.columns]
     given = [c for c in target.columns if c in source.columns]
     new = last_write_wins(require_keys(source.select(*given, *extra), keys), keys, order_by).select(*given)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -79,6 +79,15 @@ class VersionedTable:
         return number
 
 
+    def rewrite(self, changed: DataFrame, change: Callable[[DataFrame], DataFrame], like: DataFrame | None = None,
+                batch_id: int | None = None) -> None:
+        """Apply ``change`` to the whole table; where there is none it starts from no rows of ``like``."""
+        if batch_id is not None and self.has_batch(batch_id):
+            return
+        before = self.read() if self.exists() else (like if like is not None else changed).limit(0)
+        self.commit(change(before), batch_id)
+
+
 def write_points(new: DataFrame, path: str, keys: Sequence[str] = ("series_id",),
                  order_by: Sequence[str] = ()) -> None:
     """Upsert points into day partitions: last write wins, untouched days stay as they are.

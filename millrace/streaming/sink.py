@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.durations import parse_granularity
 from millrace.operators.merge import UPDATE, MergeSpec, merge
+from millrace.sources.buckets import BucketedTable
+from millrace.sources.order import POSITION
 from millrace.sources.tables import VersionedTable
 
 # Flush interval default and limits in milliseconds.
@@ -23,19 +25,20 @@ class Sink(Protocol):
 
 @dataclass
 class MergeSink:
-    """Upserts each batch into a versioned table; a replayed batch id changes nothing."""
+    """Upserts each batch into a table; a replayed batch id changes nothing.
 
-    table: VersionedTable
+    A bucketed table is rewritten only where keys of the batch fall. Of rows that share a key the last by
+    ``order_by`` counts, or in input order where the stream has a position; without either they must be equal.
+    """
+
+    table: BucketedTable | VersionedTable
     spec: MergeSpec
     mode: str = UPDATE
     order_by: Sequence[str] = ()
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        if self.table.has_batch(batch_id):
-            return
-        target = self.table.read() if self.table.exists() else batch.drop(*self.order_by).limit(0)
-        after = merge(target, batch, self.spec, self.mode, self.order_by)
-        self.table.commit(after.drop("_change"), batch_id)
+        upsert = lambda before: merge(before, batch, self.spec, self.mode, self.order_by).drop("_change")
+        self.table.rewrite(batch, upsert, batch.drop(*self.order_by, POSITION), batch_id)
 
 
 def buffered_upload(rows: DataFrame, sink: Sink, checkpoint: str, interval_ms: int | None = FLUSH_MS,

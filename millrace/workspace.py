@@ -9,31 +9,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.operators.merge import (
     SPECS, UPDATE, create_only, delete_keys, merge, retrieve,
 )
-from millrace.operators.hierarchy import apply_sync, delete_assets, sync_plan, upsert_assets
+from millrace.operators.hierarchy import apply_sync, deleted_ids, sync_plan, upsert_assets
 from millrace.lineage import materialize
 from millrace.plans.filters import apply_filter
 from millrace.session import prepare
-from millrace.sources.tables import VersionedTable, parse_slice, scan_slice
+from millrace.sources.buckets import BUCKETS, BucketedTable
+from millrace.sources.order import POSITION
+from millrace.sources.tables import parse_slice
 from millrace.streaming.publisher import ChangeReader
 from millrace.streaming.sink import FLUSH_MS, MergeSink, buffered_upload
 
 
 class Resource:
-    """One resource type of a workspace, stored as a versioned table."""
+    """One resource type of a workspace, stored in hash buckets of its key.
+
+    Writes rewrite only the buckets in which changed keys fall.
+    """
 
     def __init__(self, workspace: "Workspace", name: str):
         self.workspace = workspace
         self.name = name
         self.spec = SPECS[name]
-        self.table = VersionedTable(workspace.spark, f"{workspace.root}/{name}")
+        self.table = BucketedTable(workspace.spark, f"{workspace.root}/{name}", self.spec.keys, workspace.buckets)
 
     # ------------------------------------------------------------------ reading
 
     def list(self, filter: Mapping | None = None, limit: int | None = None, slice: str | None = None) -> DataFrame:
         """Rows that meet a filter; ``limit`` takes the first by key, ``slice`` is ``"i/n"``."""
-        rows = self.table.read()
-        if slice is not None:
-            rows = scan_slice(rows, self.spec.keys[0], *parse_slice(slice))
+        rows = self.table.read() if slice is None else self.table.slice(*parse_slice(slice))
         if filter:
             rows = apply_filter(rows, filter, self.workspace.lookups(filter))
         return rows if limit is None else rows.orderBy(*self.spec.keys).limit(limit)
@@ -41,8 +44,8 @@ class Resource:
     def retrieve(self, external_ids: Sequence[str] = (), ids: Sequence[int] = ()) -> DataFrame:
         items = [(e, None) for e in external_ids] + [(None, i) for i in ids]
         wanted = self.workspace.spark.createDataFrame(items, "external_id string, id long")
-        if not ids and "id" not in self.table.read().columns:
-            return self.table.read().join(wanted.select("external_id").distinct(), "external_id", "left_semi")
+        if not ids and self.spec.keys == ("external_id",):
+            return self.table.lookup(wanted)
         return retrieve(self.table.read(), wanted)
 
     def aggregate(self, filter: Mapping | None = None, field: str | None = None) -> DataFrame:
@@ -54,18 +57,17 @@ class Resource:
     # ------------------------------------------------------------------ writing
 
     def create(self, rows: DataFrame) -> None:
-        if not self.table.exists():
-            self.table.commit(create_only(rows.limit(0), rows, self.spec.keys))
-        else:
-            self.table.commit(create_only(self.table.read(), rows, self.spec.keys))
+        self.table.rewrite(rows, lambda before: create_only(before, rows, self.spec.keys))
 
     def upsert(self, rows: DataFrame, mode: str = UPDATE, order_by: Sequence[str] = ()) -> None:
-        target = self.table.read() if self.table.exists() else rows.drop(*order_by).limit(0)
+        """Update or replace. Of rows that share a key the last by ``order_by`` counts, or in input order where
+        ``rows`` went through :func:`millrace.sources.order.with_position`; without either they must be equal.
+        """
         if self.name == "assets":
-            after = upsert_assets(target, rows, mode)
+            change = lambda before: upsert_assets(before, rows, mode)
         else:
-            after = merge(target, rows, self.spec, mode, order_by)
-        self.table.commit(after.drop("_change"))
+            change = lambda before: merge(before, rows, self.spec, mode, order_by)
+        self.table.rewrite(rows, lambda before: change(before).drop("_change"), rows.drop(*order_by, POSITION))
 
     def delete(self, external_ids: Sequence[str] | DataFrame, recursive: bool = False) -> None:
         """Delete by key; unknown keys are ignored. Assets may go with their subtrees."""
@@ -73,15 +75,15 @@ class Resource:
         if not isinstance(wanted, DataFrame):
             wanted = self.workspace.spark.createDataFrame([(e,) for e in external_ids], "external_id string")
         if self.name == "assets":
-            self.table.commit(delete_assets(self.table.read(), wanted, recursive))
-        else:
-            self.table.commit(delete_keys(self.table.read(), wanted, self.spec.keys)[0])
+            wanted = materialize(deleted_ids(self.table.read(), wanted, recursive), "deleted")
+        self.table.rewrite(wanted, lambda before: delete_keys(before, wanted, self.spec.keys)[0])
 
     def synchronize(self, rows: DataFrame, many: bool = False) -> DataFrame:
         """Make the stored hierarchies equal the given ones; returns the plan that was applied."""
         existing = self.table.read() if self.table.exists() else rows.limit(0)
         plan = materialize(sync_plan(rows, existing, many=many), "plan")
-        self.table.commit(apply_sync(rows, existing, plan))
+        edits = plan.where("change <> 'unchanged'")
+        self.table.rewrite(edits, lambda before: apply_sync(rows, before, plan), rows)
         return plan
 
     # ---------------------------------------------------------------- streaming
@@ -100,9 +102,10 @@ class Resource:
 class Workspace:
     """The resource tables under one folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def __getattr__(self, name: str) -> Resource:
         if name not in SPECS:

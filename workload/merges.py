@@ -1,11 +1,16 @@
 """Upserts, dedupes, deletes and transformations."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from millrace.lineage import scratch_path
 from millrace.operators.merge import (
     REPLACE, SPECS, UPDATE, delete_keys, last_write_wins, merge, split_upsert, write_volume,
 )
 from millrace.plans.transform import apply_rows
+from millrace.sources.order import with_position
+from millrace.workspace import Workspace
 from workload.mapping import EVENTS, events, map_text, table
 from workload.registry import query
 
@@ -97,6 +102,56 @@ def merge_dedupe_last(spark, sf):
     return latest.drop("l_shipdate")
 
 
+@query("upsert_input_order", """
+WITH l AS (SELECT *, row_number() OVER () AS n FROM lineitem)
+SELECT l_partkey AS part, arg_max(l_orderkey, n) AS last_order, arg_max(l_quantity, n) AS last_quantity,
+       arg_min(l_orderkey, n) AS first_order, arg_min(l_quantity, n) AS first_quantity FROM l GROUP BY l_partkey""")
+def upsert_input_order(spark, sf):
+    """The last line of each part in the order of the file, and that of the reversed file, which is the first."""
+    lines = with_position(table(spark, sf, "lineitem").select(F.col("l_partkey").alias("part"), "l_orderkey", "l_quantity"))
+    back = lines.withColumn("_position", F.struct((-F.col("_position.row")).alias("row")))
+    last = last_write_wins(lines, ["part"]).select("part", F.col("l_orderkey").alias("last_order"), F.col("l_quantity").alias("last_quantity"))
+    first = last_write_wins(back, ["part"]).select("part", F.col("l_orderkey").alias("first_order"), F.col("l_quantity").alias("first_quantity"))
+    return last.join(first, "part")
+
+
+def _stored(spark, sf):
+    """A workspace that holds the target events in buckets."""
+    ws = Workspace(spark, scratch_path(spark, "buckets"))
+    ws.events.create(target(spark, sf))
+    return ws
+
+
+@query("bucketed_upsert", _BOTH + """
+SELECT coalesce(t.external_id, s.external_id) AS external_id, coalesce(s.type, t.type) AS type, t.subtype,
+       coalesce(s.description, t.description) AS description, t.source, t.start_time,
+       CASE WHEN t.external_id IS NULL THEN CASE WHEN has_meta THEN 'band=new;edit=yes' END
+            WHEN s.external_id IS NOT NULL AND has_meta THEN 'band=new;edit=yes;priority=' || t.priority
+            ELSE 'band=' || t.band || ';priority=' || t.priority END AS metadata
+FROM tgt t FULL JOIN src s ON t.external_id = s.external_id""")
+def bucketed_upsert(spark, sf):
+    """The edits of merge_update, written into buckets and read back."""
+    ws = _stored(spark, sf)
+    ws.events.upsert(edits(spark, sf))
+    return ws.events.list().withColumn("metadata", map_text(F.col("metadata")))
+
+
+@query("bucketed_delete", _BOTH + """
+SELECT external_id, type, source FROM tgt WHERE external_id NOT IN (SELECT external_id FROM src)""")
+def bucketed_delete(spark, sf):
+    ws = _stored(spark, sf)
+    ws.events.delete(edits(spark, sf).select("external_id"))
+    return ws.events.list().select("external_id", "type", "source")
+
+
+@query("bucketed_slices", _BOTH + "SELECT external_id, type, source FROM tgt")
+def bucketed_slices(spark, sf):
+    """Five slices of the stored events, each of whole buckets, together hold every row once."""
+    ws = _stored(spark, sf)
+    parts = [ws.events.list(slice=f"{i}/5").select("external_id", "type", "source") for i in range(1, 6)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("upsert_split", _BOTH + """
 SELECT s.external_id, CASE WHEN t.external_id IS NULL THEN 'create' ELSE 'update' END AS action
 FROM src s LEFT JOIN tgt t ON s.external_id = t.external_id""")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from millrace.functions.durations import epoch_ms
 from millrace.lineage import scratch_path
 from millrace.operators.merge import MergeSpec
+from millrace.sources.buckets import BucketedTable
+from millrace.sources.order import POSITION, with_position
 from millrace.sources.tables import VersionedTable
 from millrace.streaming.publisher import ChangeReader, file_stream, raw_changes, run_stream
 from millrace.streaming.sink import MergeSink, buffered_upload, stream_aggregates
@@ -106,6 +108,19 @@ def buffered_upsert(spark, sf):
     return sink.table.read()
 
 
+@query("bucketed_flush", """
+SELECT CAST(user_id AS VARCHAR) AS external_id, arg_max(event_type, n) AS type, arg_max(value, n) AS value
+FROM (SELECT *, row_number() OVER () AS n FROM events) GROUP BY 1""")
+def bucketed_flush(spark, sf):
+    """As buffered_upsert, into hash buckets; the last event in the order of the file wins."""
+    schema = table(spark, sf, "events").schema
+    rows = with_position(file_stream(spark, f"{sf}/event[s].parquet", schema), newest_file_last=True).select(
+        F.col("user_id").cast("string").alias("external_id"), F.col("event_type").alias("type"), "value", POSITION)
+    target = BucketedTable(spark, scratch_path(spark, "flushed"), ["external_id"])
+    buffered_upload(rows, MergeSink(target, MergeSpec()), scratch_path(spark, "flushed-progress"), interval_ms=None).awaitTermination()
+    return target.read()
+
+
 @query("stream_point_agg", """
 SELECT user_id AS series_id, epoch_us(ts) // 1000 // 86400000 * 86400000 AS window_start, count(value) AS "count",
        round(sum(value), 4) AS "sum", min(value) AS "min", max(value) AS "max" FROM events GROUP BY ALL""")
