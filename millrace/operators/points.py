@@ -365,17 +365,72 @@ def default_headers(points: DataFrame, headers: DataFrame, key: str = "external_
     )
 
 
+_FOREVER = 2**63 - 1
+
+
+def coalesce_ranges(ranges: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
+    """``(keys, begin, end)``: the same instants as disjoint ranges that do not touch.
+
+    An unset begin is 0, an unset end is open; empty ranges and those without a series are left out. Gaps
+    and islands: ranges are merged within the month of their begin first, so that a series of very many
+    ranges is settled by many tasks, then within the series.
+    """
+    known = [F.col(k).isNotNull() for k in keys]
+    rows = ranges.select(
+        *keys, F.coalesce("inclusive_begin", F.lit(0)).cast("long").alias("begin"),
+        F.coalesce("exclusive_end", F.lit(_FOREVER)).cast("long").alias("end")).where("begin < end")
+    for test in known:
+        rows = rows.where(test)
+
+    def islands(rows: DataFrame, by: list[str]) -> DataFrame:
+        along = W.partitionBy(*by).orderBy("begin", "end")
+        reach = F.max("end").over(along.rowsBetween(W.unboundedPreceding, -1))
+        fresh = rows.withColumn("_fresh", (reach.isNull() | (F.col("begin") > reach)).cast("int"))
+        numbered = fresh.withColumn("_island", F.sum("_fresh").over(along.rowsBetween(W.unboundedPreceding, 0)))
+        return numbered.groupBy(*by, "_island").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("_island")
+
+    month = F.floor(F.col("begin") / F.lit(30 * DAY_MS)).alias("_month")
+    return islands(islands(rows.select("*", month), [*keys, "_month"]).drop("_month"), list(keys)).select(*keys, "begin", "end")
+
+
+def cut_at_days(ranges: DataFrame, first_day: int, last_day: int) -> DataFrame:
+    """Ranges ``(..., begin, end)`` cut at midnight, with their ``day``, within ``[first_day, last_day]``."""
+    low = F.greatest(F.floor(F.col("begin") / F.lit(DAY_MS)).cast("long"), F.lit(first_day))
+    high = F.least(F.floor((F.col("end") - 1) / F.lit(DAY_MS)).cast("long"), F.lit(last_day))
+    days = ranges.withColumn("_low", low).withColumn("_high", high).where("_low <= _high").withColumn(
+        "day", F.explode(F.sequence("_low", "_high"))).drop("_low", "_high")
+    return days.withColumn("begin", F.greatest("begin", F.col("day") * F.lit(DAY_MS))).withColumn(
+        "end", F.least("end", (F.col("day") + 1) * F.lit(DAY_MS)))
+
+
+def without_ranges(points: DataFrame, cut: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
+    """Points, with their ``day``, outside disjoint ranges cut at days.
+
+    Only points of a (series, day) that has a range are moved. There ranges and points are ordered by time,
+    and the last range begun before a point decides, so the work does not grow with ranges times points.
+    """
+    by = [*keys, "day"]
+    hit = cut.select(*by).distinct()
+    # A missing series or time meets no range.
+    clear = points.join(hit, by, "left_anti")
+    marks = cut.select(*by, F.col("begin").alias("ts_ms"), F.col("end").alias("_end"))
+    mixed = points.join(hit, by, "left_semi").withColumn("_end", F.lit(None).cast("long")).unionByName(
+        marks.withColumn("_mark", F.lit(True)), allowMissingColumns=True)
+    along = W.partitionBy(*by).orderBy("ts_ms", F.col("_end").isNull()).rowsBetween(W.unboundedPreceding, 0)
+    reach = F.last("_end", ignorenulls=True).over(along)
+    kept = mixed.withColumn("_reach", reach).where("_mark is null and (_reach is null or ts_ms >= _reach)")
+    return clear.unionByName(kept.select(*points.columns))
+
+
 def delete_points(points: DataFrame, ranges: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
     """Drop points in any ``[inclusive_begin, exclusive_end)`` of their series.
 
-    An unset begin is 0 and an unset end is open.
+    An unset begin is 0 and an unset end is open. Overlapping ranges are merged first and then met
+    by series and day.
     """
-    lo = F.coalesce("inclusive_begin", F.lit(0)).cast("long").alias("_lo")
-    hi = F.coalesce("exclusive_end", F.lit(2**63 - 1)).cast("long").alias("_hi")
-    cut = ranges.select(*keys, lo, hi).where("_lo < _hi").distinct()
-    match = [points[k] == cut[k] for k in keys]
-    inside = (points["ts_ms"] >= cut["_lo"]) & (points["ts_ms"] < cut["_hi"])
-    condition = inside
-    for m in match:
-        condition = m & condition
-    return points.join(cut, condition, "left_anti")
+    extent = time_extent(points).first()
+    if extent["first_ts"] is None:
+        return points
+    cut = cut_at_days(coalesce_ranges(ranges, keys), extent["first_ts"] // DAY_MS, extent["last_ts"] // DAY_MS)
+    day = F.floor(F.col("ts_ms") / F.lit(DAY_MS)).cast("long")
+    return without_ranges(points.withColumn("day", day), cut, keys).select(*points.columns)

@@ -111,7 +111,8 @@ def write_points(new: DataFrame, path: str, keys: Sequence[str] = ("series_id",)
             raise
         merged = latest
     else:
-        touched = stored.join(latest.select("day").distinct(), "day", "left_semi")
+        # Rows without a time stand for emptied days.
+        touched = stored.where("ts_ms is not null").join(latest.select("day").distinct(), "day", "left_semi")
         merged = touched.join(latest.select(*key), key, "left_anti").unionByName(latest)
     # A rebalance sizes the tasks at run time: a busy day is split into as many as it needs.
     (

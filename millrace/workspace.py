@@ -7,14 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.merge import (
-    SPECS, UPDATE, create_only, delete_keys, merge, retrieve,
+    SPECS, UPDATE, create_only, delete_keys, merge, resolve_ids, retrieve,
 )
 from millrace.operators.hierarchy import apply_sync, deleted_ids, sync_plan, upsert_assets
+from millrace.operators.points import default_headers, in_window
 from millrace.lineage import materialize
 from millrace.plans.filters import apply_filter
 from millrace.session import prepare
 from millrace.sources.buckets import BUCKETS, BucketedTable
 from millrace.sources.order import POSITION
+from millrace.sources.points import PointTable
 from millrace.sources.tables import parse_slice
 from millrace.streaming.publisher import ChangeReader
 from millrace.streaming.sink import FLUSH_MS, MergeSink, buffered_upload
@@ -99,6 +101,56 @@ class Resource:
         return buffered_upload(rows, MergeSink(self.table, self.spec, mode, order_by), checkpoint, interval_ms, **hooks)
 
 
+class Datapoints:
+    """Points of the workspace's time series, stored by day and keyed by external id and time.
+
+    Series are named by ``external_id``, or by the internal ``id`` of a stored series; an id that no stored series
+    has is an error. Series that get points but have no header yet are created with a default one.
+    """
+
+    def __init__(self, workspace: "Workspace"):
+        self.workspace = workspace
+        self.table = PointTable(workspace.spark, f"{workspace.root}/datapoints", ("external_id",))
+
+    def _named(self, rows: DataFrame) -> DataFrame:
+        """Rows with their external id in place of an internal one."""
+        if "id" not in rows.columns:
+            return rows
+        if "external_id" not in rows.columns:
+            rows = rows.withColumn("external_id", F.lit(None).cast("string"))
+        headers = self.workspace.timeseries.table
+        known = headers.read() if headers.exists() else self.workspace.spark.createDataFrame([], "id long, external_id string")
+        if "id" in known.columns:
+            rows = resolve_ids(rows, known.where("id is not null"))
+        error = F.raise_error(F.concat(F.lit("unknown series id "), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+        return rows.withColumn("external_id", F.when(
+            F.col("external_id").isNull(), error.cast("string")).otherwise(F.col("external_id"))).drop("id")
+
+    def upsert(self, points: DataFrame, order_by: Sequence[str] = ()) -> None:
+        """Write points ``(external_id or id, ts_ms, value_num and / or value_string)``; the last of equal times wins
+        (see :func:`millrace.operators.merge.last_write_wins`). Only the days of the points are rewritten.
+        """
+        named = materialize(self._named(points), "points")
+        series = self.workspace.timeseries
+        stored = series.table.read().select("external_id") if series.table.exists() else named.limit(0).select("external_id")
+        for column, kind in (("value_num", "double"), ("value_string", "string")):
+            if column not in named.columns:
+                named = named.withColumn(column, F.lit(None).cast(kind))
+        fresh = materialize(default_headers(named, stored), "headers")
+        if not fresh.isEmpty():
+            series.create(fresh)
+        self.table.upsert(named.drop("is_step"), order_by)
+
+    def list(self, start: int | None = None, end: int | None = None, external_ids: Sequence[str] | None = None) -> DataFrame:
+        """Points of ``[start, end)``; the scan opens only the days of the window."""
+        rows = in_window(self.table.scan(), start, end).drop("day")
+        return rows if external_ids is None else rows.where(F.col("external_id").isin([*external_ids]))
+
+    def delete(self, ranges: DataFrame) -> None:
+        """Delete ``[inclusive_begin, exclusive_end)`` of series; only touched days are rewritten."""
+        self.table.delete(materialize(self._named(ranges), "ranges"))
+
+
 class Workspace:
     """The resource tables under one folder."""
 
@@ -112,6 +164,10 @@ class Workspace:
             raise AttributeError(name)
         return Resource(self, name)
 
+    @property
+    def datapoints(self) -> Datapoints:
+        return Datapoints(self)
+
     def lookups(self, filter: Mapping) -> dict[str, DataFrame]:
         """Tables that the join-based filter keys read."""
         found = {}

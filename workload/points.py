@@ -6,6 +6,9 @@ from millrace.operators.points import (
     aggregate_points, default_headers, delete_points, first_points, in_window, latest_points, max_frequency,
     points_with_outside, series_points, time_extent,
 )
+from millrace.lineage import scratch_path
+from millrace.sources.points import PointTable
+from millrace.workspace import Workspace
 from workload.mapping import POINTS, points, rounded, table
 from workload.registry import query
 
@@ -135,6 +138,7 @@ def points_fill_gaps(spark, sf):
 
 
 MID = 1_705_000_000_000
+W_LO, W_HI = MID // DAY * DAY, MID // DAY * DAY + 9 * DAY
 
 
 @query("points_latest", f"""WITH {POINTS}
@@ -196,6 +200,44 @@ def points_delete_range(spark, sf):
     return delete_points(points(spark, sf), ranges).select("series_id", "ts_ms", "value_num")
 
 
+_CUTS = f"""cuts AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey % 100 END AS series_id,
+  {START} + o_orderkey % 700 * {HOUR} AS lo, {START} + o_orderkey % 700 * {HOUR} + (30 + o_orderkey % 7 * 10) * 60000 AS hi FROM orders)"""
+
+
+@query("points_range_deleted_stored", f"""WITH {POINTS}, {_CUTS}
+SELECT series_id, ts_ms, value_num FROM points p WHERE NOT EXISTS (
+  SELECT 1 FROM cuts c WHERE c.series_id = p.series_id AND p.ts_ms >= c.lo AND p.ts_ms < c.hi)""")
+def points_range_deleted_stored(spark, sf):
+    """Points stored by day; as many overlapping ranges as orders are deleted, half of them from one series."""
+    table_ = PointTable(spark, scratch_path(spark, "points"))
+    table_.upsert(points(spark, sf).select("series_id", "ts_ms", "value_num"))
+    key = F.col("o_orderkey").cast("long")
+    lo = F.lit(START) + key % 700 * HOUR
+    table_.delete(table(spark, sf, "orders").select(
+        F.when(key % 2 == 0, F.lit(1)).otherwise(F.col("o_custkey") % 100).cast("long").alias("series_id"),
+        lo.alias("inclusive_begin"), (lo + (30 + key % 7 * 10) * 60_000).alias("exclusive_end")))
+    return table_.read()
+
+
+@query("points_workspace", f"""WITH {POINTS}
+SELECT CAST(series_id AS VARCHAR) AS external_id, ts_ms, value_num,
+       CASE WHEN series_id % 3 = 0 THEN 'series ' || series_id ELSE CAST(series_id AS VARCHAR) END AS name
+FROM points WHERE ts_ms >= {W_LO} AND ts_ms < {W_HI}""")
+def points_workspace(spark, sf):
+    """A third of the series have headers and are named by internal ids; the others get default headers."""
+    ws = Workspace(spark, scratch_path(spark, "plant"))
+    rows = points(spark, sf)
+    key = F.col("series_id").cast("string")
+    ws.timeseries.create(rows.where("series_id % 3 = 0").select("series_id").distinct().select(
+        (F.col("series_id") + 1000).cast("long").alias("id"), key.alias("external_id"), F.concat(F.lit("series "), key).alias("name"),
+        F.lit(False).alias("is_string"), F.lit(False).alias("is_step")))
+    known = F.col("series_id") % 3 == 0
+    ws.datapoints.upsert(rows.select(
+        F.when(known, F.col("series_id") + 1000).cast("long").alias("id"), F.when(~known, key).alias("external_id"), "ts_ms", "value_num"))
+    names = ws.timeseries.list().select("external_id", "name")
+    return ws.datapoints.list(W_LO, W_HI).join(names, "external_id").select("external_id", "ts_ms", "value_num", "name")
+
+
 @query("points_default_headers", f"""WITH {POINTS}
 SELECT CAST(series_id AS VARCHAR) AS external_id, CAST(series_id AS VARCHAR) AS name, false AS is_string,
        bool_or(is_step) AS is_step FROM points
@@ -221,7 +263,6 @@ def points_decoded(spark, sf):
 
 
 # A window of the request that starts and ends inside the data; values must equal those over all points.
-W_LO, W_HI = MID // DAY * DAY, MID // DAY * DAY + 9 * DAY
 _INSIDE = f"WHERE {{w}} >= {W_LO} AND {{w}} < {W_HI}"
 
 
