@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.collections import same_list, same_map
-from millrace.lineage import materialize_counted
+from millrace.lineage import materialize, materialize_counted
+from millrace.operators.components import strong_components, weak_components
 from millrace.operators.merge import REPLACE, SPECS, MergeSpec, merge
 
 ID, PARENT = "external_id", "parent_external_id"
@@ -109,8 +110,64 @@ def cycle_members(ascent: Ascent) -> DataFrame:
     return ascent.endless.select(F.col("top").alias(ID)).distinct()
 
 
+def parent_edges(nodes: DataFrame) -> DataFrame:
+    """Distinct ``(id, parent)`` of all rows whose parent is an id of the input; an id may come with several."""
+    rows = nodes.where(F.col(ID).isNotNull() & ~is_root(F.col(PARENT))).select(
+        F.col(ID).alias("id"), F.col(PARENT).alias("parent")).distinct()
+    known = nodes.where(F.col(ID).isNotNull()).select(F.col(ID).alias("parent")).distinct()
+    return rows.join(known, "parent", "left_semi").select("id", "parent")
+
+
+def several_parents(nodes: DataFrame) -> DataFrame:
+    """``(id)`` of the ids that come with more than one parent in the input."""
+    return parent_edges(nodes).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+
+
+def cycles(nodes: DataFrame, ascent: Ascent | None = None) -> DataFrame:
+    """Ids on a cycle, whichever of their parents it runs through.
+
+    Where ids have several parents, chains of single parents are climbed first, by doubling: what is left are
+    the ids of several parents and the one each of their parents' chains ends at. Strong components of
+    that small graph, with the chains between their members, are the cycles through them.
+    """
+    crossing = several_parents(nodes)
+    if crossing.isEmpty():
+        return cycle_members(ascent or ascend(nodes))
+    crossing = materialize(crossing, "crossing")
+    tops = crossing.select(F.col("id").alias("top"))
+    first = materialize(parent_edges(nodes).join(crossing, "id", "left_semi"), "crossing")
+    up = ascend(nodes, crossing)
+    ways = materialize(first.join(up.reached.select(F.col("id").alias("parent"), "top"), "parent").join(tops, "top", "left_semi"), "ways")
+    plain = cycle_members(up)
+    if ways.isEmpty():
+        return plain
+    strong = materialize(strong_components(ways.select(F.col("id").alias("a"), F.col("top").alias("b"))), "rings")
+    if strong.isEmpty():
+        return plain
+    ends = strong.select(F.col("node").alias("top"), F.col("component").alias("_there"))
+    inside = ways.join(strong.select(F.col("node").alias("id"), "component"), "id").join(ends, "top").where("component = _there")
+    # Only now the ids between the members are needed.
+    chains = ascend(nodes, crossing, with_chain=True).reached.select(F.col("id").alias("parent"), "chain")
+    between = inside.select("parent").distinct().join(chains, "parent").select(F.explode("chain").alias(ID))
+    return plain.union(strong.select(F.col("node").alias(ID))).union(between).distinct()
+
+
 def components(nodes: DataFrame) -> DataFrame:
-    """``(external_id, component)``: the root reached, or the least id around a cycle."""
+    """``(external_id, component)``: ids that parents connect, named by their root, or the least id around a cycle.
+
+    Ids with several parents connect all of them; of several roots the least names the component.
+    """
+    if not several_parents(nodes).isEmpty():
+        edges = materialize(parent_edges(nodes), "parents")
+        ids = nodes.where(F.col(ID).isNotNull()).select(ID).distinct()
+        linked = materialize(weak_components(edges.select(F.col("id").alias("a"), F.col("parent").alias("b"))), "weak")
+        placed = ids.join(linked.withColumnRenamed("node", ID), ID, "left").withColumn("component", F.coalesce("component", ID))
+        below = edges.select(F.col("id").alias(ID), F.lit(True).alias("_below")).distinct()
+        rings = cycles(nodes).select(ID, F.lit(True).alias("_ring"))
+        placed = materialize(placed.join(below, ID, "left").join(rings, ID, "left"), "placed")
+        names = placed.groupBy("component").agg(F.coalesce(
+            F.min(F.when(F.col("_below").isNull(), F.col(ID))), F.min(F.when(F.col("_ring"), F.col(ID)))).alias("_name"))
+        return placed.join(names, "component").select(ID, F.col("_name").alias("component"))
     up = ascend(nodes)
     # The label of a ring member covers its ring only; below a ring it covers the tail too.
     labels = up.endless.select(F.col("id").alias("top"), F.col("label").alias("component"))
@@ -185,7 +242,7 @@ def violations(nodes: DataFrame, single_root: bool = True, ascent: Ascent | None
     keyed = nodes.where(F.col(ID).isNotNull())
     found = [
         nodes.where(F.col(ID).isNull()).select(row("missing_external_id"), ID),
-        cycle_members(ascent).select(row("cycle"), ID),
+        cycles(nodes, ascent).select(row("cycle"), ID),
     ]
     several_roots = False
     if single_root:

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from millrace.lineage import materialize
 from millrace.operators.hierarchy import (
-    apply_sync, ascend, asset_properties, change_counts, child_counts, children, components, cycle_members,
+    apply_sync, ascend, asset_properties, change_counts, child_counts, children, components, cycle_members, cycles,
     delete_assets, diff, root_names, subtree, sync_plan, topological_rank, violation_report, violations,
 )
-from workload.mapping import ASSETS, FAULTY, assets, faulty_assets, map_text
+from workload.mapping import ASSETS, FAULTY, assets, faulty_assets, map_text, table
 from workload.registry import query
 
 # Upwards reachability over distinct ids, blank parents cut.
@@ -176,3 +176,38 @@ def sync_several_roots(spark, sf):
         "parent_external_id", F.when(k % 4 == 1, other).otherwise(F.col("parent_external_id"))).withColumn(
         "name", F.when(F.col("source") == "region", F.concat("name", F.lit(" *"))).otherwise(F.col("name")))
     return sync_plan(incoming, cut, many=True).select("external_id", "change")
+
+
+_PARENTS = """n AS (SELECT c_custkey AS k FROM customer), top AS (SELECT max(k) AS m FROM n),
+e AS (SELECT k AS id, k // 2 AS parent FROM n WHERE k % 2 = 0
+      UNION SELECT k, k + 1 FROM n, top WHERE k % 16 = 0 AND k < m
+      UNION SELECT k, 4 * k FROM n, top WHERE k % 50 = 25 AND 4 * k <= m
+      UNION SELECT k, 2 * k FROM n, top WHERE k % 30 = 0 AND 2 * k <= m),
+up AS (SELECT id AS a, parent AS b FROM e UNION SELECT up.a, e.parent FROM up JOIN e ON e.id = up.b),
+ring AS (SELECT DISTINCT a AS k FROM up WHERE a = b)"""
+
+
+def _several(spark, sf):
+    """Binary trees over the customers; some ids have a second parent in another tree, some one below themselves."""
+    k = F.col("c_custkey")
+    ids = table(spark, sf, "customer").select("c_custkey")
+    most = ids.agg(F.max("c_custkey")).first()[0]
+    parents = F.array_compact(F.array(
+        F.when(k % 2 == 0, F.floor(k / 2)), F.when((k % 16 == 0) & (k < most), k + 1),
+        F.when((k % 50 == 25) & (4 * k <= most), 4 * k), F.when((k % 30 == 0) & (2 * k <= most), 2 * k)))
+    return ids.select(k.cast("string").alias("external_id"), F.explode_outer(parents.cast("array<string>")).alias("parent_external_id"))
+
+
+@query("hierarchy_several_parents", f"""WITH RECURSIVE {_PARENTS},
+und AS (SELECT id AS a, parent AS b FROM e UNION SELECT parent, id FROM e),
+reach AS (SELECT k AS a, k AS b FROM n UNION SELECT r.a, u.b FROM reach r JOIN und u ON u.a = r.b)
+SELECT CAST(a AS VARCHAR) AS external_id, coalesce(
+         min(CASE WHEN b NOT IN (SELECT id FROM e) THEN CAST(b AS VARCHAR) END),
+         min(CASE WHEN b IN (SELECT k FROM ring) THEN CAST(b AS VARCHAR) END)) AS component FROM reach GROUP BY a""")
+def hierarchy_several_parents(spark, sf):
+    return components(_several(spark, sf))
+
+
+@query("hierarchy_several_parents_cycles", f"WITH RECURSIVE {_PARENTS} SELECT CAST(k AS VARCHAR) AS external_id FROM ring")
+def hierarchy_several_parents_cycles(spark, sf):
+    return cycles(_several(spark, sf))
