@@ -271,6 +271,11 @@ def _read(payloads: bool):
 
 
 def read_archives(manifest: DataFrame, *, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives named in ``manifest.archive``; revisits have no payload."""
+    """One row per record of the archives named in ``manifest.archive``; revisits have no payload.
+
+    Each archive is a task: names are tiny rows, which adaptive execution would merge into one task but for
+    the explicit number. A repeated name is read once, a null name is left out, a missing file is an error.
+    """
     session_of(manifest)
-    return manifest.select("archive").repartition("archive").mapInArrow(_read(payloads), _RECORDS)
+    names = manifest.select("archive").where("archive is not null").distinct()
+    return names.repartition(max(1, names.count())).mapInArrow(_read(payloads), _RECORDS)
