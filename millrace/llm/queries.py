@@ -118,7 +118,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_mixing_sources", rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_SPACED}))::BIGINT AS size,
-                  (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u FROM documents),
+                  (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT] AS w FROM s),
 l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER (
@@ -128,11 +128,15 @@ l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce
 f AS (SELECT *, first_value(CASE WHEN level * w <= 2.0::DOUBLE * source_size THEN level END IGNORE NULLS) OVER (
           ORDER BY source_size / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv FROM l),
 t AS (SELECT source, source_size, coalesce(lv * w, 2.0::DOUBLE * source_size) AS target FROM f),
-r AS (SELECT d.doc_id, d.size, d.u, t.source, t.source_size, t.target,
+g AS (SELECT source, sum(size * floor(sqrt(size))) AS weighty FROM d GROUP BY source),
+r AS (SELECT d.doc_id, d.size, d.u, t.source, t.source_size, t.target, g.weighty,
              CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
-             CASE WHEN source_size > 0 THEN round((target / source_size - floor(target / source_size)) * source_size, 6) ELSE 0 END AS rest
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS run FROM r)
+             CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0.0 END AS part
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+p AS (SELECT *, round(part * source_size, 6) AS rest,
+             CASE WHEN weighty > 0 THEN part * floor(sqrt(size)) * source_size / weighty ELSE 0.0 END AS p FROM r),
+o AS (SELECT *, CASE WHEN p >= 1 THEN 0.0::DOUBLE WHEN p > 0 THEN u / (1 - u) * ((1 - p) / p) END AS odds FROM p),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS run FROM o)
 SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN run < rest AND 2 * run + size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """)

@@ -84,6 +84,21 @@ def test_stages_take_odd_tables(spark):
         assert sorted(map(str, ids)) == (sorted(["1", "None", "3", "4"]) if data else [])
 
 
+def test_columns_named_like_those_of_operators_keep_their_values(spark):
+    names = ["spans", "base_spans", "wide_spans", "_hash", "row", "_kept_id", "_kept_hash", "node", "at"]
+    rows = [(1, "mail a@b.cd now", *[f"{n} 1" for n in names]), (2, "same words " * 30, *[f"{n} 2" for n in names]),
+            (3, "same words " * 30, *[f"{n} 3" for n in names])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        kept = {r["doc_id"]: tuple(r)[2:] for r in out.collect()}
+        assert kept == {i: tuple(f"{n} {i}" for n in names) for i in ((1, 2) if name == "near_duplicates" else (1, 2, 3))}, name
+    bare = spark.createDataFrame([(1, "mail a@b.cd now"), (2, None)], "doc_id long, text string")
+    assert sorted(r["text"] or "" for r in corpus_pipeline.redact(spark, bare, SF).collect()) == ["", "mail <EMAIL> now"]
+    assert corpus_pipeline.drop_near_duplicates(spark, bare, SF).count() == 2
+
+
 @pytest.mark.parametrize("name", ["op4_toxicity", "op6_language_id"])
 def test_scores_of_the_registered_queries(spark, name):
     rows = QUERIES[name](spark, SF).collect()
@@ -91,5 +106,5 @@ def test_scores_of_the_registered_queries(spark, name):
 
 
 def test_registered_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
