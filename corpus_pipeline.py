@@ -6,7 +6,7 @@ of ``docs``. Stages keep rows with null ids and do not move rows unless rows mus
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.lineage import materialize
 from millrace.llm import contamination, minhash, mixing, pii, toxicity
@@ -22,12 +22,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity.fit(docs, toxicity_labels(spark, sf_dir)))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and all other columns in one, so that none of them can clash with those of an operator."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", (F.struct(*others) if others else F.lit(0)).alias("row"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them replaced."""
+    held = lambda c: F.col(c) if c in ("doc_id", "text") else F.col("row")[c]
+    return packed.select(*[changed.get(c, held(c)).alias(c) for c in docs.columns])
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8) stays, that with the smallest id.
 
     Texts that share an id without being alike all stay.
     """
-    return minhash.one_per_group(docs, percent=80, by_text=True)
+    return _unpacked(minhash.one_per_group(_packed(docs), percent=80, by_text=True), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +49,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by the name of its kind; ``n_chars`` follows the text."""
-    found = pii.find(docs, pii.fit(docs))
-    texts = found.withColumn("text", pii.redacted(F.col("text"), F.col("spans")))
-    if "n_chars" in docs.columns:
-        texts = texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return texts.select(*docs.columns)
+    found = pii.find(_packed(docs), pii.fit(docs))
+    texts = found.select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("text"), "row")
+    size = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return _unpacked(texts, docs, **size)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
