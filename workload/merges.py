@@ -8,7 +8,9 @@ from millrace.lineage import scratch_path
 from millrace.operators.merge import (
     REPLACE, SPECS, UPDATE, delete_keys, last_write_wins, merge, split_upsert, write_volume,
 )
-from millrace.plans.transform import apply_rows
+from millrace.plans.transform import TransformationRunner, apply_rows
+from millrace.sources.buckets import BucketedTable
+from millrace.sources.files import upload
 from millrace.sources.order import with_position
 from millrace.workspace import Workspace
 from workload.mapping import EVENTS, events, map_text, table
@@ -251,3 +253,52 @@ def files_merged(spark, sf):
         F.concat(F.lit("F"), k.cast("string")).alias("external_id"), F.lit(name).alias("name"), F.array(F.lit(label)).alias("labels"))
     after = merge(shaped(part.where(k % 3 != 0), "old name", "a"), shaped(part.where(k % 5 == 0), "new name", "b"), SPECS["files"], UPDATE)
     return after.select("external_id", "name", F.array_join("labels", ",").alias("labels"))
+
+
+@query("files_uploaded", """
+SELECT CAST(doc_id AS VARCHAR) AS external_id, CASE WHEN doc_id % 2 = 0 THEN 'old' ELSE source END AS name, true AS uploaded,
+       CAST(octet_length(encode(text)) AS BIGINT) AS content_length FROM documents""")
+def files_uploaded(spark, sf):
+    """Contents written over known files, whose names stay, and new ones; the longer of two contents of a key comes last."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("external_id"), "doc_id", "source", "text")
+    known = docs.where("doc_id % 2 = 0").select(
+        "external_id", F.lit("old").alias("name"), F.lit(False).alias("uploaded"), F.lit(None).cast("long").alias("content_length"))
+    whole = docs.select("external_id", F.col("source").alias("name"), F.col("text").cast("binary").alias("content"), F.lit(1).alias("turn"))
+    part = docs.select("external_id", F.col("source").alias("name"), F.substring("text", 1, 10).cast("binary").alias("content"), F.lit(0).alias("turn"))
+    return upload(known, whole.union(part), ["turn"]).drop("_change")
+
+
+_KINDS = ("timeseries", "labels", "files", "sequences", "data_sets", "assets", "relationships")
+
+
+@query("transform_destinations", """
+WITH old AS (SELECT p_partkey AS k FROM part WHERE p_partkey % 3 <> 0),
+new AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 4 <> 0 THEN 'new ' || p_partkey END AS name FROM part WHERE p_partkey % 2 = 0),
+kinds AS (SELECT unnest(['timeseries', 'labels', 'files', 'sequences', 'data_sets', 'assets', 'relationships']) AS kind)
+SELECT kind, CAST(k AS VARCHAR) AS external_id, CASE WHEN is_new IS NULL THEN 'old' WHEN is_old IS NULL OR kind = 'labels' THEN name
+       WHEN kind = 'files' THEN 'old' ELSE coalesce(name, 'old') END AS name,
+       CASE WHEN is_new IS NULL THEN 'untouched' WHEN is_old IS NULL THEN 'created' ELSE 'updated' END AS change
+FROM kinds, (SELECT coalesce(o.k, n.k) AS k, o.k AS is_old, n.k AS is_new, n.name FROM old o FULL JOIN new n ON o.k = n.k)""")
+def transform_destinations(spark, sf):
+    """The same rows upserted into seven destinations, each by its own rules for a name."""
+    k = F.col("p_partkey")
+    part = table(spark, sf, "part")
+    old = part.where(k % 3 != 0).select(k.cast("string").alias("external_id"), F.lit("old").alias("name"))
+    new = part.where(k % 2 == 0).select(k.cast("string").alias("external_id"), F.when(k % 4 != 0, F.concat(F.lit("new "), k.cast("string"))).alias("name"))
+    done = [apply_rows(old, new, kind, "upsert").select(F.lit(kind).alias("kind"), "external_id", "name", F.col("_change").alias("change"))
+            for kind in _KINDS]
+    return reduce(lambda a, b: a.unionByName(b), done)
+
+
+@query("transform_job_metrics", _TGT + """
+SELECT 'read' AS name, count(*) AS "count" FROM src
+UNION ALL SELECT 'created', count(*) FROM src WHERE external_id NOT IN (SELECT external_id FROM tgt)
+UNION ALL SELECT 'updated', count(*) FROM src WHERE external_id IN (SELECT external_id FROM tgt)
+UNION ALL SELECT 'deleted', 0""")
+def transform_job_metrics(spark, sf):
+    """A transformation run into a bucketed table, and the counts that its job logged."""
+    stored = BucketedTable(spark, scratch_path(spark, "transformed"), ["external_id"])
+    stored.commit(_target(spark, sf))
+    runner = TransformationRunner(spark, scratch_path(spark, "jobs"))
+    job = runner.run("edits", _view(spark, sf), stored, "events")
+    return runner.metrics(job.job_id).select("name", "count")

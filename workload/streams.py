@@ -10,7 +10,7 @@ from millrace.sources.order import POSITION, with_position
 from millrace.sources.tables import VersionedTable
 from millrace.streaming.publisher import ChangeReader, file_stream, raw_changes, run_stream
 from millrace.streaming.sink import MergeSink, buffered_upload, stream_aggregates
-from millrace.streaming.state import expand, outside_state
+from millrace.streaming.state import StateStore, expand, outside_state
 from workload.mapping import ASSETS, EVENTS, RAW, assets, events, raw_json, table
 from workload.registry import query
 
@@ -96,6 +96,17 @@ def state_expand(spark, sf):
     return expand(_state(spark, sf), _values(spark, sf))
 
 
+@query("state_stored", """
+SELECT CAST(user_id AS VARCHAR) AS key, min(CAST(round(value * 100) AS BIGINT)) AS low, max(CAST(round(value * 100) AS BIGINT)) AS high
+FROM events GROUP BY 1""")
+def state_stored(spark, sf):
+    """Three batches widen the stored state one after another; a batch that comes again changes nothing."""
+    store = StateStore(spark, scratch_path(spark, "state"))
+    for number in (0, 1, 1, 2):
+        store.commit(expand(store.load(), _values(spark, sf).where(F.col("event_id") % 3 == number)), number)
+    return store.load()
+
+
 @query("buffered_upsert", """
 SELECT CAST(user_id AS VARCHAR) AS external_id, arg_max(event_type, event_id) AS type, arg_max(value, event_id) AS value
 FROM events GROUP BY 1""")
