@@ -237,7 +237,6 @@ def violations(nodes: DataFrame, single_root: bool = True, ascent: Ascent | None
 
     A self-reference is reported by its own rule and is also a cycle of one.
     """
-    ascent = ascent or ascend(nodes)
     row = lambda rule: F.lit(rule).alias("rule")
     keyed = nodes.where(F.col(ID).isNotNull())
     found = [
