@@ -4,7 +4,9 @@ Each of ``TREES`` trees gives a vector a string of ``DEPTH`` bits, the sides of
 through the medians of a bounded sample. A tree is the sorted array of these strings, so the vectors
 that share a prefix with a query stand together. A query descends in every tree to the longest prefix
 it shares with anyone, then ascends in all trees at once, one bit at a time, until the prefixes hold
-enough candidates; these are compared exactly, in double precision on the original vectors.
+``SPREAD`` entries for each vector. Each tree gives the candidates under its prefix as many votes as bits
+they share with the query. Those with most votes, a share ``COMPARED`` of the vectors, are compared exactly,
+in double precision on the original vectors: a near vector stands close in many trees, a far one in few.
 
 Vectors are indexed where they are read, in shards of at most ``SHARD`` rows, and no vector moves.
 Queries visit every shard in blocks of at most ``BLOCK`` queries, each a pass over the vectors. Only the
@@ -25,10 +27,12 @@ from millrace.lineage import materialize
 from millrace.llm import text as tx
 from millrace.llm.frames import session_of
 
-TREES, DEPTH = 24, 32
+TREES, DEPTH = 128, 32
+SAMPLE = 4096  # vectors that place the hyperplanes
 SHARD, BLOCK = 16_384, 2048
-FRACTION = 1.0  # candidates (counted per tree) for each vector of a shard
-LEAST = 400
+SPREAD = 10.0  # entries of all trees, for each vector of a shard, at which the ascent ends
+COMPARED = 0.075  # share of a shard's vectors that is compared exactly
+LEAST = 20  # compared vectors for each neighbour asked for, where the share gives fewer
 
 _FOUND = "query_id long, vec_id long, score double"
 
@@ -65,20 +69,18 @@ class Planes:
 
 
 def planes(sample: np.ndarray) -> Planes:
+    """Random hyperplanes through the medians of the distinct vectors of a sample."""
+    sample = np.unique(sample, axis=0)
     normals = np.random.default_rng(sample.shape[1]).normal(size=(sample.shape[1], TREES * DEPTH))
     return Planes(normals, np.median(sample @ normals, axis=0))
 
 
-def search(index: Planes, names: np.ndarray, matrix: np.ndarray, query_names: np.ndarray, queries: np.ndarray, k: int,
-           fraction: float = FRACTION) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The k nearest candidates of each query in one shard: ``(query, ids, distances)``."""
-    codes, asked = index.codes(matrix), index.codes(queries)
-    order = np.argsort(codes, axis=1, kind="stable")
-    codes = np.take_along_axis(codes, order, axis=1)
-    enough = min(max(LEAST, fraction * len(names)), TREES * len(names))
-    low, high = np.zeros((TREES, len(queries)), np.int64), np.full((TREES, len(queries)), len(names), np.int64)
-    open_queries = np.arange(len(queries))
-    for level in range(DEPTH, 0, -1):  # ascending: one bit less in every tree
+def _ascend(codes: np.ndarray, asked: np.ndarray, enough: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges ``(TREES, queries)`` in the sorted trees: the longest common prefix length that gives enough entries."""
+    size, count = codes.shape[1], asked.shape[1]
+    low, high = np.zeros((TREES, count), np.int64), np.full((TREES, count), size, np.int64)
+    open_queries = np.arange(count)
+    for level in range(DEPTH, 0, -1):  # one bit less in every tree
         rest = np.uint64((1 << (DEPTH - level)) - 1)
         a, b = (np.empty((TREES, len(open_queries)), np.int64) for _ in range(2))
         for t in range(TREES):
@@ -89,21 +91,51 @@ def search(index: Planes, names: np.ndarray, matrix: np.ndarray, query_names: np
         open_queries = open_queries[~done]
         if not len(open_queries):
             break
-    seen = np.zeros(len(names), bool)
+    return low, high
+
+
+def _most_voted(votes: np.ndarray, wanted: int) -> np.ndarray:
+    """Positions with most votes: as many whole levels of votes as come nearest to ``wanted`` from above."""
+    if wanted >= len(votes):
+        return np.arange(len(votes))
+    at_least = np.cumsum(np.bincount(votes)[::-1])[::-1]  # vectors with that many votes or more
+    levels = np.flatnonzero(at_least >= wanted)
+    return np.flatnonzero(votes >= levels[-1])
+
+
+def search(index: Planes, names: np.ndarray, matrix: np.ndarray, query_names: np.ndarray, queries: np.ndarray, k: int,
+           compared: float = COMPARED) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """The k nearest candidates of each query in one shard: ``(query, ids, distances, vectors compared)``.
+
+    Equal vectors are one candidate with many ids, so copies of one vector do not take the place of others.
+    """
+    _, first, which = np.unique(np.ascontiguousarray(matrix).view(f"V{8 * matrix.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    by_vector = np.lexsort((names, which))
+    ids, begin = names[by_vector], np.concatenate([[0], np.cumsum(np.bincount(which))])
+    matrix = matrix[first]
+    codes, asked = index.codes(matrix), index.codes(queries)
+    order = np.argsort(codes, axis=1, kind="stable")
+    codes = np.take_along_axis(codes, order, axis=1)
+    low, high = _ascend(codes, asked, min(SPREAD, TREES) * len(matrix))
+    wanted = max(LEAST * k, int(compared * len(matrix)))
     for at in range(len(queries)):
-        seen[:] = False
-        for t in range(TREES):
-            seen[order[t, low[t, at]: high[t, at]]] = True
-        found = np.flatnonzero(seen)
-        found = found[names[found] != query_names[at]]
+        parts = [slice(a, b) for a, b in zip(low[:, at], high[:, at])]
+        held = np.concatenate([order[t, part] for t, part in enumerate(parts)])
+        differ = np.concatenate([codes[t, part] ^ asked[t, at] for t, part in enumerate(parts)])
+        shared = DEPTH - np.frexp(differ.astype(np.float64))[1]  # the exponent is the place of the first bit that differs
+        found = _most_voted(np.bincount(held, shared, minlength=len(matrix)).astype(np.int64), wanted)
         distance = np.sqrt(((matrix[found] - queries[at]) ** 2).sum(axis=1))
-        if len(found) > k:
+        number = len(found)
+        most = k + int((names == query_names[at]).sum())  # rows of the query's own id fall away below
+        if number > most:
             # Keep ties at the border; they are ordered by id.
-            edge = np.partition(distance, k - 1)[k - 1]
-            near = distance <= edge
+            near = distance <= np.partition(distance, most - 1)[most - 1]
             found, distance = found[near], distance[near]
-        best = np.lexsort((names[found], distance))[:k]
-        yield int(query_names[at]), names[found[best]], distance[best]
+        copies = np.minimum(begin[found + 1] - begin[found], most)
+        name, distance = ids[tx.ranges(begin[found], copies)], np.repeat(distance, copies)
+        name, distance = name[name != query_names[at]], distance[name != query_names[at]]
+        best = np.lexsort((name, distance))[:k]
+        yield int(query_names[at]), name[best], distance[best], number
 
 
 def _shards(index: dict[int, Planes], asked: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
@@ -140,20 +172,25 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     distance in double precision; ties go to the smaller id. A query's own id is no candidate. Null, zero
     and non-finite vectors and null ids take no part, and vectors of another dimension are no candidates.
     Queries that repeat an id count once, with the least vector; rows that repeat an id are candidates
-    each. An empty table gives no rows. The sample that places the hyperplanes is the first block of
-    queries, at most ``BLOCK``.
+    each. An empty table gives no rows. The sample that places the hyperplanes are the ``SAMPLE`` rows whose
+    ids have the smallest hashes; for a dimension that it misses, the queries of the first block that has it.
     """
     session_of(rows)
     asked = materialize(queries.where("vec_id is not null and embedding is not null").groupBy("vec_id").agg(
         F.min("embedding").alias("embedding")), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK))
-    index: dict[int, Planes] = {}
+    total = asked.count()
+    blocks = max(1, -(-total // BLOCK))
+    sample = rows.where("vec_id is not null and embedding is not null").orderBy(F.xxhash64("vec_id"), "vec_id").select(
+        "vec_id", "embedding").limit(SAMPLE).toArrow() if total else None
+    index = {d: planes(matrix) for d, (_, matrix) in vectors(
+        sample["vec_id"].combine_chunks(), sample["embedding"]).items()} if sample is not None else {}
     parts = []
     for number in range(blocks):
         table = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number).orderBy("vec_id").toArrow()
         block = vectors(table["vec_id"].combine_chunks(), table["embedding"])
         for d, (_, matrix) in block.items():
-            index.setdefault(d, planes(matrix))
+            if d not in index:
+                index[d] = planes(matrix)
         if block:
             parts.append(rows.select("vec_id", "embedding").mapInArrow(_shards(index, block, k), _FOUND))
     if not parts:
