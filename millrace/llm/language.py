@@ -118,6 +118,11 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str]) -> Mode
                 first[k] = 0.9 * first[k] + 0.1 * g[k]
                 second[k] = 0.999 * second[k] + 0.001 * g[k] ** 2
                 p[k] -= RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+    return fold(p, languages)
+
+
+def fold(p: dict[str, np.ndarray], languages: list[str]) -> Model:
+    """The network as sums over tables: embedding and filters ``f2, f3, f4`` are applied to byte pairs beforehand."""
     tap = lambda w, i: (p["embed"] @ p[f"f{w}"][i * EMBEDDING: (i + 1) * EMBEDDING]).astype(np.float32)
     pair = lambda w, i: (tap(w, i)[:, None, :] + tap(w, i + 1)[None]).reshape(65536, FILTERS)
     return Model(languages, np.concatenate([pair(2, 0), pair(3, 0), pair(4, 0)], axis=1), tap(3, 2), pair(4, 2),
@@ -138,7 +143,10 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE) -> Model:
-    """A model from the texts and languages of ``docs (doc_id, text, lang)``; null languages and texts are left out."""
+    """A model from the texts and languages of ``docs (doc_id, text, lang)``; null languages and texts are left out.
+
+    The sample holds about ``per_language`` documents a language, drawn by a hash of id and text.
+    """
     session_of(docs)
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -147,9 +155,11 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE) -> Model:
         empty = np.zeros
         return Model(languages or [UNKNOWN], empty((65536, _FEATURES), np.float32), empty((256, FILTERS), np.float32),
                      empty((65536, FILTERS), np.float32), empty(_FEATURES), empty((_FEATURES, 1)), empty(1))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000))
-    share = F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, int(1e6 * min(1.0, per_language / n)))))
-    picked = known.where(draw < share[F.col("lang")]).select("lang", "text").mapInArrow(_spread, "lang string, window binary").collect()
+    # A hash of id and text spreads null and repeated ids too; repeated rows count once.
+    draw = F.xxhash64("doc_id", "text", F.lit("language"))
+    bound = {k: int(2.0 ** 64 * min(1.0, per_language / n)) - 2 ** 63 for k, n in sizes.items()}
+    share = F.create_map(*(c for k, b in bound.items() for c in (F.lit(k), F.lit(min(b, 2 ** 63 - 1)).cast("long"))))
+    picked = known.where(draw <= share[F.col("lang")]).dropDuplicates().select("lang", "text").mapInArrow(_spread, "lang string, window binary").collect()
     rows = sorted((r["lang"], bytes(r["window"])) for r in picked)  # the order of arrival must not matter
     windows = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW)
     place = {k: i for i, k in enumerate(languages)}
