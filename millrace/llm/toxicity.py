@@ -204,7 +204,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
-    """A model from ``docs (doc_id, text)`` and ``labels (doc_id, label)``; null labels and ids are left out.
+    """A model from ``docs (doc_id, text)`` and ``labels (doc_id, label)``; null labels, ids and texts are left out.
+
+    Equal texts count once, with the larger of their labels.
 
     Without labelled rows of both kinds, every score is the share of toxic rows (one half without rows).
     """
@@ -213,7 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     picked = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(draw).limit(sample).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)))
     # The sample is bounded by its size, so it may be broadcast; documents are not shuffled.
-    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["text"]), "labelled")
+    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = materialize(rows.groupBy("text").agg(F.max("label").alias("label"), F.min("fold").alias("fold")), "labelled")
     learn, check = rows.where("fold > 0"), rows.where("fold = 0")
     sizes = {r["label"]: r["n"] for r in learn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sum(n for k, n in sizes.items() if k != 1)
