@@ -109,6 +109,43 @@ def test_folded_tables_equal_the_network():
     assert p.shape == (40, 2) and np.allclose(p.sum(axis=1), 1)
 
 
+def test_fold_equals_plain_convolutions():
+    rng = np.random.default_rng(1)
+    p = {"embed": rng.normal(size=(256, language.EMBEDDING)), "bias": rng.normal(size=3 * language.FILTERS),
+         "dense": rng.normal(size=(3 * language.FILTERS, 3)), "out": rng.normal(size=3)}
+    for w in language.WIDTHS:
+        p[f"f{w}"] = rng.normal(size=(w * language.EMBEDDING, language.FILTERS))
+    windows = rng.integers(0, 256, (5, 40)).astype(np.uint8)
+    got = language.fold(p, ["a", "b", "c"]).probabilities(windows)
+    for at, window in enumerate(windows):
+        cells = p["embed"][np.append(window, [0, 0, 0])]
+        pooled = np.concatenate([
+            np.max([cells[i: i + w].ravel() @ p[f"f{w}"] for i in range(len(window))], axis=0) for w in language.WIDTHS])
+        e = np.exp(np.maximum(pooled + p["bias"], 0) @ p["dense"] + p["out"])
+        assert np.allclose(got[at], e / e.sum(), atol=1e-4)
+
+
+def test_language_sample_of_null_and_repeated_ids(spark):
+    rows = [(None, f"wir gehen heute nach haus {i}", "de") for i in range(300)] + [(7, f"the road is long today {i}", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows + rows[:1] * 200, "doc_id long, text string, lang string")
+    seen = []
+    train = language.train
+    language.train = lambda windows, labels, languages: seen.append(np.bincount(labels).tolist()) or train(windows, labels, languages)
+    try:
+        language.fit(docs, per_language=50)
+    finally:
+        language.train = train
+    de, en = seen[0]
+    assert 10 <= de <= 60 and 25 <= en <= 90  # one window a text; neither all nor none
+
+
+def test_toxicity_of_texts_with_both_labels(spark):
+    docs = spark.createDataFrame([(i, f"quiet text number {i % 40}" if i < 80 else f"vile hateful words {i}", "x") for i in range(160)], "doc_id long, text string, s string")
+    labels = spark.createDataFrame([(i, int(i < 40 or i >= 80)) for i in range(160)], "doc_id long, label int")
+    one, two = (toxicity.fit(d, labels) for d in (docs.repartition(3), docs.orderBy(F.desc("doc_id")).coalesce(1)))
+    assert all(np.array_equal(a, b) for a, b in zip(vars(one).values(), vars(two).values()))
+
+
 # -- personal data ---------------------------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -244,6 +281,34 @@ def test_forest_recall_and_exact_scores(spark):
     assert forest.nearest(few, few.where("vec_id = 100")).count() == 2
 
 
+def test_forest_compares_few_vectors(spark):
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(6000, 24))
+    data[4000:] = data[17]  # a third of the rows hold one vector; distinct ones must not lose their place to it
+    names = np.arange(len(data))
+    asked = names[:2000:100]
+    share, hit = [], 0
+    for query, found, score, compared in forest.search(forest.planes(data), names, data, asked, data[asked], 10):
+        exact = np.sqrt(((data - data[query]) ** 2).sum(axis=1))
+        assert np.array_equal(score, exact[found]) and query not in found
+        others = names[names != query]
+        best = np.sort(exact[others])[:10]
+        hit += (score <= best[-1]).sum()
+        share.append(compared / 4000)
+    assert hit >= 0.9 * 10 * len(asked)
+    assert max(share) < 0.1
+
+
+def test_forest_copies_of_a_query(spark):
+    data = np.ones((50, 3))
+    data[:25] = np.arange(75).reshape(25, 3) + 5.0
+    (_, found, score, _), = forest.search(forest.planes(data), np.arange(50), data, np.array([30]), data[[30]], 10)
+    assert found.tolist() == [25, 26, 27, 28, 29, 31, 32, 33, 34, 35] and (score == 0).all()
+    names = np.where(np.arange(50) < 45, 7, np.arange(50))  # more rows of the query's own id than neighbours asked for
+    (_, found, _, _), = forest.search(forest.planes(data), names, data, np.array([7]), data[[30]], 3)
+    assert found.tolist() == [45, 46, 47]
+
+
 # -- archives --------------------------------------------------------------------------------------
 
 def test_archives_round_trip(spark, monkeypatch):
