@@ -8,6 +8,7 @@ from millrace.operators.points import (
 )
 from millrace.lineage import scratch_path
 from millrace.sources.points import PointTable
+from millrace.sources.rollups import RollupTable
 from millrace.workspace import Workspace
 from workload.mapping import POINTS, points, rounded, table
 from workload.registry import query
@@ -307,3 +308,43 @@ def points_upserted(spark, sf):
     write_points(rows, path)
     write_points(in_window(rows, W_LO, W_HI).where("series_id % 3 = 0").withColumn("value_num", F.col("value_num") + 1), path)
     return spark.read.parquet(path).select("series_id", "ts_ms", "value_num")
+
+
+def _stored_rollups(spark, sf) -> RollupTable:
+    """Points and their hourly states, both stored by day."""
+    table = PointTable(spark, scratch_path(spark, "rollup-points"))
+    table.upsert(points(spark, sf).select("series_id", "ts_ms", "value_num", "is_step"))
+    rollups = RollupTable(spark, scratch_path(spark, "rollup-hours"), table, step="is_step")
+    rollups.refresh()
+    return rollups
+
+
+@query("rollup_day_curves", _weighted(DAY, "true", f"{_AVERAGE}, {_VARIANCE}"))
+def rollup_day_curves(spark, sf):
+    df = _stored_rollups(spark, sf).aggregate("1d", ["average", "continuousVariance"])
+    return rounded(rounded(df, "average"), "continuous_variance", digits=4)
+
+
+@query("rollup_12h", f"""WITH {POINTS}
+SELECT series_id, {_window(_ORIGIN_H, 12 * HOUR)} AS window_start, count(value_num) AS "count",
+       round(sum(value_num), 6) AS "sum", min(value_num) AS "min", max(value_num) AS "max",
+       round(var_pop(value_num), 6) AS discrete_variance
+FROM points WHERE ts_ms >= {_ORIGIN_H} AND ts_ms < {_END_12H} GROUP BY ALL""")
+def rollup_12h(spark, sf):
+    df = _stored_rollups(spark, sf).aggregate("12h", ["count", "sum", "min", "max", "discreteVariance"], START, END)
+    return rounded(df, "sum", "discrete_variance")
+
+
+@query("rollup_refreshed", f"""WITH {POINTS}, w AS (
+  SELECT series_id, ts_ms - ts_ms % {2 * DAY} AS window_start, ts_ms, value_num,
+         lag(value_num) OVER (PARTITION BY series_id, ts_ms - ts_ms % {2 * DAY} ORDER BY ts_ms) AS before
+  FROM points WHERE NOT (series_id % 3 = 0 AND ts_ms >= {MID} AND ts_ms < {MID + 3 * DAY}))
+SELECT series_id, window_start, count(*) AS "count", round(coalesce(sum(abs(value_num - before)), 0), 6) AS total_variation
+FROM w GROUP BY ALL""")
+def rollup_refreshed(spark, sf):
+    """Every third series loses three days; only the states of the days rewritten by the delete are computed anew."""
+    rollups = _stored_rollups(spark, sf)
+    lost = points(spark, sf).where("series_id % 3 = 0").select(
+        "series_id", F.lit(MID).cast("long").alias("inclusive_begin"), F.lit(MID + 3 * DAY).cast("long").alias("exclusive_end")).distinct()
+    rollups.refresh(rollups.points.delete(lost))
+    return rounded(rollups.aggregate("2d", ["count", "totalVariation"]), "total_variation")
