@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
@@ -12,33 +13,169 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 _TOKEN = r"(\p{L}+|\p{N}+)"
 _PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
-
-_SLOTS = 1 << 20
 _GRAMS = T.ArrayType(T.StructType([
     T.StructField("gram", T.StringType()), T.StructField("start", T.IntegerType()),
     T.StructField("stop", T.IntegerType()), T.StructField("text", T.StringType()),
 ]))
 
+# The filter that tasks get has at least 2^20 and at most 2^26 bits (8 MB), whatever the number of names.
+_BITS_MIN, _BITS_MAX = 20, 26
+# Texts are searched together until they hold this many tokens; a longer text is searched whole.
+_CHUNK_TOKENS = 1 << 16
+_REMEMBERED = 1 << 20
+_LEFT, _RIGHT, _SIZE, _PREFIX = (np.uint64(c) for c in (
+    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+
+
+class _Folded(dict):
+    """Hashes of folded tokens, remembered by spelling."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        value = self[token] = zlib.crc32(token.lower().encode())
+        return value
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _RIGHT
+    return x ^ (x >> np.uint64(32))
+
+
+def _level(n: int) -> int:
+    """The largest power of two (its exponent) not above ``n``."""
+    return n.bit_length() - 1
+
+
+def _levels(tokens: np.ndarray, most: int) -> list[np.ndarray]:
+    """Hashes of the runs of 1, 2, 4, ... tokens at every position, up to ``most`` tokens."""
+    levels = [_mixed(tokens * _LEFT)]
+    while len(levels) <= _level(most) and len(levels[-1]) > 1 << (len(levels) - 1):
+        half = 1 << (len(levels) - 1)
+        levels.append(_mixed(levels[-1][:-half] * _LEFT + levels[-1][half:]))
+    return levels
+
+
+def _run_hash(levels: list[np.ndarray], at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` tokens at ``at``: two overlapping runs of a power of two cover each."""
+    k = _level(n)
+    return _mixed(levels[k][at] * _LEFT + levels[k][at + (n - (1 << k))] + np.array([n], np.uint64) * _SIZE)
+
+
+def _prefix_hash(levels: list[np.ndarray], at: np.ndarray, k: int) -> np.ndarray:
+    return _mixed(levels[k][at] ^ _PREFIX)
+
+
+def _name_hashes(tokens: list[list[str]]) -> Iterator[np.ndarray]:
+    """Per name the hashes of its prefixes of 1, 2, 4, ... tokens and of the whole."""
+    folded = _Folded()
+    for name in tokens:
+        levels = _levels(np.array([folded[t] for t in name], np.uint64), len(name))
+        first = np.zeros(1, np.int64)
+        yield np.concatenate([_prefix_hash(levels, first, k) for k in range(_level(len(name)) + 1)]
+                             + [_run_hash(levels, first, len(name))])
+
+
+def name_slots(bits: int):
+    """UDF: the slots of the filter of ``2 ** bits`` bits that a name (tokens joined by a blank) sets."""
+    def slots(names: pa.Array) -> pa.Array:
+        found = list(_name_hashes([n.split(" ") for n in names.to_pylist()]))
+        offsets = np.cumsum([0] + [len(f) for f in found])
+        values = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array((values >> np.uint64(64 - bits)).astype(np.int64)))
+
+    slots.__annotations__ = {"names": pa.Array, "return": pa.Array}
+    return F.arrow_udf(slots, T.ArrayType(T.LongType()))
+
+
+def _name_filter(grams: DataFrame, bits: int) -> np.ndarray:
+    """The slots of all names as bits; Spark fills it in pieces of 32768 bits."""
+    slots = grams.select(F.explode(name_slots(bits)("gram")).alias("slot"))
+    number = F.col("slot") + 1  # bitmap positions count from 1
+    pieces = slots.groupBy(F.bitmap_bucket_number(number).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap"))
+    filled = np.zeros((1 << bits) // 8, np.uint8)
+    for row in pieces.collect():
+        piece = np.frombuffer(bytes(row["bitmap"]), np.uint8)
+        filled[(row["piece"] - 1) * 4096:][:4096] = piece
+    return filled
+
+
+def _places(tokens: np.ndarray, ends: np.ndarray, lengths: Sequence[int], filled: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """``(positions, n)`` of runs that pass the filter; ``ends`` is the end of each token's text.
+
+    As in a trie, a position is followed to longer runs only while its prefix is one of a name.
+    """
+    shift = np.uint64(64 - (len(filled) * 8).bit_length() + 1)
+
+    def passing(at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> shift).astype(np.int64)
+        return at[(filled[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1]
+
+    levels = _levels(tokens, max(lengths))
+    alive, reached, found = np.arange(len(tokens)), -1, []
+    for n in sorted(lengths):
+        k = _level(n)
+        if k > reached:
+            alive = alive[alive + (1 << k) <= ends[alive]]
+            if not len(alive):
+                break
+            alive, reached = passing(alive, _prefix_hash(levels, alive, k)), k
+        at = alive[alive + n <= ends[alive]]
+        at = passing(at, _run_hash(levels, at, n)) if len(at) else at
+        if len(at):
+            found.append((at, n))
+    return found
+
+
+def _chunks(texts: list[str | None], size: int) -> Iterator[tuple[list[int], list[int], list[int]]]:
+    """``(text numbers, first token of each text, token hashes)`` of consecutive texts of about ``size`` tokens."""
+    folded = _Folded()
+    numbers, begins, hashes = [], [], []
+    for number, text in enumerate(texts):
+        if not text:
+            continue
+        numbers.append(number)
+        begins.append(len(hashes))
+        hashes += [folded[t] for t in _PY_TOKEN.findall(text)]
+        if len(hashes) >= size:
+            yield numbers, begins, hashes
+            numbers, begins, hashes = [], [], []
+    if hashes:
+        yield numbers, begins, hashes
+
+
+def find_runs(texts: list[str | None], lengths: Sequence[int], filled: np.ndarray,
+              size: int = _CHUNK_TOKENS) -> dict[int, list[tuple[int, int]]]:
+    """Per text number the ``(token, n)`` of runs that the filter lets pass; some may be no name."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    for numbers, begins, hashes in _chunks(texts, size):
+        starts = np.array(begins + [len(hashes)])
+        ends = np.repeat(starts[1:], np.diff(starts))
+        for at, n in _places(np.array(hashes, np.uint64), ends, lengths, filled):
+            for i, k in zip(at, np.searchsorted(starts, at, "right") - 1):
+                found.setdefault(numbers[k], []).append((int(i - starts[k]), n))
+    return found
+
 
-def token_runs(lengths: Sequence[int], firsts: frozenset[int]):
+def token_runs(lengths: Sequence[int], filled: np.ndarray):
     """UDF: runs of ``lengths`` tokens in a text, folded, with offsets and the text they cover.
 
-    Only runs whose first token falls in one of the slots ``firsts`` can be a name.
+    Only runs that pass the filter of all names leave it. Work is linear in the text: hashes of runs of
+    any length come from those of powers of two, and longer ones are tried only behind prefixes of names.
 
     Spark has no expression that returns match positions in linear time.
     """
     def runs(texts: pa.Array) -> pa.Array:
+        listed = texts.to_pylist()
+        found = find_runs(listed, lengths, filled)
         grams, starts, stops, covered, offsets = [], [], [], [], [0]
-        for text in texts.to_pylist():
-            spans = [m.span() for m in _PY_TOKEN.finditer(text)] if text else []
-            tokens = [text[a:b].lower() for a, b in spans]
-            begins = [i for i, t in enumerate(tokens) if zlib.crc32(t.encode()) % _SLOTS in firsts]
-            for n in lengths:
-                for i in begins:
-                    if i + n > len(tokens):
-                        break
+        for number, text in enumerate(listed):
+            if number in found:
+                spans = [m.span() for m in _PY_TOKEN.finditer(text)]
+                for i, n in found[number]:
                     a, b = spans[i][0], spans[i + n - 1][1]
-                    grams.append(" ".join(tokens[i:i + n]))
+                    grams.append(" ".join([text[c:d].lower() for c, d in spans[i:i + n]]))
                     starts.append(a)
                     stops.append(b)
                     covered.append(text[a:b])
@@ -58,10 +195,10 @@ def name_tokens(name: Column) -> Column:
 
 
 def entity_names(entities: DataFrame, search_field: str, min_tokens: int = 2) -> DataFrame:
-    """Distinct searchable names ``(name_key, n_tokens)``: at least ``min_tokens`` tokens."""
+    """Distinct searchable names ``(name_key, n_tokens)``: at least ``min_tokens`` tokens, and one."""
     tokens = name_tokens(F.col(search_field))
     return entities.select(F.array_join(tokens, " ").alias("name_key"), F.size(tokens).alias("n_tokens")) \
-        .where(F.col("n_tokens") >= min_tokens).distinct()
+        .where(F.col("n_tokens") >= max(min_tokens, 1)).distinct()
 
 
 def _grams(names: DataFrame, partial: bool, min_tokens: int) -> DataFrame:
@@ -93,19 +230,19 @@ def detect_annotations(documents: DataFrame, entities: DataFrame, search_field:
                        text: str = "text", partial_match: bool = False, min_tokens: int = 2) -> DataFrame:
     """``(doc_id, start, stop, text, name_key, confidence)`` of every place a name occurs.
 
-    Token runs of the lengths that names have are equi-joined to the names; a
-    partial hit inside a longer hit of the same name is dropped. Names shared by
-    many entities are searched once (see :func:`annotation_entities`).
+    One pass over the texts finds the runs that pass a filter of all names, and an equi
+    join on the run itself settles which are names. A partial hit inside a longer hit
+    of the same name is dropped. Names shared by many entities are searched once (see
+    :func:`annotation_entities`).
     """
     grams = _grams(entity_names(entities, search_field, min_tokens), partial_match, min_tokens)
-    lengths = sorted(r[0] for r in grams.select("n").distinct().collect())
-    if not lengths:
-        lengths = [max(min_tokens, 1)]
-    # The slots of first tokens travel to the tasks; there are at most _SLOTS, whatever the number of names.
-    slot = F.crc32(F.substring_index("gram", " ", 1)) % _SLOTS
-    firsts = frozenset(r[0] for r in grams.select(slot).distinct().collect())
-    # Only the short runs leave the scan: the text itself is neither exploded nor shuffled.
-    runs = documents.select(F.col(doc_id).alias("doc_id"), F.explode(token_runs(lengths, firsts)(F.col(text))).alias("r")).select(
+    counts = {r["n"]: r["count"] for r in grams.groupBy("n").count().collect()}
+    lengths = sorted(counts) or [max(min_tokens, 1)]
+    # A name sets a bit for each power of two in its length and one for the whole: about one bit in 16 is set.
+    wanted = 16 * sum(c * (_level(n) + 2) for n, c in counts.items())
+    filled = _name_filter(grams, min(max(wanted.bit_length(), _BITS_MIN), _BITS_MAX))
+    # Only the runs leave the scan: the text itself is neither exploded nor shuffled.
+    runs = documents.select(F.col(doc_id).alias("doc_id"), F.explode(token_runs(lengths, filled)(F.col(text))).alias("r")).select(
         "doc_id", "r.gram", "r.start", "r.stop", "r.text"
     )
     hits = runs.join(grams.select("gram", "name_key", "confidence"), "gram")

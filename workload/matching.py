@@ -59,24 +59,27 @@ def entity_match_supervised(spark, sf):
 
 
 def _entities(spark, sf):
-    """The first three words of every benchmark text as a searchable name."""
-    words = F.regexp_extract_all("text", F.lit(r"(\p{L}+|\p{N}+)"), F.lit(1))
+    """Every sentence of every benchmark text as a searchable name, of two to dozens of words."""
     return table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("entity_id"), F.array_join(F.slice(words, 1, 3), "-").alias("name"))
+        F.col("item_id").alias("entity_id"), F.explode(F.split("text", "[.!?\n]")).alias("name"))
 
 
 _TOKENS = r"(\p{L}+|\p{N}+)"
-_HITS = f"""WITH ent AS (
-  SELECT item_id AS entity_id, array_to_string(list_transform(regexp_extract_all(text, '{_TOKENS}')[1:3], lambda x: lower(x)), ' ') AS name_key FROM benchmark),
-names AS (SELECT DISTINCT name_key FROM ent),
-doc AS (SELECT doc_id, text, regexp_extract_all(text, '{_TOKENS}') AS t, regexp_split_to_array(text, '{_TOKENS}') AS g FROM documents),
-gram AS (SELECT doc_id, text, t, g, unnest(range(1, len(t) - 1)) AS i FROM doc),
-hit AS (SELECT doc_id, text, t, g, i, n.name_key FROM gram JOIN names n
-        ON n.name_key = lower(t[i]) || ' ' || lower(t[i + 1]) || ' ' || lower(t[i + 2])),
+_FOLDED = f"list_transform(regexp_extract_all(%s, '{_TOKENS}'), lambda x: lower(x))"
+_NAMES = f"""ent AS (
+  SELECT item_id AS entity_id, {_FOLDED % 's'} AS toks
+  FROM (SELECT item_id, unnest(regexp_split_to_array(text, '[.!?\n]')) AS s FROM benchmark)),
+names AS (SELECT DISTINCT toks, array_to_string(toks, ' ') AS name_key, len(toks) AS n FROM ent WHERE len(toks) >= 2),
+doc AS (SELECT row_number() OVER () AS d, doc_id, text, {_FOLDED % 'text'} AS l FROM documents),
+place AS (SELECT d, l, unnest(range(1, len(l))) AS i FROM doc),
+spot AS (SELECT d, i, l[i] || ' ' || l[i + 1] AS pair FROM place)"""
+_HITS = f"""WITH {_NAMES},
+hit AS (SELECT doc_id, text, i, name_key, n, regexp_extract_all(text, '{_TOKENS}') AS t, regexp_split_to_array(text, '{_TOKENS}') AS g
+        FROM spot JOIN names ON pair = toks[1] || ' ' || toks[2] JOIN doc USING (d) WHERE l[i:i + n - 1] = toks),
 placed AS (SELECT *, coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
                    + coalesce(list_sum(list_transform(t[1:i - 1], lambda x: length(x))), 0) AS start,
-                  list_sum(list_transform(t[i:i + 2], lambda x: length(x)))
-                   + list_sum(list_transform(g[i + 1:i + 2], lambda x: length(x))) AS span FROM hit)
+                  list_sum(list_transform(t[i:i + n - 1], lambda x: length(x)))
+                   + list_sum(list_transform(g[i + 1:i + n - 1], lambda x: length(x))) AS span FROM hit)
 """
 
 
@@ -89,7 +92,7 @@ def annotate_text(spark, sf):
 
 
 @query("annotate_entities", _HITS + """
-SELECT e.entity_id, count(*) AS hits, count(DISTINCT doc_id) AS documents FROM placed p JOIN ent e ON e.name_key = p.name_key GROUP BY 1""")
+SELECT e.entity_id, count(*) AS hits, count(DISTINCT doc_id) AS documents FROM placed p JOIN ent e ON array_to_string(e.toks, ' ') = p.name_key GROUP BY 1""")
 def annotate_entities(spark, sf):
     entities = _entities(spark, sf)
     hits = detect_annotations(table(spark, sf, "documents"), entities, "name")
@@ -97,18 +100,18 @@ def annotate_entities(spark, sf):
         F.count(F.lit(1)).alias("hits"), F.countDistinct("doc_id").alias("documents"))
 
 
-@query("annotate_partial", f"""WITH full_names AS (
-  SELECT DISTINCT array_to_string(list_transform(regexp_extract_all(text, '{_TOKENS}')[1:3], lambda x: lower(x)), ' ') AS name_key FROM benchmark),
-pair AS (SELECT name_key, split_part(name_key, ' ', i) || ' ' || split_part(name_key, ' ', i + 1) AS gram FROM full_names, (VALUES (1), (2)) v(i)),
-single AS (SELECT gram, min(name_key) AS name_key FROM (SELECT DISTINCT gram, name_key FROM pair) GROUP BY gram HAVING count(*) = 1),
-doc AS (SELECT doc_id, list_transform(regexp_extract_all(text, '{_TOKENS}'), lambda x: lower(x)) AS t FROM documents),
-spot AS (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM doc),
-whole AS (SELECT doc_id, i, n.name_key FROM spot JOIN full_names n ON i + 2 <= len(t) AND n.name_key = t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]),
-part AS (SELECT doc_id, i, s.name_key FROM spot JOIN single s ON s.gram = t[i] || ' ' || t[i + 1]),
-hits AS (SELECT doc_id, name_key, 1.0::DOUBLE AS confidence FROM whole
-  UNION ALL SELECT p.doc_id, p.name_key, 2.0::DOUBLE / 3 FROM part p WHERE NOT EXISTS (
-    SELECT 1 FROM whole w WHERE w.doc_id = p.doc_id AND w.name_key = p.name_key AND p.i BETWEEN w.i AND w.i + 1))
-SELECT doc_id, name_key, round(confidence, 6) AS confidence, count(*) AS n FROM hits GROUP BY ALL""")
+@query("annotate_partial", f"""WITH {_NAMES},
+size AS (SELECT *, unnest(range(2, n)) AS m FROM names),
+part AS (SELECT *, unnest(range(1, n - m + 2)) AS k FROM size),
+run AS (SELECT DISTINCT name_key, n, m, toks[k:k + m - 1] AS r FROM part),
+single AS (SELECT r, any_value(m) AS m, any_value(name_key) AS name_key, any_value(n) AS n FROM run GROUP BY r HAVING count(*) = 1),
+searched AS (SELECT toks AS r, n AS m, name_key, 1.0::DOUBLE AS confidence FROM names
+  UNION ALL SELECT r, m, name_key, m / n FROM single WHERE r NOT IN (SELECT toks FROM names)),
+found AS (SELECT d, doc_id, i, i + m AS stop, name_key, confidence
+  FROM spot JOIN searched ON pair = r[1] || ' ' || r[2] JOIN doc USING (d) WHERE l[i:i + m - 1] = r)
+SELECT doc_id, name_key, round(confidence, 6) AS confidence, count(*) AS n FROM (
+  SELECT *, max(stop) OVER (PARTITION BY d, name_key ORDER BY i, stop DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM found)
+WHERE reach IS NULL OR stop > reach GROUP BY ALL""")
 def annotate_partial(spark, sf):
     hits = detect_annotations(table(spark, sf, "documents"), _entities(spark, sf), "name", partial_match=True)
     return hits.groupBy("doc_id", "name_key", F.round("confidence", 6).alias("confidence")).agg(F.count(F.lit(1)).alias("n"))
