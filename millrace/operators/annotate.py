@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,6 @@ import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 _TOKEN = r"(\p{L}+|\p{N}+)"
-_PY_TOKEN = regex.compile(r"\p{L}+|\p{N}+")
 
 _GRAMS = T.ArrayType(T.StructType([
     T.StructField("gram", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -20,28 +19,53 @@ _GRAMS = T.ArrayType(T.StructType([
 
 # The filter that tasks get has at least 2^20 and at most 2^26 bits (8 MB), whatever the number of names.
 _BITS_MIN, _BITS_MAX = 20, 26
-# Texts are searched together until they hold this many tokens; a longer text is searched whole.
-_CHUNK_TOKENS = 1 << 16
-_REMEMBERED = 1 << 20
+# Texts are searched together until they hold this many characters; a longer text is searched whole.
+_CHUNK = 1 << 18
+_NONE, _LETTER, _NUMBER = 0, 1, 2
 _LEFT, _RIGHT, _SIZE, _PREFIX = (np.uint64(c) for c in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
 
 
-class _Folded(dict):
-    """Hashes of folded tokens, remembered by spelling."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        value = self[token] = zlib.crc32(token.lower().encode())
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * _RIGHT
     return x ^ (x >> np.uint64(32))
 
 
+@lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point its kind and the folded code point that stands for it in hashes."""
+    texts = ["\ufffd" if 0xD800 <= c < 0xE000 else chr(c) for c in range(0x110000)]
+    every = "".join(texts)
+    kinds = np.zeros(len(every), np.uint8)
+    for kind, pattern in (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"):
+        for m in regex.finditer(pattern, every):
+            kinds[m.start():m.end()] = kind
+    folded = np.array([ord(t.lower()[0]) for t in texts], np.uint32)
+    folded[ord("\u03c2")] = ord("\u03c3")  # how a sigma is folded depends on its place in the token
+    return kinds, folded[folded]
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def _tokens(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hash, begin, end)`` of every run of letters or of numbers; the hash is that of the folded run."""
+    kinds, folded = _characters()
+    kind = np.zeros(len(codes) + 2, np.uint8)
+    kind[1:-1] = kinds[codes]
+    change = kind[1:] != kind[:-1]
+    begin = np.flatnonzero(change[:-1] & (kind[1:-1] != _NONE))
+    end = np.flatnonzero(change[1:] & (kind[1:-1] != _NONE)) + 1
+    if not len(begin):
+        return np.zeros(0, np.uint64), begin, end
+    inside = np.flatnonzero(kind[1:-1] != _NONE)
+    first = np.cumsum(end - begin) - (end - begin)
+    place = (np.arange(len(inside)) - np.repeat(first, end - begin)).astype(np.uint64)
+    values = _mixed(folded[codes[inside]].astype(np.uint64) * _LEFT + place * _SIZE)
+    return np.add.reduceat(values, first), begin, end
+
+
 def _level(n: int) -> int:
     """The largest power of two (its exponent) not above ``n``."""
     return n.bit_length() - 1
@@ -66,20 +90,22 @@ def _prefix_hash(levels: list[np.ndarray], at: np.ndarray, k: int) -> np.ndarray
     return _mixed(levels[k][at] ^ _PREFIX)
 
 
-def _name_hashes(tokens: list[list[str]]) -> Iterator[np.ndarray]:
-    """Per name the hashes of its prefixes of 1, 2, 4, ... tokens and of the whole."""
-    folded = _Folded()
-    for name in tokens:
-        levels = _levels(np.array([folded[t] for t in name], np.uint64), len(name))
-        first = np.zeros(1, np.int64)
-        yield np.concatenate([_prefix_hash(levels, first, k) for k in range(_level(len(name)) + 1)]
-                             + [_run_hash(levels, first, len(name))])
+def _name_hashes(names: list[str]) -> Iterator[np.ndarray]:
+    """Per name (tokens joined by a blank) the hashes of its prefixes of 1, 2, 4, ... tokens and of the whole."""
+    kinds, first = _characters()[0], np.zeros(1, np.int64)
+    for name in names:
+        codes = _codes(name)
+        # Folding may add marks to a letter; they are no part of a token in a text.
+        tokens = _tokens(codes[(kinds[codes] != _NONE) | (codes == ord(" "))])[0]
+        levels = _levels(tokens, len(tokens))
+        yield np.concatenate([_prefix_hash(levels, first, k) for k in range(_level(len(tokens)) + 1)]
+                             + [_run_hash(levels, first, len(tokens))])
 
 
 def name_slots(bits: int):
     """UDF: the slots of the filter of ``2 ** bits`` bits that a name (tokens joined by a blank) sets."""
     def slots(names: pa.Array) -> pa.Array:
-        found = list(_name_hashes([n.split(" ") for n in names.to_pylist()]))
+        found = list(_name_hashes(names.to_pylist()))
         offsets = np.cumsum([0] + [len(f) for f in found])
         values = np.concatenate(found) if found else np.zeros(0, np.uint64)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array((values >> np.uint64(64 - bits)).astype(np.int64)))
@@ -128,33 +154,37 @@ def _places(tokens: np.ndarray, ends: np.ndarray, lengths: Sequence[int], filled
     return found
 
 
-def _chunks(texts: list[str | None], size: int) -> Iterator[tuple[list[int], list[int], list[int]]]:
-    """``(text numbers, first token of each text, token hashes)`` of consecutive texts of about ``size`` tokens."""
-    folded = _Folded()
-    numbers, begins, hashes = [], [], []
+def _chunks(texts: list[str | None], size: int) -> Iterator[tuple[list[int], list[str]]]:
+    """``(text numbers, texts)`` of consecutive texts of about ``size`` characters."""
+    numbers, held, total = [], [], 0
     for number, text in enumerate(texts):
         if not text:
             continue
         numbers.append(number)
-        begins.append(len(hashes))
-        hashes += [folded[t] for t in _PY_TOKEN.findall(text)]
-        if len(hashes) >= size:
-            yield numbers, begins, hashes
-            numbers, begins, hashes = [], [], []
-    if hashes:
-        yield numbers, begins, hashes
+        held.append(text)
+        total += len(text)
+        if total >= size:
+            yield numbers, held
+            numbers, held, total = [], [], 0
+    if held:
+        yield numbers, held
 
 
 def find_runs(texts: list[str | None], lengths: Sequence[int], filled: np.ndarray,
-              size: int = _CHUNK_TOKENS) -> dict[int, list[tuple[int, int]]]:
-    """Per text number the ``(token, n)`` of runs that the filter lets pass; some may be no name."""
-    found: dict[int, list[tuple[int, int]]] = {}
-    for numbers, begins, hashes in _chunks(texts, size):
-        starts = np.array(begins + [len(hashes)])
+              size: int = _CHUNK) -> dict[int, list[tuple[int, list[tuple[int, int]]]]]:
+    """Per text number ``(token, spans of the run's tokens)`` of runs that the filter lets pass; some may be no name."""
+    found: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}
+    for numbers, held in _chunks(texts, size):
+        hashes, begin, end = _tokens(_codes("\n".join(held)))
+        if not len(hashes):
+            continue
+        offsets = np.cumsum([0] + [len(t) + 1 for t in held])
+        starts = np.searchsorted(begin, offsets)
         ends = np.repeat(starts[1:], np.diff(starts))
-        for at, n in _places(np.array(hashes, np.uint64), ends, lengths, filled):
-            for i, k in zip(at, np.searchsorted(starts, at, "right") - 1):
-                found.setdefault(numbers[k], []).append((int(i - starts[k]), n))
+        for at, n in _places(hashes, ends, lengths, filled):
+            for i, k in zip(at.tolist(), (np.searchsorted(starts, at, "right") - 1).tolist()):
+                spans = zip((begin[i:i + n] - offsets[k]).tolist(), (end[i:i + n] - offsets[k]).tolist())
+                found.setdefault(numbers[k], []).append((i - int(starts[k]), list(spans)))
     return found
 
 
@@ -171,14 +201,12 @@ def token_runs(lengths: Sequence[int], filled: np.ndarray):
         found = find_runs(listed, lengths, filled)
         grams, starts, stops, covered, offsets = [], [], [], [], [0]
         for number, text in enumerate(listed):
-            if number in found:
-                spans = [m.span() for m in _PY_TOKEN.finditer(text)]
-                for i, n in found[number]:
-                    a, b = spans[i][0], spans[i + n - 1][1]
-                    grams.append(" ".join([text[c:d].lower() for c, d in spans[i:i + n]]))
-                    starts.append(a)
-                    stops.append(b)
-                    covered.append(text[a:b])
+            for _, spans in found.get(number, ()):
+                a, b = spans[0][0], spans[-1][1]
+                grams.append(" ".join([text[c:d].lower() for c, d in spans]))
+                starts.append(a)
+                stops.append(b)
+                covered.append(text[a:b])
             offsets.append(len(grams))
         cells = pa.StructArray.from_arrays(
             [pa.array(grams, pa.string()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()),

@@ -70,7 +70,8 @@ def test_filter_bounds_and_chunks(spark):
     want = {(d, i, n) for d, t in enumerate(tokens) for n in (3, 9, 17) for i in range(len(t) - n + 1) if tuple(t[i:i + n]) in keys}
     for size in (1, 7, 100, 1 << 16):
         found = find_runs([None, *texts, ""], (3, 9, 17), filled, size)
-        got = {(d - 1, i, n) for d, hits in found.items() for i, n in hits}
+        got = {(d - 1, i, len(spans)) for d, hits in found.items() for i, spans in hits}
+        assert all(spans[0] == [m.span() for m in TOKEN.finditer(texts[d - 1])][i] for d, hits in found.items() for i, spans in hits)
         assert want <= got and len(got - want) <= 2
 
 
@@ -84,3 +85,14 @@ def test_full_filter_changes_no_result(spark, rows, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     hits = detect_annotations(docs, spark.createDataFrame([(n,) for n in names], "name string"), "name")
     assert rows(hits, "doc_id", "start", "stop", "text", "name_key") == _brute(texts, names, 2)
+
+
+def test_folding_beyond_ascii(spark, rows):
+    """Letters whose folding depends on their place or adds a mark, wide characters, letters next to numbers."""
+    docs = spark.createDataFrame(
+        [(1, "\U0001F600 \u039f\u0394\u039f\u03a3 12\u0130X!"), (2, "\u03bf\u03b4\u03bf\u03c2-12 i\u0307x"), (3, "\U00020000\U00020001, A\u00c5 \u216f")],
+        "doc_id int, text string")
+    entities = spark.createDataFrame(
+        [("\u03bf\u03b4\u03bf\u03c2 12",), ("12 \u0130x",), ("\U00020000\U00020001/a\u00e5",), ("\u00e1 a",), ("A\u00c5_\u217f",)], "name string")
+    hits = detect_annotations(docs, entities, "name")
+    assert rows(hits, "doc_id", "start", "stop") == [(1, 2, 9), (1, 7, 11), (2, 0, 7), (3, 0, 6), (3, 4, 8)]
