@@ -10,6 +10,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from millrace.lineage import materialize
+
 _TOKEN = r"(\p{L}+|\p{N}+)"
 
 _GRAMS = T.ArrayType(T.StructType([
@@ -90,25 +92,38 @@ def _prefix_hash(levels: list[np.ndarray], at: np.ndarray, k: int) -> np.ndarray
     return _mixed(levels[k][at] ^ _PREFIX)
 
 
-def _name_hashes(names: list[str]) -> Iterator[np.ndarray]:
-    """Per name (tokens joined by a blank) the hashes of its prefixes of 1, 2, 4, ... tokens and of the whole."""
-    kinds, first = _characters()[0], np.zeros(1, np.int64)
-    for name in names:
-        codes = _codes(name)
-        # Folding may add marks to a letter; they are no part of a token in a text.
-        tokens = _tokens(codes[(kinds[codes] != _NONE) | (codes == ord(" "))])[0]
-        levels = _levels(tokens, len(tokens))
-        yield np.concatenate([_prefix_hash(levels, first, k) for k in range(_level(len(tokens)) + 1)]
-                             + [_run_hash(levels, first, len(tokens))])
+def _name_hashes(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``(names, hashes)``: for each name (tokens joined by a blank), by its number, those of its prefixes
+    of 1, 2, 4, ... tokens and of the whole."""
+    if not names:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    codes = _codes("\n".join(names))
+    # Folding may add marks to a letter; they are no part of a token in a text.
+    codes = codes[(_characters()[0][codes] != _NONE) | (codes == ord(" ")) | (codes == ord("\n"))]
+    tokens, begin, _ = _tokens(codes)
+    lines = np.flatnonzero(codes == ord("\n"))
+    first = np.searchsorted(begin, np.concatenate([[0], lines]))
+    sizes = np.diff(np.append(first, len(tokens)))
+    levels = _levels(tokens, int(sizes.max()))
+    owners, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for k in range(_level(int(sizes.max())) + 1):
+        own = np.flatnonzero(sizes >= 1 << k)
+        owners.append(own)
+        hashes.append(_prefix_hash(levels, first[own], k))
+    for n in np.unique(sizes[sizes > 0]).tolist():
+        own = np.flatnonzero(sizes == n)
+        owners.append(own)
+        hashes.append(_run_hash(levels, first[own], n))
+    return np.concatenate(owners), np.concatenate(hashes)
 
 
 def name_slots(bits: int):
     """UDF: the slots of the filter of ``2 ** bits`` bits that a name (tokens joined by a blank) sets."""
     def slots(names: pa.Array) -> pa.Array:
-        found = list(_name_hashes(names.to_pylist()))
-        offsets = np.cumsum([0] + [len(f) for f in found])
-        values = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array((values >> np.uint64(64 - bits)).astype(np.int64)))
+        owners, hashes = _name_hashes(names.to_pylist())
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(names)))])
+        values = (hashes[np.argsort(owners, kind="stable")] >> np.uint64(64 - bits)).astype(np.int64)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
     slots.__annotations__ = {"names": pa.Array, "return": pa.Array}
     return F.arrow_udf(slots, T.ArrayType(T.LongType()))
@@ -264,6 +279,8 @@ def detect_annotations(documents: DataFrame, entities: DataFrame, search_field:
     :func:`annotation_entities`).
     """
     grams = _grams(entity_names(entities, search_field, min_tokens), partial_match, min_tokens)
+    if partial_match:
+        grams = materialize(grams, "names")  # read three times
     counts = {r["n"]: r["count"] for r in grams.groupBy("n").count().collect()}
     lengths = sorted(counts) or [max(min_tokens, 1)]
     # A name sets a bit for each power of two in its length and one for the whole: about one bit in 16 is set.
