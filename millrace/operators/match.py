@@ -136,18 +136,19 @@ def _scored_pairs(sources: DataFrame, targets: DataFrame, threshold: float, limi
     return pairs.where(first).select("_sf", "_tf", _dot("_sv", "_tw").alias("score")).where(_reaches(threshold))
 
 
-# Tokens of more names than this are common; a name has at most so many common tokens.
-_COMMON_DF, _COMMON_PER_NAME = 128, 8
+# Tokens of more names than this are common. At most so many names may hold more common tokens than so
+# many: beyond, the limit rises.
+_COMMON_DF, _COMMON_PER_NAME, _LONG_NAMES = 128, 8, 1024
 
 
 def _common_limit(vectors: DataFrame) -> tuple[int, bool]:
     """The number of names above which a token is common, and whether any token is."""
     df_from_top = lambda i: F.get("_vec", F.size("_vec") - 1 - i)["df"]
-    row = vectors.agg(
-        F.max(df_from_top(_COMMON_PER_NAME)).alias("beyond"), F.max(df_from_top(0)).alias("most")
-    ).first()
-    limit = max(_COMMON_DF, row["beyond"] or 0)
-    return limit, (row["most"] or 0) > limit
+    beyond = vectors.select(df_from_top(_COMMON_PER_NAME).alias("df")).where(F.col("df") > _COMMON_DF)
+    long_names = beyond.orderBy(F.desc("df")).limit(_LONG_NAMES + 1).collect()
+    limit = long_names[-1]["df"] if len(long_names) > _LONG_NAMES else _COMMON_DF
+    most = vectors.agg(F.max(df_from_top(0))).first()[0]
+    return limit, (most or 0) > limit
 
 
 def _subsets(entries: Column) -> Column:
@@ -158,40 +159,60 @@ def _subsets(entries: Column) -> Column:
     return F.filter(grown, lambda a: a != "")
 
 
-def _common_pairs(sources: DataFrame, targets: DataFrame, lowest: DataFrame, limit: int, k: int, threshold: float) -> DataFrame:
-    """The pairs that share common tokens only and can be among a source's ``k`` best.
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written with a number per row."""
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "match")
 
-    Targets that hold one set of common tokens equally often differ, for any source
-    sharing just that set, by their norm alone. So per set the ``k`` targets of least
-    norm are enough, and no posting list of a common token is ever paired up.
-    ``lowest`` is ``(_features, target_id)`` with the lowest id of each target name.
+
+def _common_pairs(sources: DataFrame, targets: DataFrame, copies: DataFrame, limit: int, k: int, threshold: float) -> DataFrame:
+    """``(_sf, target_id, score)``: the ``k`` best of each source by its common tokens alone.
+
+    Names that hold the same common tokens at the same weight score alike, so sources and targets
+    meet as classes, and copies of a class cost nothing. Of targets that hold one set of common tokens
+    equally often the ``k`` of least norm are enough. A source does not know which of its tokens a target
+    holds, so it looks up all choices of them; classes of too many common tokens for that are met
+    token by token. A pair that shares a rare token as well scores less here than by all its tokens.
+    ``copies`` is ``(_tf, target_id)`` with the lowest ids of each target name.
     """
     variant = lambda token, n: F.concat(token, F.lit("\u0003"), n.cast("string"))
-    common = lambda df: df.select("*", F.filter("_vec", lambda e: e["df"] > limit).alias("_common"))
-    t = common(targets).where(F.size("_common") > 0)
-    own = F.transform("_common", lambda e: F.array(variant(e["token"], e["n"])))
-    best = W.partitionBy("key").orderBy(F.round("_norm", 12), "target_id")
-    kept = (
-        t.join(lowest, "_features").select("_features", "_norm", "target_id", F.explode(_subsets(own)).alias("key"))
-        .withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
-        .select("key", F.col("_features").alias("_tf"))
-    )
+    fields = ("df", "token", "w", "n")
+    common = F.transform(F.filter("_vec", lambda e: e["df"] > limit), lambda e: F.struct(*(e[f].alias(f) for f in fields)))
+    holding = lambda df: df.withColumn("_common", common).where(F.size("_common") > 0)
+    of_set = W.partitionBy("_set").orderBy(F.round("_norm", 12), "target_id")
+    kept = _numbered(
+        holding(targets).select(F.col("_features").alias("_tf"), "_norm", "_common", F.transform(
+            "_common", lambda e: variant(e["token"], e["n"])).alias("_set")).join(copies, "_tf").drop("_tf")
+        .withColumn("_n", F.row_number().over(of_set)).where(F.col("_n") <= k).drop("_n"), "_kept")
+    members = holding(sources).select(F.col("_features").alias("_sf"), "_common")
+    classes = _numbered(members.select("_common").distinct(), "_class")
+
+    short = F.size("_common") <= _COMMON_PER_NAME
+    of_key = W.partitionBy("key").orderBy(F.round("_norm", 12), "target_id")
+    own = F.transform("_set", lambda v: F.array(v))
+    offered = kept.where(short).select("_kept", "_norm", "target_id", F.explode(_subsets(own)).alias("key")) \
+        .withColumn("_n", F.row_number().over(of_key)).where(F.col("_n") <= k).select("key", "_kept")
     # A source does not know how often a target holds a token: it tries every count in use.
-    counts = t.select(F.explode("_common").alias("e")).groupBy(F.col("e.token").alias("token")).agg(
-        F.sort_array(F.collect_set(variant(F.col("e.token"), F.col("e.n")))).alias("variants")
-    )
-    s = common(sources).select("_features", F.explode("_common").alias("e")).select(
-        "_features", F.col("e.df").alias("df"), F.col("e.token").alias("token"))
-    offers = s.join(counts, "token").groupBy("_features").agg(
+    counts = kept.select(F.explode("_common").alias("e")).groupBy(F.col("e.token").alias("token")).agg(
+        F.sort_array(F.collect_set(variant(F.col("e.token"), F.col("e.n")))).alias("variants"))
+    wanted = classes.where(short).select("_class", F.explode("_common").alias("e")).select(
+        "_class", F.col("e.df").alias("df"), F.col("e.token").alias("token"))
+    offers = wanted.join(counts, "token").groupBy("_class").agg(
         F.array_sort(F.collect_list(F.struct("df", "token", "variants"))).alias("_offers"))
-    keys = offers.select(
-        F.col("_features").alias("_sf"), F.explode(_subsets(F.transform("_offers", lambda o: o["variants"]))).alias("key"))
-    pairs = keys.join(kept, "key").select("_sf", "_tf").distinct()
-    rare = F.transform(F.filter("_vec", lambda e: e["df"] <= limit), lambda e: e["token"])
-    left = sources.select(F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), rare.alias("_sr"))
-    right = targets.select(F.col("_features").alias("_tf"), _weight_map(F.col("_vec")).alias("_tw"), rare.alias("_tr"))
-    met = pairs.join(left, "_sf").join(right, "_tf").where(~F.arrays_overlap("_sr", "_tr"))
-    return met.select("_sf", "_tf", _dot("_sv", "_tw").alias("score")).where(_reaches(threshold))
+    keys = offers.select("_class", F.explode(_subsets(F.transform("_offers", lambda o: o["variants"]))).alias("key"))
+    pairs = keys.join(offered, "key").select("_class", "_kept")
+    each = lambda df, number: df.select(number, short.alias(f"{number}_short"), F.explode("_common").alias("e")).select(
+        number, f"{number}_short", F.col("e.token").alias("token"))
+    by_token = each(classes, "_class").join(each(kept, "_kept"), "token").where(
+        ~(F.col("_class_short") & F.col("_kept_short")))
+    pairs = pairs.unionByName(by_token.select("_class", "_kept")).distinct()
+
+    held = kept.select("_kept", "target_id", _weight_map(F.col("_common")).alias("_tw"))
+    scored = pairs.join(classes, "_class").join(held, "_kept").select(
+        "_class", "target_id", F.round(_dot("_common", "_tw"), 9).alias("score"))
+    best = W.partitionBy("_class").orderBy(F.desc("score"), "target_id")
+    ranked = scored.where(_reaches(threshold)).withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
+    top = materialize(classes.join(ranked.drop("_n"), "_class").drop("_class"), "match")
+    return members.join(top, "_common").select("_sf", "target_id", "score")
 
 
 @dataclass(frozen=True)
@@ -237,6 +258,12 @@ def _top(scored: DataFrame, copies: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _merged_top(found: DataFrame, more: DataFrame, k: int) -> DataFrame:
+    """Best ``k`` of two findings of ``(_sf, target_id, score)``; a pair in both counts with its larger score."""
+    both = found.unionByName(more).repartition("_sf").groupBy("_sf", "target_id").agg(F.max("score").alias("score"))
+    return both.withColumn("rank", F.row_number().over(_ranked())).where(F.col("rank") <= k)
+
+
 def _by_band(open_sources: DataFrame, find, k: int, bands: Sequence[float]) -> DataFrame:
     """Run ``find(open sources, band) -> (top rows, certain score)`` down the bands.
 
@@ -271,7 +298,7 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
 
     Equal names are matched once: the work runs on distinct feature lists, so copies
     cost one row. Pairs that share a rare token are found by it; pairs that share
-    common tokens only by :func:`_common_pairs`. The result is exact.
+    common tokens only by :func:`_common_pairs`, class by class. The result is exact.
     """
     s = _texts(sources, model.source_fields, model.feature_type, model.ignore_missing)
     t = _texts(targets, model.target_fields, model.feature_type, model.ignore_missing)
@@ -305,9 +332,8 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
         ).drop("score")
         unsettled = materialize(unsettled, "match")
         if not unsettled.isEmpty():
-            more = _common_pairs(unsettled, t_vectors, lowest, limit, num_matches, score_threshold)
-            both = best.unionByName(_top(more, copies, num_matches)).drop("rank")
-            best = both.withColumn("rank", F.row_number().over(_ranked())).where(F.col("rank") <= num_matches)
+            more = _common_pairs(unsettled, t_vectors, copies, limit, num_matches, score_threshold)
+            best = _merged_top(best.drop("rank"), more, num_matches)
     by_source = s.join(best.withColumnRenamed("_sf", "_features"), "_features")
     return by_source.select("source_id", "target_id", "score", "rank")
 

@@ -95,6 +95,25 @@ def test_supervised_learns_case_and_zeros(spark, rows):
     assert sum(a == b for a, b in got) >= 36 and len(got) == 40
 
 
+def _plain(spark, count):
+    """Names of common tokens and a number each; the first is long."""
+    words = [f"plant-line-{'ab'[i % 2]}-{i}" + ("-plant2-line3-a4-b5" if i == 0 else "") for i in range(count)]
+    return spark.createDataFrame(list(enumerate(words)), "id int, name string")
+
+
+@pytest.mark.parametrize("kind", ["insensitive", "bigram"])
+def test_few_long_names_leave_common_tokens_common(spark, rows, monkeypatch, kind):
+    names, model = _plain(spark, 24), MatchModel(("name",), ("name",), kind)
+    want = rows(match_pairs(names, names, model, 3))
+    monkeypatch.setattr(match, "_COMMON_DF", 4)
+    monkeypatch.setattr(match, "_COMMON_PER_NAME", 2)
+    limits, plain = [], match._common_limit
+    monkeypatch.setattr(match, "_common_limit", lambda v: limits.append(plain(v)) or limits[-1])
+    monkeypatch.setattr(match, "_LONG_NAMES", 1024, raising=False)
+    assert rows(match_pairs(names, names, model, 3)) == want
+    assert limits == [(4, True)]
+
+
 def test_annotations(frame, rows):
     docs = frame("doc_id int, text string", (1, "See pump 23-DB-9101, and 23_db_9101!"), (2, "23 DB only; 9101"), (3, None), (4, ""))
     entities = frame("id int, name string", (1, "23-DB-9101"), (2, "23 db 9101"), (3, "pump"), (4, "23-XX-77"))
