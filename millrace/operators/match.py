@@ -405,9 +405,10 @@ def predict_supervised(fitted, sources: DataFrame, targets: DataFrame, model: Ma
                        score_threshold: float = 0.0) -> DataFrame:
     """As :func:`match_pairs`, scored by the fitted model.
 
-    A band holds every pair in which some similarity reaches it. With coefficients
-    that are not negative, any other pair scores below the model's value at the band,
-    so sources above that value are settled. Pairs without a shared token never match.
+    Pairs that share a rare token of any similarity are scored one by one. What a pair scores by common
+    tokens depends only on these and on the numbers of tokens, so names equal in both are a class, and
+    classes meet in place of names. Sources that have better matches than their common tokens could
+    give leave before. Pairs without a shared token never match.
     """
     regression = fitted.stages[-1]
     base = float(regression.intercept)
@@ -415,41 +416,72 @@ def predict_supervised(fitted, sources: DataFrame, targets: DataFrame, model: Ma
     weights = {k: float(c) for k, c in zip(_SIMILARITIES, regression.coefficients) if c > 0}
     if not weights:
         raise ValueError("the model tells no pair from another; give more true matches")
-    s = materialize(_named(sources, model.source_fields, "source"), "match")
-    t = materialize(_named(targets, model.target_fields, "target"), "match")
-    s_names, t_names = s.select("_name").distinct(), t.select("_name").distinct()
-
-    def vectors(names, kind, weigh):
-        feats = names.withColumn("_features", F.array_sort(F.array_distinct(name_features(F.col("_name"), kind))))
-        feats = feats.where(F.size("_features") > 0)
-        return feats, materialize(_vectors(feats.select("_features").distinct(), weigh), "match")
-
-    sides = {}
-    for kind in weights:
-        every = s_names.unionByName(t_names).distinct().select(
-            F.array_sort(F.array_distinct(name_features(F.col("_name"), kind))).alias("_features")).distinct()
-        weigh = materialize(_weights(every, "simple"), "match")
-        sides[kind] = vectors(s_names, kind, weigh), vectors(t_names, kind, weigh)
-    copies = _lowest_ids(t.withColumnRenamed("_name", "_features"), num_matches)
+    kinds = list(weights)
 
-    def find(open_sources, band):
-        near = None
-        for kind, ((s_feats, s_vec), (t_feats, t_vec)) in sides.items():
-            still = s_feats.join(open_sources.withColumnRenamed("_features", "_name"), "_name", "left_semi")
-            wanted = s_vec.join(still.select("_features").distinct(), "_features", "left_semi")
-            hits = _scored_pairs(wanted, t_vec, band).select("_sf", "_tf")
-            hits = hits.join(still.select(F.col("_features").alias("_sf"), F.col("_name").alias("_sn")), "_sf")
-            hits = hits.join(t_feats.select(F.col("_features").alias("_tf"), F.col("_name").alias("_tn")), "_tf")
-            part = hits.select(F.col("_sn").alias("_sf"), F.col("_tn").alias("_tf"))
-            near = part if near is None else near.unionByName(part)
-        sims = near.distinct().select("_sf", "_tf", *_similarities("_sf", "_tf", weights))
+    def score(similarities: dict[str, Column]) -> Column:
         linear = F.lit(base)
         for kind, w in weights.items():
-            linear = linear + F.lit(w) * F.col(f"sim_{kind}")
-        scored = sims.select("_sf", "_tf", (1 / (1 + F.exp(-linear))).alias("score"))
-        certain = 1 / (1 + math.exp(-(base + band * sum(weights.values()))))
-        return _top(scored.where(F.col("score") >= F.lit(score_threshold)), copies, num_matches), certain
+            linear = linear + F.lit(w) * similarities[kind]
+        return 1 / (1 + F.exp(-linear))
 
-    done = _by_band(s_names.withColumnRenamed("_name", "_features"), find, num_matches, [*_BANDS, 0.0])
-    by_source = s.join(done.withColumnRenamed("_sf", "_name"), "_name")
+    s = materialize(_named(sources, model.source_fields, "source"), "match")
+    t = materialize(_named(targets, model.target_fields, "target"), "match")
+    either = s.select("_name", F.lit(True).alias("_s")).unionByName(t.select("_name", F.lit(False).alias("_s")))
+    names = _numbered(either.where(F.col("_name").isNotNull()).groupBy("_name").agg(
+        F.max("_s").alias("_source"), F.min("_s").alias("_only_source")), "_id")
+    tokens = [F.array_distinct(name_features(F.col("_name"), k)) for k in kinds]
+    # The generator keeps the tokens of a name in one place, so they are cut once.
+    cut = materialize(names.select("_id", "_source", "_only_source", F.explode(F.array(F.array(*tokens))).alias("_f")), "match")
+    told = cut.select("_id", "_source", "_only_source", F.transform("_f", F.size).alias("_sizes"), F.posexplode("_f").alias("kind", "_l")) \
+        .select("_id", "_source", "_only_source", "_sizes", "kind", F.explode("_l").alias("token"))
+    # A token of one side only is never shared.
+    df = materialize(told.groupBy("kind", "token").agg(
+        F.count(F.lit(1)).alias("df"), F.max("_source").alias("_s"), F.min("_only_source").alias("_t"))
+        .where(F.col("_s") & ~F.col("_t")).select("kind", "token", "df"), "match")
+    rare = told.join(df.where(F.col("df") <= _COMMON_DF).drop("df"), ["kind", "token"])
+    met = rare.where("_source").select("kind", "token", F.col("_id").alias("_sf")).join(
+        rare.where("NOT _only_source").select("kind", "token", F.col("_id").alias("_tf")), ["kind", "token"])
+    of = lambda number, lists: cut.select(F.col("_id").alias(number), F.col("_f").alias(lists))
+    pairs = met.select("_sf", "_tf").distinct().join(of("_sf", "_sl"), "_sf").join(of("_tf", "_tl"), "_tf")
+    direct = pairs.select("_sf", "_tf", score({
+        k: _set_cosine(F.get("_sl", F.lit(n)), F.get("_tl", F.lit(n))) for n, k in enumerate(kinds)}).alias("score")) \
+        .where(F.col("score") >= F.lit(score_threshold))
+    t_ids = t.join(names.select("_name", "_id"), "_name").select(F.col("_id").alias("_features"), "target_id")
+    best = _top(direct, _lowest_ids(t_ids, num_matches), num_matches)
+
+    best = materialize(best, "match")
+
+    common = told.join(df.where(F.col("df") > _COMMON_DF), ["kind", "token"])
+    by_class = ["_sizes", "_common"]
+    placed = materialize(common.groupBy("_id", "_source", "_only_source", "_sizes").agg(
+        F.array_sort(F.collect_list(F.struct("kind", "token"))).alias("_common")), "match")
+    size = lambda sizes, n: F.get(sizes, F.lit(n)).cast("double")
+    held = lambda n: F.size(F.filter("_common", lambda e: e["kind"] == n)).cast("double")
+    most = score({k: F.coalesce(F.sqrt(F.try_divide(held(n), size("_sizes", n))), F.lit(0.0)) for n, k in enumerate(kinds)})
+    full = best.where(F.col("rank") == num_matches).select(F.col("_sf").alias("_id"), "score")
+    s_members = placed.where("_source").withColumn("_most", most).join(full, "_id", "left").where(
+        (F.col("_most") >= F.lit(score_threshold - 1e-8)) & (F.col("score").isNull() | (F.col("score") <= F.col("_most") + F.lit(1e-8))))
+    s_members, t_members = materialize(s_members.select("_id", *by_class), "match"), placed.where("NOT _only_source")
+    if not s_members.isEmpty():
+        s_classes = _numbered(s_members.select(*by_class).distinct(), "_class")
+        t_classes = _numbered(t_members.select(*by_class).distinct(), "_class")
+        t_of_class = t_members.join(t_classes, by_class).select(F.col("_class").alias("_features"), F.col("_id").alias("_member")) \
+            .join(t_ids.withColumnRenamed("_features", "_member"), "_member").select("_features", "target_id")
+        copies = materialize(_lowest_ids(t_of_class, num_matches), "match")
+        spread = lambda classes, end: classes.select(F.col("_class").alias(f"_{end}f"), F.explode("_common").alias("e")).select(
+            f"_{end}f", "e.kind", "e.token")
+        # Few bytes can mean many pairs, so the split goes by row, not by size.
+        tasks = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shared = spread(s_classes, "s").repartition(tasks, "_sf").join(spread(t_classes, "t"), ["kind", "token"]).groupBy("_sf", "_tf").agg(
+            *(F.count_if(F.col("kind") == n).cast("double").alias(f"_n{n}") for n in range(len(kinds))))
+        sized = lambda classes, end: classes.select(F.col("_class").alias(f"_{end}f"), F.col("_sizes").alias(f"_{end}z"))
+        both = shared.join(sized(s_classes, "s"), "_sf").join(sized(t_classes, "t"), "_tf")
+        cosine = lambda n: F.coalesce(F.try_divide(F.col(f"_n{n}"), F.sqrt(size("_sz", n) * size("_tz", n))), F.lit(0.0))
+        scored = both.select("_sf", "_tf", score({k: cosine(n) for n, k in enumerate(kinds)}).alias("score"))
+        of_class = _top(scored.where(F.col("score") >= F.lit(score_threshold)), copies, num_matches)
+        known = materialize(s_classes.join(of_class.withColumnRenamed("_sf", "_class"), "_class").select(
+            *by_class, "target_id", "score"), "match")
+        more = s_members.join(known, by_class).select(F.col("_id").alias("_sf"), "target_id", "score")
+        best = _merged_top(best.drop("rank"), more, num_matches)
+    by_source = s.join(names.select("_name", F.col("_id").alias("_sf")), "_name").join(best, "_sf")
     return by_source.select("source_id", "target_id", "score", "rank")

@@ -114,6 +114,21 @@ def test_few_long_names_leave_common_tokens_common(spark, rows, monkeypatch, kin
     assert limits == [(4, True)]
 
 
+def test_supervised_meets_common_tokens_by_class(spark, rows, monkeypatch):
+    names, model = _plain(spark, 24), MatchModel(("name",), ("name",))
+    other = names.withColumn("name", F.concat(F.upper("name"), F.lit("-x")))
+    truth = names.where("id % 3 = 0").select(F.col("id").alias("source_id"), F.col("id").alias("target_id"))
+    fitted = fit_supervised(other, names, truth, model)
+    want = rows(predict_supervised(fitted, other, names, model, 4))
+    monkeypatch.setattr(match, "_COMMON_DF", 3)
+
+    def never(*_):
+        raise AssertionError("names are paired by common tokens")
+
+    monkeypatch.setattr(match, "_scored_pairs", never)
+    assert rows(predict_supervised(fitted, other, names, model, 4)) == want
+
+
 def test_annotations(frame, rows):
     docs = frame("doc_id int, text string", (1, "See pump 23-DB-9101, and 23_db_9101!"), (2, "23 DB only; 9101"), (3, None), (4, ""))
     entities = frame("id int, name string", (1, "23-DB-9101"), (2, "23 db 9101"), (3, "pump"), (4, "23-XX-77"))
