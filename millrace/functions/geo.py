@@ -311,6 +311,52 @@ def _bounds(vertices: list) -> tuple[float, float, float, float]:
     return min(xs), min(ys), max(xs), max(ys)
 
 
+def _covered(shape, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``_covers_point`` of many points at once, for a shape of polygons only."""
+    covered = np.zeros(len(x), bool)
+    for rings in shape[2]:
+        border, odd = np.zeros(len(x), bool), np.zeros(len(x), bool)
+        for ax, ay, bx, by in _segments(rings):
+            border |= (_side(ax, ay, bx, by, x, y) == 0) & (min(ax, bx) <= x) & (x <= max(ax, bx)) \
+                & (min(ay, by) <= y) & (y <= max(ay, by))
+            if ay != by:
+                odd ^= ((ay > y) != (by > y)) & (x < ax + (y - ay) * (bx - ax) / (by - ay))
+        covered |= border | odd
+    return covered
+
+
+def _convex(shape) -> bool:
+    """Whether the shape is one polygon without holes that only turns one way, once around."""
+    points, lines, polygons = shape
+    if points or lines or len(polygons) != 1 or len(polygons[0]) != 1:
+        return False
+    ring = polygons[0][0]
+    steps = np.diff(ring, axis=0)
+    steps = steps[(steps != 0).any(axis=1)]
+    if len(steps) < 3 or (ring[0] != ring[-1]).any():
+        return False
+    turns = np.arctan2(*_turn(steps, np.roll(steps, -1, axis=0)))
+    return bool(((turns > 0).all() or (turns < 0).all()) and abs(abs(turns.sum()) - 2 * np.pi) < 1e-6)
+
+
+def _turn(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0], (a * b).sum(axis=1)
+
+
+def within_each(shapes: list, target) -> list[bool]:
+    """``shape_within`` of each shape. A shape with a vertex outside is not within, which is told for all
+    shapes at once; one with all vertices in a convex polygon is."""
+    if target[0] or target[1]:
+        return [shape_within(s, target) for s in shapes]
+    vertices = [_vertices(s) for s in shapes]
+    sizes = np.array([len(v) for v in vertices], int)
+    flat = np.array([p for v in vertices for p in v], float).reshape(-1, 2)
+    owner = np.repeat(np.arange(len(shapes)), sizes)
+    outside = np.bincount(owner[~_covered(target, flat[:, 0], flat[:, 1])], minlength=len(shapes)) > 0
+    convex = _convex(target)
+    return [not out and (convex or shape_within(s, target)) for s, out in zip(shapes, outside.tolist())]
+
+
 def geo_relation(geom: Column, relation: str, shape: dict) -> Column:
     """INTERSECTS, DISJOINT or WITHIN against one literal GeoJSON shape.
 
@@ -327,14 +373,16 @@ def geo_relation(geom: Column, relation: str, shape: dict) -> Column:
         (geom["min_x"] <= max_x) & (geom["max_x"] >= min_x)
         & (geom["min_y"] <= max_y) & (geom["max_y"] >= min_y)
     )
-    test = shape_within if relation == "WITHIN" else shapes_intersect
+    if relation == "WITHIN":  # the whole box of a shape within lies in the box
+        near = (geom["min_x"] >= min_x) & (geom["max_x"] <= max_x) & (geom["min_y"] >= min_y) & (geom["max_y"] <= max_y)
 
     @F.pandas_udf("boolean")
     def exact(kind: pd.Series, coordinates: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if k is None or c is None else test(_parts(k, json.loads(c)), target)
-            for k, c in zip(kind, coordinates)
-        ])
+        given = (kind.notna() & coordinates.notna()).to_numpy()
+        shapes = [_parts(k, json.loads(c)) for k, c in zip(kind[given], coordinates[given])]
+        met = pd.Series([None] * len(kind), dtype=object)
+        met[given] = within_each(shapes, target) if relation == "WITHIN" else [shapes_intersect(s, target) for s in shapes]
+        return met
 
     # Rows away from the box send nulls, so no coordinates are parsed for them.
     hit = exact(F.when(near, geom["type"]), F.when(near, geom["coordinates_json"]))

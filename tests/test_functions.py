@@ -159,3 +159,21 @@ def test_lists_nested_at_any_depth(spark):
     rows = [('{"a":[[[[[{"b":"x ]["}]]]],{"b":1}]}',), ('{"a":{"b":[["y"]]}}',), ("{}",), (None,)]
     df = spark.createDataFrame(rows, "j string").select(struct_strings(F.parse_json("j"), ["a", "b"]).alias("s"))
     assert [r["s"] for r in df.collect()] == [["x ][", "1.0"], ['["y"]'], [], []]
+
+
+def test_within_of_many_shapes_equals_one_by_one():
+    import random
+
+    from millrace.functions.geo import _parts, shape_within, within_each
+
+    rng = random.Random(4)
+    ring = lambda x, y, w, h: [[x, y], [x + w, y], [x + w, y + h], [x, y + h], [x, y]]
+    shapes = [_parts("Point", [rng.randint(-6, 6), rng.randint(-6, 6)]) for _ in range(60)]
+    shapes += [_parts("Polygon", [ring(rng.randint(-6, 4), rng.randint(-6, 4), rng.randint(1, 5), rng.randint(1, 5))]) for _ in range(60)]
+    shapes += [_parts("LineString", [[rng.randint(-6, 6), rng.randint(-6, 6)] for _ in range(3)]) for _ in range(40)]
+    targets = [
+        [[[-5, -4], [5, -4], [0, 6], [-5, -4]]], [[[-5, -5], [5, -5], [5, 5], [0, -2], [-5, 5], [-5, -5]]],
+        [ring(-6, -6, 11, 11), ring(-2, -2, 3, 3)], [ring(-5, -5, 8, 9)]]
+    for rings in targets:
+        target = _parts("Polygon", rings)
+        assert within_each(shapes, target) == [shape_within(s, target) for s in shapes]
