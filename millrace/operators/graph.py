@@ -36,15 +36,12 @@ def with_resources(edges: DataFrame, resources: Mapping[str, DataFrame]) -> Data
     """Attach ``source`` and ``target`` objects (variant); an object that is missing stays null.
 
     ``resources`` maps API type text to a frame with ``external_id``. All types become
-    one node table, so each end is a single left equi join on (type, external id). Only
-    resources that an edge names are encoded and move on.
+    one node table, so each end is a single left equi join on (type, external id). Resources are
+    encoded once each, so the edges move for their two joins only.
     """
-    ends = edges.select(F.col("source_type").alias("_type"), F.col("source_external_id").alias("_end")).union(
-        edges.select("target_type", "target_external_id")).distinct()
     nodes = None
     for kind, df in resources.items():
-        named = ends.where(F.col("_type") == kind).select("_end")
-        part = df.join(named, df["external_id"].cast("string") == named["_end"], "left_semi").select(
+        part = df.where(F.col("external_id").isNotNull()).select(
             F.lit(kind).alias("_type"), F.col("external_id").cast("string").alias("_id"),
             F.to_variant_object(F.struct(*df.columns)).alias("_object"),
         )

@@ -34,3 +34,17 @@ def test_subtree_of_rows_without_keys(frame, rows, events):
     got = apply_filter(events, {"assetSubtreeIds": [{"externalId": "a"}]}, {"assets": assets})
     assert rows(got, "n") == [(1,), (2,), (6,), (7,)]
     assert rows(apply_filter(events, {"rootAssetIds": ["top"]}, {"assets": assets}), "n") == [(1,), (2,), (6,), (7,)]
+
+
+def test_resources_take_two_joins(frame):
+    from millrace.operators.graph import with_resources
+
+    edges = frame("external_id string, source_type string, source_external_id string, target_type string, target_external_id string",
+                  ("r", "asset", "1", "file", "9"), ("s", "asset", "2", "asset", "1"))
+    found = with_resources(edges, {"asset": frame("external_id string, name string", ("1", "a"), ("7", "b"), (None, "c")),
+                                   "file": frame("external_id string, name string", ("9", "f"))})
+    got = {r["external_id"]: (r["s"], r["t"]) for r in found.selectExpr(
+        "external_id", "try_variant_get(source, '$.name', 'string') s", "try_variant_get(target, '$.name', 'string') t").collect()}
+    assert got == {"r": ("a", "f"), "s": (None, "a")}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 and "LeftSemi" not in plan
