@@ -132,3 +132,9 @@ def test_half_written_version_is_ignored(spark, frame, rows, tmp_path):
     assert rows(table.read()) == [("a",)]
     table.commit(frame("k string", ("c",)))
     assert rows(table.read()) == [("c",)]
+
+
+def test_upserted_raw_rows_are_parsed_once(spark):
+    from workload.records import raw_upserted
+
+    assert not [f for f in raw_upserted(spark, "/root/testdata/sf0.001").inputFiles() if "events.parquet" in f]

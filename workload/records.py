@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions.values import (
     struct_delimited, struct_strings, value_to_boolean, value_to_double, value_to_long, value_to_string,
 )
+from millrace.lineage import materialize
 from millrace.operators.sequences import (
     delete_rows, extend_header, read_rows, schema_diff, to_long, to_wide, upsert_rows,
 )
@@ -76,7 +77,7 @@ def raw_rejects(spark, sf):
 @query("raw_upserted", f"""WITH {RAW}
 SELECT 'copy' AS table_name, key, CASE WHEN event_id % 3 = 0 THEN 'again' ELSE name END AS name FROM raw WHERE event_id % 10 <> 9""")
 def raw_upserted(spark, sf):
-    rows = relabel(_raw(spark, sf), table="copy")
+    rows = materialize(relabel(_raw(spark, sf), table="copy"), "raw")  # read four times, parsed once
     number = F.col("key").cast("long")
     newer = rows.where(number % 3 == 0).select(
         "db_name", "table_name", "key", (F.col("last_updated_time") + 1).alias("last_updated_time"),
