@@ -2,10 +2,10 @@
 
 *Base spans* follow fixed patterns with checks (parts of an address, Luhn digits, number of digits).
 *Candidates* come from wider patterns of each kind (other separators, spelled-out signs). Boosted trees
-over format and context features score them; they are fitted on at most about ``SAMPLE`` documents, where
-a candidate that a base span confirms is a positive. Features tell nothing about the separators, so a
+over format and context features score them; they are fitted on the candidates of all documents, where
+one that a base span confirms is a positive. Features tell nothing about the separators, so a
 spelling that the base pattern does not know gets the score of the same number or address in a known one.
-Scores are calibrated per kind on the held-out quarter of the sample: the threshold is the least score at
+Scores are calibrated per kind on a quarter of all documents, whose candidates the trees have not seen: the threshold is the least score at
 which ``PRECISION`` of the candidates above it are confirmed. A chosen candidate that touches no base span
 is added; of added spans that overlap, the first stays.
 
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.frames import session_of
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, CELLS = 20_000, 20_000
 ROUNDS, DEPTH, RATE = 30, 3, 0.3
 PRECISION = 0.9
 CONTEXT = 24
@@ -199,17 +198,18 @@ def boost(x: np.ndarray, positive: np.ndarray, count: np.ndarray, held: np.ndarr
     return Model(trees, tuple(thresholds))
 
 
-def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Model:
-    """A model from about ``sample`` documents, a random subset by hash; at most ``CELLS`` feature cells count."""
+def fit(docs: DataFrame) -> Model:
+    """A model from all documents: three quarters of them, by hash, give the trees, the others the thresholds.
+
+    The driver gets counts per cell of equal features. Their number is bounded by the few values that each
+    feature takes, not by the input.
+    """
     session_of(docs)
-    total = docs.count()
-    share = min(1.0, sample / max(1, total))
-    rows = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1_000_000)) < int(share * 1_000_000)).select(
-        F.coalesce("text", F.lit("")).alias("text"), "doc_id")
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), "doc_id")
     rows = rows.select("doc_id", base_spans(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("x"))
     confirmed = F.exists("base", lambda b: (b["kind"] == F.col("x.kind")) & (b["start"] < F.col("x.stop")) & (b["stop"] > F.col("x.start")))
     cells = rows.select("x.*", confirmed.cast("int").alias("y"), (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) == 0).cast("int").alias("held")).groupBy(
-        *FEATURES, "held").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), *FEATURES, "held").limit(CELLS).collect()
+        *FEATURES, "held").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), *FEATURES, "held").collect()
     if not cells:
         return Model([], (float("inf"),) * len(KINDS))
     x = np.array([[r[f] for f in FEATURES] for r in cells], np.int64)

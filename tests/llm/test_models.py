@@ -371,3 +371,10 @@ def test_broken_payload_is_an_error():
     raw = archives.gzip.compress(archives.record_bytes(1, "u", b"abc", hashlib.sha1(b"abd").hexdigest(), None))
     with pytest.raises(ValueError):
         archives.parse_record(raw)
+
+
+def test_pii_learns_from_every_document(spark, monkeypatch):
+    counted, plain = [], pii.boost
+    monkeypatch.setattr(pii, "boost", lambda x, y, n, held: counted.append(n.sum()) or plain(x, y, n, held))
+    pii.fit(spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit("from 10.0.0.1").alias("text")))
+    assert counted == [21_000]
