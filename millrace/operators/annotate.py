@@ -23,6 +23,8 @@ _GRAMS = T.ArrayType(T.StructType([
 _BITS_MIN, _BITS_MAX = 20, 26
 # Texts are searched together until they hold this many characters; a longer text is searched whole.
 _CHUNK = 1 << 18
+# Of a batch of texts so many at a time become Python objects.
+_ROWS = 256
 _NONE, _LETTER, _NUMBER = 0, 1, 2
 _LEFT, _RIGHT, _SIZE, _PREFIX = (np.uint64(c) for c in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
@@ -36,13 +38,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=1)
 def _characters() -> tuple[np.ndarray, np.ndarray]:
     """For every code point its kind and the folded code point that stands for it in hashes."""
-    texts = ["\ufffd" if 0xD800 <= c < 0xE000 else chr(c) for c in range(0x110000)]
-    every = "".join(texts)
-    kinds = np.zeros(len(every), np.uint8)
-    for kind, pattern in (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"):
-        for m in regex.finditer(pattern, every):
-            kinds[m.start():m.end()] = kind
-    folded = np.array([ord(t.lower()[0]) for t in texts], np.uint32)
+    kinds, folded = np.zeros(0x110000, np.uint8), np.zeros(0x110000, np.uint32)
+    for first in range(0, 0x110000, 1 << 14):
+        texts = ["\ufffd" if 0xD800 <= c < 0xE000 else chr(c) for c in range(first, first + (1 << 14))]
+        every = "".join(texts)
+        for kind, pattern in (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"):
+            for m in regex.finditer(pattern, every):
+                kinds[first + m.start():first + m.end()] = kind
+        folded[first:first + (1 << 14)] = [ord(t.lower()[0]) for t in texts]
     folded[ord("\u03c2")] = ord("\u03c3")  # how a sigma is folded depends on its place in the token
     return kinds, folded[folded]
 
@@ -211,7 +214,7 @@ def token_runs(lengths: Sequence[int], filled: np.ndarray):
 
     Spark has no expression that returns match positions in linear time.
     """
-    def runs(texts: pa.Array) -> pa.Array:
+    def some(texts: pa.Array) -> pa.Array:
         listed = texts.to_pylist()
         found = find_runs(listed, lengths, filled)
         grams, starts, stops, covered, offsets = [], [], [], [], [0]
@@ -228,6 +231,9 @@ def token_runs(lengths: Sequence[int], filled: np.ndarray):
              pa.array(covered, pa.string())], ["gram", "start", "stop", "text"])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
 
+    def runs(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([some(texts.slice(at, _ROWS)) for at in range(0, max(len(texts), 1), _ROWS)])
+
     runs.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(runs, _GRAMS)
 

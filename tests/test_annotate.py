@@ -96,3 +96,29 @@ def test_folding_beyond_ascii(spark, rows):
         [("\u03bf\u03b4\u03bf\u03c2 12",), ("12 \u0130x",), ("\U00020000\U00020001/a\u00e5",), ("\u00e1 a",), ("A\u00c5_\u217f",)], "name string")
     hits = detect_annotations(docs, entities, "name")
     assert rows(hits, "doc_id", "start", "stop") == [(1, 2, 9), (1, 7, 11), (2, 0, 7), (3, 0, 6), (3, 4, 8)]
+
+
+def test_character_tables_are_built_in_pieces():
+    import tracemalloc
+
+    from millrace.operators import annotate
+
+    tracemalloc.start()
+    annotate._characters.__wrapped__()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+
+
+def test_batches_are_cut_into_small_lists(spark, rows, monkeypatch):
+    import pyarrow as pa
+
+    from millrace.operators import annotate
+
+    seen, plain = [], annotate.find_runs
+    monkeypatch.setattr(annotate, "find_runs", lambda texts, *a: seen.append(len(texts)) or plain(texts, *a))
+    every = np.full((1 << 20) // 8, 255, np.uint8)
+    texts = [f"pump {i} line" if i % 3 else None for i in range(700)]
+    got = annotate.token_runs([2], every).func(pa.array(texts)).to_pylist()
+    assert [[r["gram"] for r in row] for row in got] == [[f"pump {i}", f"{i} line"] if i % 3 else [] for i in range(700)]
+    assert max(seen) <= 256 and sum(seen) == 700
