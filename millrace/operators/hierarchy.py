@@ -118,24 +118,24 @@ def parent_edges(nodes: DataFrame) -> DataFrame:
     return rows.join(known, "parent", "left_semi").select("id", "parent")
 
 
-def several_parents(nodes: DataFrame) -> DataFrame:
-    """``(id)`` of the ids that come with more than one parent in the input."""
-    return parent_edges(nodes).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+def several_parents(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """``(id)`` of the ids that come with more than one parent in the input; ``edges`` are its parent edges."""
+    return (edges or parent_edges(nodes)).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
 
 
-def cycles(nodes: DataFrame, ascent: Ascent | None = None) -> DataFrame:
-    """Ids on a cycle, whichever of their parents it runs through.
+def cycles(nodes: DataFrame, ascent: Ascent | None = None, edges: DataFrame | None = None) -> DataFrame:
+    """Ids on a cycle, whichever of their parents it runs through; ``edges`` are the parent edges, where known.
 
     Where ids have several parents, chains of single parents are climbed first, by doubling: what is left are
     the ids of several parents and the one each of their parents' chains ends at. Strong components of
     that small graph, with the chains between their members, are the cycles through them.
     """
-    crossing = several_parents(nodes)
+    edges = edges or materialize(parent_edges(nodes), "parents")
+    crossing = materialize(several_parents(nodes, edges), "crossing")
     if crossing.isEmpty():
         return cycle_members(ascent or ascend(nodes))
-    crossing = materialize(crossing, "crossing")
     tops = crossing.select(F.col("id").alias("top"))
-    first = materialize(parent_edges(nodes).join(crossing, "id", "left_semi"), "crossing")
+    first = materialize(edges.join(crossing, "id", "left_semi"), "crossing")
     up = ascend(nodes, crossing)
     ways = materialize(first.join(up.reached.select(F.col("id").alias("parent"), "top"), "parent").join(tops, "top", "left_semi"), "ways")
     plain = cycle_members(up)
@@ -157,13 +157,13 @@ def components(nodes: DataFrame) -> DataFrame:
 
     Ids with several parents connect all of them; of several roots the least names the component.
     """
-    if not several_parents(nodes).isEmpty():
-        edges = materialize(parent_edges(nodes), "parents")
+    edges = materialize(parent_edges(nodes), "parents")
+    if not several_parents(nodes, edges).isEmpty():
         ids = nodes.where(F.col(ID).isNotNull()).select(ID).distinct()
         linked = materialize(weak_components(edges.select(F.col("id").alias("a"), F.col("parent").alias("b"))), "weak")
         placed = ids.join(linked.withColumnRenamed("node", ID), ID, "left").withColumn("component", F.coalesce("component", ID))
         below = edges.select(F.col("id").alias(ID), F.lit(True).alias("_below")).distinct()
-        rings = cycles(nodes).select(ID, F.lit(True).alias("_ring"))
+        rings = cycles(nodes, edges=edges).select(ID, F.lit(True).alias("_ring"))
         placed = materialize(placed.join(below, ID, "left").join(rings, ID, "left"), "placed")
         names = placed.groupBy("component").agg(F.coalesce(
             F.min(F.when(F.col("_below").isNull(), F.col(ID))), F.min(F.when(F.col("_ring"), F.col(ID)))).alias("_name"))

@@ -71,3 +71,13 @@ def test_against_brute_force(frame, rows, seed):
         roots = {y for y in mates if not any(a == y for a, _ in edges)}
         name[x] = min(roots or mates & ring)
     assert dict(rows(components(frame(NODE, *given)))) == name
+
+
+def test_parent_edges_are_made_once(spark, monkeypatch):
+    from millrace.operators import hierarchy
+
+    calls, plain = [], hierarchy.parent_edges
+    monkeypatch.setattr(hierarchy, "parent_edges", lambda nodes: calls.append(1) or plain(nodes))
+    nodes = spark.createDataFrame([("a", None), ("b", "a"), ("b", "c"), ("c", "b"), ("d", "b")], "external_id string, parent_external_id string")
+    got = {tuple(r) for r in hierarchy.components(nodes).collect()}
+    assert got == {(x, "a") for x in "abcd"} and len(calls) == 1
