@@ -7,8 +7,12 @@ boxes into grid cells, so nothing runs as a nested loop.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.lineage import materialize
+
 REVISION = ("model_id", "revision_id")
 _BITS = 5            # block sizes are powers of 32
 _LEVELS = 9          # up to 2**45 nodes per revision
@@ -99,66 +103,109 @@ def _edge(box: Column, side: str, axis: int) -> Column:
     return F.get(box[side], F.lit(axis)).cast("double")
 
 
-def _own_level(box: Column) -> Column:
-    """Power of two no smaller than the longest edge: a box meets at most 2 cells per axis."""
-    longest = F.greatest(*[_edge(box, "max", a) - _edge(box, "min", a) for a in range(3)])
-    return F.when(longest > 0, F.ceil(F.log2(longest))).otherwise(F.lit(-20)).cast("int")
+_SPAN = 6            # cells per axis that usual boxes of both sides take up together
+_HOT = 1 << 24        # candidates of one cell that stay in one task
+_FAR = 1 << 62        # cell numbers beyond are one cell
+
+
+def _with_edges(df: DataFrame, box: str, on: tuple[str, ...], end: str) -> DataFrame:
+    """``on``, the row as ``_<end>`` and the six faces of its box; rows without a whole box go."""
+    faces = {f"_{end}{side}{n}": _edge(F.col(box), side, n) for side in ("min", "max") for n in range(3)}
+    kept = df.select(*on, F.struct(*df.columns).alias(f"_{end}"), *(face.alias(name) for name, face in faces.items()))
+    # Few bytes can mean many cells, so the split goes by row, not by size.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(kept.dropna(subset=list(faces)).repartition(tasks), "boxes")
+
+
+def _extent(end: str, axis: int) -> Column:
+    return F.nanvl(F.col(f"_{end}max{axis}") - F.col(f"_{end}min{axis}"), F.lit(float("inf")))
+
+
+def _usual(df: DataFrame, end: str) -> tuple[int, list[float]]:
+    """Number of boxes, and per axis an extent that few of those that have any exceed."""
+    sizes = [F.when(_extent(end, n) > 0, _extent(end, n)) for n in range(3)]
+    n, *found = df.agg(F.count(F.lit(1)), *(F.percentile_approx(size, 0.95) for size in sizes)).first()
+    # A box without end is for the levels; it may not set the grid.
+    return n, [min(x or 0.0, 1e300) for x in found]
+
+
+def _graded(df: DataFrame, end: str, usual: list[float], edges: list[float]) -> DataFrame:
+    """Rows plus ``_<end>level``: 0 for usual boxes, else the doublings until cells are wider than the box."""
+    times = F.greatest(*(_extent(end, n) / F.lit(max(usual[n], edges[n])) for n in range(3)))
+    level = F.when(times <= 1, F.lit(0)).otherwise(F.least(F.ceil(F.log2(F.least(times, F.lit(1e300)))), F.lit(2200)) + 3)
+    return df.withColumn(f"_{end}level", F.when(times == float("inf"), F.lit(2203)).otherwise(level).cast("int"))
+
+
+def _cell(face: str, axis: int, edges: list[float], level: Column) -> Column:
+    """Number of the cell a face lies in; never falls as the face rises."""
+    number = F.floor(F.col(face) / (F.lit(edges[axis]) * F.pow(F.lit(2.0), level))).cast("long")
+    return F.greatest(F.least(number, F.lit(_FAR)), F.lit(-_FAR))
 
 
-def _cells(box: Column, level: Column) -> Column:
-    """Grid cells the box meets on a level."""
-    size = F.pow(F.lit(2.0), level)
-    number = lambda x: F.floor(x / size).cast("long")
-    axis = [F.sequence(number(_edge(box, "min", a)), number(_edge(box, "max", a))) for a in range(3)]
-    cell = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
-    return F.flatten(F.transform(axis[0], lambda x: F.flatten(
-        F.transform(axis[1], lambda y: F.transform(axis[2], lambda z: cell(x, y, z))))))
+def _spans(df: DataFrame, end: str, edges: list[float]) -> dict[int, list[int]]:
+    """Per level in use, the most cells per axis between the two faces of a box."""
+    level = F.col(f"_{end}level")
+    span = lambda n: _cell(f"_{end}max{n}", n, edges, level) - _cell(f"_{end}min{n}", n, edges, level)
+    return {r[0]: list(r[1:]) for r in df.groupBy(level).agg(*(F.max(span(n)) for n in range(3))).collect()}
 
 
 def box_join(left: DataFrame, right: DataFrame, left_box: str = "bounding_box", right_box: str = "bounding_box",
              on: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of rows whose boxes overlap (touching counts), each pair once.
 
-    Every box is filed at the grid level of its own size and, for levels above that
-    the other side uses, at those too. A pair meets at the coarser level of the two
-    and is kept in the one cell that holds the low corner of the overlap.
+    The grid is set per axis by the usual extents of both sides; larger boxes use doubled cells. A pair
+    meets on the grid of the larger of the two. There a box of the side of more rows is filed in the one
+    cell of its low corner, and a box of the other side in all cells where the low corner of a partner can lie,
+    so no pair meets twice. Cells of very many candidates are dealt over several tasks.
     """
-    a = left.select(*on, F.struct(*left.columns).alias("_a"), F.col(left_box).alias("_abox"))
-    b = right.select(*on, F.struct(*right.columns).alias("_b"), F.col(right_box).alias("_bbox"))
-    a = a.withColumn("_alevel", _own_level(F.col("_abox")))
-    b = b.withColumn("_blevel", _own_level(F.col("_bbox")))
-    levels = lambda df, c: df.select(c).distinct()
-
-    a_levels, b_levels = levels(a, "_alevel"), levels(b, "_blevel")
-    # A handful of sizes exist: levels are exponents of two between -20 and 1024.
-    own_b = sorted(r[0] for r in b_levels.collect() if r[0] is not None)
-    own_a = sorted(r[0] for r in a_levels.collect() if r[0] is not None)
-
-    def filed(df, box, level, among, strictly):
-        """Rows at each of the ``among`` levels at or above their own."""
-        options = F.array(*[F.lit(n) for n in among]).cast("array<int>")
-        higher = F.filter(options, (lambda n: n > F.col(level)) if strictly else (lambda n: n >= F.col(level)))
-        return df.withColumn("_level", F.explode(higher)).withColumn(
-            "_cell", F.explode(_cells(F.col(box), F.col("_level")))
-        )
-
-    def at_own(df, box, level):
-        return df.withColumn("_level", F.col(level)).withColumn("_cell", F.explode(_cells(F.col(box), F.col(level))))
-
-    key = [*on, "_level", "_cell"]
-    big_b = filed(a, "_abox", "_alevel", own_b, False).join(at_own(b, "_bbox", "_blevel"), key)
-    big_a = at_own(a, "_abox", "_alevel").join(filed(b, "_bbox", "_blevel", own_a, True), key)
-    met = big_b.select(*key, "_a", "_b", "_abox", "_bbox").unionByName(
-        big_a.select(*key, "_a", "_b", "_abox", "_bbox")
-    )
-    overlap, corner = F.lit(True), F.lit(True)
-    size = F.pow(F.lit(2.0), F.col("_level"))
-    for n, name in enumerate(("x", "y", "z")):
-        lo = F.greatest(_edge(F.col("_abox"), "min", n), _edge(F.col("_bbox"), "min", n))
-        hi = F.least(_edge(F.col("_abox"), "max", n), _edge(F.col("_bbox"), "max", n))
-        overlap = overlap & (lo <= hi)
-        corner = corner & (F.floor(lo / size).cast("long") == F.col("_cell")[name])
-    return met.where(overlap & corner).select("_a", "_b")
+    a, b = _with_edges(left, left_box, on, "a"), _with_edges(right, right_box, on, "b")
+    (a_rows, a_usual), (b_rows, b_usual) = _usual(a, "a"), _usual(b, "b")
+    edges = [2.0 ** min(math.ceil(math.log2((x + y) / _SPAN)), 1000) if x + y > 0 else 2.0 ** -20
+             for x, y in zip(a_usual, b_usual)]
+    a, b = _graded(a, "a", a_usual, edges), _graded(b, "b", b_usual, edges)
+    once, many, one, all_ = (a, b, "a", "b") if a_rows >= b_rows else (b, a, "b", "a")
+    reach = _spans(once, one, edges)
+    # A handful of sizes exist: levels are exponents of two.
+    levels = sorted(_spans(many, all_, edges))
+
+    numbers = lambda found: F.array(*map(F.lit, found)).cast("array<int>")
+    grid = F.greatest("_alevel", "_blevel")
+    filed = once.withColumn(f"_{all_}level", F.explode(numbers(levels)))
+    key = [*on, "_alevel", "_blevel", "_cell"]
+    filed = filed.withColumn("_cell", F.xxhash64(*(_cell(f"_{one}min{n}", n, edges, grid) for n in range(3))))
+
+    offered = many.withColumn(f"_{one}level", F.explode(numbers(sorted(reach))))
+    own = F.col(f"_{one}level")
+    axis = []
+    for n in range(3):
+        # On a grid doubled d times a box spans at most the 2**d-th part of its cells, rounded up.
+        most = F.lit(0).cast("long")
+        for level, span in reach.items():
+            most = F.when(own == level, F.ceil(F.lit(span[n]) / F.pow(F.lit(2.0), grid - own)).cast("long")).otherwise(most)
+        axis.append(F.sequence(_cell(f"_{all_}min{n}", n, edges, grid) - most, _cell(f"_{all_}max{n}", n, edges, grid)))
+    cells = F.flatten(F.transform(axis[0], lambda x: F.flatten(
+        F.transform(axis[1], lambda y: F.transform(axis[2], lambda z: F.xxhash64(x, y, z))))))
+    # Cells whose hashes clash count once; the boxes themselves are compared below.
+    offered = offered.withColumn("_cell", F.explode(F.array_distinct(cells)))
+
+    held = lambda df, count: df.groupBy(*key).agg(F.count(F.lit(1)).alias(count))
+    candidates = held(filed, "_na").join(held(offered, "_nb"), key)
+    pieces = F.ceil(F.col("_na") * F.col("_nb").cast("double") / _HOT).cast("int")
+    hot = materialize(candidates.where(pieces > 1).select(*key, F.least(pieces, F.lit(1 << 16)).alias("_pieces")), "boxes")
+    if not hot.isEmpty():
+        faces = [f"_{one}{side}{n}" for side in ("min", "max") for n in range(3)]
+        filed = filed.withColumn("_at", F.monotonically_increasing_id()).join(hot, key, "left").withColumn(
+            "_piece", F.coalesce(F.pmod(F.xxhash64("_at", *faces), F.col("_pieces")).cast("int"), F.lit(0))).drop("_at", "_pieces")
+        offered = offered.join(hot, key, "left").withColumn(
+            "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_pieces")
+        key.append("_piece")
+    # Few bytes can mean many pairs, so the split goes by cell, not by size, and no side is broadcast.
+    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = offered.repartition(tasks, *key).hint("merge").join(filed.repartition(tasks, *key), key)
+    overlap = F.lit(True)
+    for n in range(3):
+        overlap = overlap & (F.col(f"_amin{n}") <= F.col(f"_bmax{n}")) & (F.col(f"_amax{n}") >= F.col(f"_bmin{n}"))
+    return met.where(overlap).select("_a", "_b")
 
 
 def mappings_with_nodes(mappings: DataFrame, nodes: DataFrame) -> DataFrame:

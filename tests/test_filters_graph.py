@@ -151,6 +151,23 @@ def test_box_join_against_brute_force(frame, rows):
     assert rows(pairs) == sorted((i, j) for i, p in a for j, q in b if meet(p, q))
 
 
+def test_box_join_deals_crowded_cells_and_takes_endless_boxes(frame, rows, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr("millrace.operators.spatial._HOT", 20)
+    ends = [float("-inf"), -1e300, -1.0, -1e-17, 0.0, 1.0, 1e17, float("inf")]
+    def boxes(n):
+        lo = [[rng.choice(ends) if i % 4 == 0 else rng.randint(0, 3) + 0.5 for _ in range(3)] for i in range(n)]
+        return [(i, i % 2, (x, [max(v, rng.choice(ends)) if i % 4 == 0 else v + rng.randint(0, 1) for v in x])) for i, x in enumerate(lo)]
+    a, b = boxes(50), boxes(70)
+    ddl = "id int, g int, bounding_box struct<min:array<double>,max:array<double>>"
+    met = box_join(frame(ddl, *a, (90, 0, None), (91, 0, ([0.0], [1.0]))), frame(ddl, *b), on=("g",))
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "_piece" in plan and "merge" in plan
+    meet = lambda p, q: all(p[0][k] <= q[1][k] and p[1][k] >= q[0][k] for k in range(3))
+    want = sorted((i, j) for i, g, p in a for j, h, q in b if g == h and meet(p, q))
+    assert rows(met.select(F.col("_a.id").alias("x"), F.col("_b.id").alias("y"))) == want
+
+
 def test_mappings(frame, rows):
     ddl = "model_id long, revision_id long, node_id long, asset_id long"
     have = frame(ddl, (1, 1, 1, 1))
