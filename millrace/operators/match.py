@@ -52,24 +52,33 @@ def _texts(df: DataFrame, fields: Sequence[str], feature_type: str, ignore_missi
     return df.where(usable).withColumn("_features", F.array_sort(F.concat(*parts)))
 
 
-def _vectors(names: DataFrame, weights: DataFrame | None) -> DataFrame:
-    """Distinct feature lists to unit vectors ``_vec array<struct<df, token, w, n, rest>>`` and ``_norm``.
+# So many of the most frequent tokens at most reach all tasks as a table.
+_FREQUENT = 10_000
 
-    Rare tokens come first; ``n`` counts the token, ``rest`` is the norm of the tokens after it.
+
+def _vectors(names: DataFrame, weights: DataFrame) -> DataFrame:
+    """Numbered feature lists to unit vectors ``_vec array<struct<df, token, w, n, rest>>`` and ``_norm``.
+
+    Rare tokens come first; ``n`` counts the token, ``rest`` is the norm of the tokens after it. Lists move once,
+    by their number; of their tokens only the less frequent ones move to meet their weight.
     """
-    counted = names.select("_features", F.explode("_features").alias("token")).groupBy("_features", "token").agg(
-        F.count(F.lit(1)).cast("double").alias("w")
-    )
-    weighed = counted.join(weights, "token")
-    raw = F.col("w") * F.col("idf")
-    packed = weighed.groupBy("_features").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("df"), F.col("token"), raw.alias("w"), F.col("w").cast("int").alias("n")))).alias("_vec"))
+    # A token that every other name holds makes up most rows and would meet its weight in one task.
+    frequent = materialize(weights.orderBy(F.desc("df"), "token").limit(_FREQUENT), "match")
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = F.transform(F.array_distinct("_features"), lambda t: F.struct(
+        t.alias("token"), F.size(F.filter("_features", lambda f: f == t)).alias("n")))
+    told = lambda df: df.select("_id", F.explode(counted).alias("e")).select("_id", "e.token", "e.n")
+    packed = lambda df, name: df.groupBy("_id").agg(F.collect_list(F.struct(
+        "df", "token", (F.col("n") * F.col("idf")).alias("w"), "n")).alias(name))
+    often = packed(told(names.select("_id", "_features").repartition(tasks, "_id")).join(F.broadcast(frequent), "token"), "_often")
+    others = told(names).join(F.broadcast(frequent.select("token")), "token", "left_anti")
+    seldom = packed(others.join(weights.join(F.broadcast(frequent.select("token")), "token", "left_anti"), "token"), "_seldom")
+    vec = F.array_sort(F.concat(*(F.coalesce(name, F.array().cast(often.schema["_often"].dataType)) for name in ("_often", "_seldom"))))
     mass = lambda v: F.aggregate(v, F.lit(0.0), lambda s, e: s + e["w"] * e["w"])
-    unit = packed.withColumn("_norm", F.sqrt(mass(F.col("_vec")))).select("_features", "_norm", F.transform(
-        "_vec", lambda e: e.withField("w", e["w"] / F.col("_norm"))).alias("_vec"))
+    raw = often.join(seldom, "_id", "full").select("_id", vec.alias("_vec")).withColumn("_norm", F.sqrt(mass(F.col("_vec"))))
+    unit = raw.select("_id", "_norm", F.transform("_vec", lambda e: e.withField("w", e["w"] / F.col("_norm"))).alias("_vec"))
     rest = lambda i: F.sqrt(mass(F.slice("_vec", i + 2, F.greatest(F.size("_vec") - i - 1, F.lit(0)))))
-    return unit.select("_features", "_norm", F.transform(
-        "_vec", lambda e, i: e.withField("rest", rest(i))).alias("_vec"))
+    return unit.select("_id", "_norm", F.transform("_vec", lambda e, i: e.withField("rest", rest(i))).alias("_vec"))
 
 
 def _prefix(vec: Column, threshold: float) -> Column:
@@ -120,17 +129,20 @@ def _scored_pairs(sources: DataFrame, targets: DataFrame, threshold: float, limi
     if limit is not None:
         prefix = F.filter(prefix, lambda e: e["df"] <= limit)
     tokens = F.transform(prefix, lambda e: e["token"])
-    # Few source bytes can mean many pairs, so the split goes by row, not by size.
+    # Few source bytes can mean many pairs, so the split goes by token, or by row where tokens may be frequent, not by size.
     tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = sources.repartition(tasks, "_features").select(
-        F.col("_features").alias("_sf"), F.col("_vec").alias("_sv"), tokens.alias("_sp"), F.explode(prefix).alias("_se"),
-    ).withColumn("token", F.col("_se.token"))
+    split = "token" if limit is not None and limit <= _COMMON_DF else "_sf"
+    # Of the vectors only what scores moves.
+    weighed = F.transform("_vec", lambda e: F.struct(e["token"].alias("token"), e["w"].alias("w")))
+    entry = lambda end: [F.col("_e.w").alias(f"_{end}w"), F.col("_e.rest").alias(f"_{end}rest"), F.col("_e.token").alias("token")]
+    s = sources.select(
+        F.col("_features").alias("_sf"), weighed.alias("_sv"), tokens.alias("_sp"), F.explode(prefix).alias("_e"),
+    ).select("_sf", "_sv", "_sp", *entry("s")).repartition(tasks, split)
     t = targets.select(
         # The map is built once per target, below the join.
-        F.col("_features").alias("_tf"), tokens.alias("_tp"), _weight_map(F.col("_vec")).alias("_tw"),
-        F.explode(prefix).alias("_te"),
-    ).withColumn("token", F.col("_te.token"))
-    bound = F.col("_se.w") * F.col("_te.w") + F.col("_se.rest") * F.col("_te.rest")
+        F.col("_features").alias("_tf"), tokens.alias("_tp"), _weight_map(F.col("_vec")).alias("_tw"), F.explode(prefix).alias("_e"),
+    ).select("_tf", "_tp", "_tw", *entry("t_"))
+    bound = F.col("_sw") * F.col("_t_w") + F.col("_srest") * F.col("_t_rest")
     pairs = s.join(t, "token").where(bound >= F.lit(threshold - 1e-9))
     first = F.get(F.array_intersect("_sp", "_tp"), F.lit(0)) == F.col("token")
     return pairs.where(first).select("_sf", "_tf", _dot("_sv", "_tw").alias("score")).where(_reaches(threshold))
@@ -169,7 +181,7 @@ def _common_pairs(sources: DataFrame, targets: DataFrame, copies: DataFrame, lim
 
     Names that hold the same common tokens at the same weight score alike, so sources and targets
     meet as classes, and copies of a class cost nothing. Of targets that hold one set of common tokens
-    equally often the ``k`` of least norm are enough. A source does not know which of its tokens a target
+    equally often the ``k`` of least norm are enough, of names as of targets. A source does not know which of its tokens a target
     holds, so it looks up all choices of them; classes of too many common tokens for that are met
     token by token. A pair that shares a rare token as well scores less here than by all its tokens.
     ``copies`` is ``(_tf, target_id)`` with the lowest ids of each target name.
@@ -179,10 +191,11 @@ def _common_pairs(sources: DataFrame, targets: DataFrame, copies: DataFrame, lim
     common = F.transform(F.filter("_vec", lambda e: e["df"] > limit), lambda e: F.struct(*(e[f].alias(f) for f in fields)))
     holding = lambda df: df.withColumn("_common", common).where(F.size("_common") > 0)
     of_set = W.partitionBy("_set").orderBy(F.round("_norm", 12), "target_id")
-    kept = _numbered(
-        holding(targets).select(F.col("_features").alias("_tf"), "_norm", "_common", F.transform(
-            "_common", lambda e: variant(e["token"], e["n"])).alias("_set")).join(copies, "_tf").drop("_tf")
-        .withColumn("_n", F.row_number().over(of_set)).where(F.col("_n") <= k).drop("_n"), "_kept")
+    shortest = lambda df: df.withColumn("_n", F.row_number().over(of_set)).where(F.col("_n") <= k).drop("_n")
+    sets = holding(targets).select(F.col("_features").alias("_tf"), F.col("_lowest").alias("target_id"), "_norm", "_common", F.transform(
+        "_common", lambda e: variant(e["token"], e["n"])).alias("_set"))
+    # Each name has its lowest id to offer, so names beyond the k-th have none that counts.
+    kept = _numbered(shortest(shortest(sets).drop("target_id").join(copies, "_tf").drop("_tf")), "_kept")
     members = holding(sources).select(F.col("_features").alias("_sf"), "_common")
     classes = _numbered(members.select("_common").distinct(), "_class")
 
@@ -233,6 +246,8 @@ class MatchModel:
 
 # Scores are found band by band, best first; a source with enough matches leaves.
 _BANDS = (0.8, 0.4)
+# Pairs per name up to which bands save less than they read.
+_FEW_PAIRS = 16
 
 
 def _weights(names: DataFrame, feature_type: str) -> DataFrame:
@@ -304,22 +319,32 @@ def match_pairs(sources: DataFrame, targets: DataFrame, model: MatchModel, num_m
     t = _texts(targets, model.target_fields, model.feature_type, model.ignore_missing)
     s = s.select(F.col(source_id).alias("source_id"), "_features").where(F.size("_features") > 0)
     t = t.select(F.col(target_id).alias("target_id"), "_features").where(F.size("_features") > 0)
-    s, t = materialize(s, "match"), materialize(t, "match")
-
-    s_names = s.select("_features").distinct()
-    lowest = t.groupBy("_features").agg(F.min("target_id").alias("target_id"))
-    names = s_names.unionByName(lowest.select("_features")).distinct()
-    vectors = materialize(_vectors(names, _weights(names, model.feature_type)), "match")
-    s_vectors = vectors.join(s_names, "_features", "left_semi")
-    t_vectors = vectors.join(lowest, "_features", "left_semi")
+    rows = materialize(s.withColumn("_source", F.lit(True)).unionByName(
+        t.withColumn("_source", F.lit(False)), allowMissingColumns=True), "match")
+    # Lists of features travel to be told apart and to be weighed; elsewhere their numbers stand for them.
+    names = _numbered(rows.groupBy("_features").agg(
+        F.max("_source").alias("_s"), F.min("_source").alias("_only_source"),
+        F.min(F.when(~F.col("_source"), F.struct("target_id")))["target_id"].alias("_lowest")), "_id")
+    ids = materialize(rows.join(names.select("_features", "_id"), "_features").select(
+        "source_id", "target_id", "_source", F.col("_id").alias("_features")), "match")
+    s, t = ids.where("_source").select("source_id", "_features"), ids.where("NOT _source").select("target_id", "_features")
+
+    weights = materialize(_weights(names, model.feature_type), "match")
+    ends = names.select("_id", "_s", "_only_source", "_lowest")
+    vectors = materialize(_vectors(names, weights).join(ends, "_id").withColumnRenamed("_id", "_features"), "match")
+    s_vectors, t_vectors = vectors.where("_s").drop("_lowest"), vectors.where("NOT _only_source")
 
     limit, any_common = _common_limit(vectors)
-    copies = _lowest_ids(t, num_matches)
+    copies = materialize(_lowest_ids(t, num_matches), "match")
 
     def find(open_sources, band):
         return _top(_scored_pairs(open_sources, t_vectors, band, limit), copies, num_matches), band
 
     bands = [b for b in _BANDS if b > score_threshold] + [score_threshold]
+    # Each band reads all targets. Where few pairs share a rare token one pass costs less.
+    met = weights.where(F.col("df") <= limit).agg(F.sum(F.col("df").cast("double") * F.col("df"))).first()[0]
+    if (met or 0.0) <= _FEW_PAIRS * names.count():
+        bands = bands[-1:]
     best = _by_band(s_vectors, find, num_matches, bands)
     if any_common:
         # Sharing common tokens only scores at most their joint norm.

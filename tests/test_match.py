@@ -74,6 +74,22 @@ def test_top_k_equals_brute_force(spark, rows, monkeypatch, k, threshold, kind,
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("few,bands", [(16, [0.0]), (0, [0.8, 0.4, 0.0])])
+def test_names_meet_by_number_in_one_pass_where_pairs_are_few(frame, rows, monkeypatch, few, bands):
+    for name, value in (("_FREQUENT", 2), ("_FEW_PAIRS", few), ("_COMMON_DF", 4)):
+        monkeypatch.setattr(match, name, value, raising=False)
+    passes, plain = [], match._scored_pairs
+    monkeypatch.setattr(match, "_scored_pairs", lambda s, t, band, limit=None: passes.append(
+        (band, dict(s.dtypes)["_features"], dict(t.dtypes)["_features"])) or plain(s, t, band, limit))
+    s = frame("id int, name string", *[(i, f"Pump-{i}-x") for i in range(20)], (90, "pump-3-x"))
+    t = frame("id int, name string", *[(i, f"pump-valve-{i}") for i in range(20, -1, -1)])
+    pairs = match_pairs(s, t, MatchModel(("name",), ("name",), "insensitive"), 2)
+    own = [(i, i) for i in range(20)] + [(90, 3)]
+    want = [(i, n, 1, 0.667) for i, n in own] + [(i, 1 if n == 0 else 0, 2, 0.333) for i, n in own]
+    assert rows(pairs.select("source_id", "target_id", "rank", F.round("score", 3))) == sorted(want)
+    assert passes == [(band, "bigint", "bigint") for band in bands]
+
+
 def test_missing_fields(frame, rows):
     sources = frame("id int, a string, b string", (1, "pump", None), (2, "pump", "x"))
     targets = frame("id int, a string, b string", (7, "pump", "x"))
